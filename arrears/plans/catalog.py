@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from arrears.plans import relational  # noqa: F401
+from arrears.plans import evaluation_queries, relational, sampling_queries  # noqa: F401
 from arrears.plans.registry import ORACLES, QUERIES  # noqa: F401
