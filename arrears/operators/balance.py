@@ -24,12 +24,10 @@ def undersample(df: DataFrame, label: str, key: Sequence[str], seed: object = SE
     drawn = digest(seed, *key)
     labelled = df.filter(F.col(label).isNotNull())
     narrow = labelled.select(label, drawn.alias("__digest"))
-    wanted = (
-        class_sizes(df, label)
-        .withColumn("k", F.min("n").over(W.partitionBy(F.lit(1))))  # one row per class
-        .select(label, F.lit(1).alias("slot"), "k")
-    )
-    cutoffs = rank_cutoffs(narrow, label, "__digest", wanted).select(label, "cutoff")
+    smallest = F.min("n").over(W.partitionBy(F.lit(1)))  # one row per class
+    cutoffs = rank_cutoffs(
+        narrow, label, "__digest", lambda sizes: sizes.select(label, F.lit(1).alias("slot"), smallest.alias("k"))
+    ).select(label, "cutoff")
     return (
         labelled.join(F.broadcast(cutoffs), label).filter(drawn <= F.col("cutoff")).drop("cutoff")
     )

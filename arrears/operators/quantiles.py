@@ -85,7 +85,8 @@ def _narrow(inside: DataFrame, state: dict[str, tuple], totals: dict[str, int])
     first = {c for c in state if state[c][0] == float("-inf") and state[c][1] == float("inf")}
     if first:  # nothing known yet: look closely at the middle
         probs = [0.495 + 0.01 * i / EDGES for i in range(EDGES + 1)]
-    cuts = wanted.groupBy("name").agg(F.percentile_approx("value", probs, 10_000).alias("edges")).collect()
+    listed = ", ".join(f"{p!r}D" for p in probs)
+    cuts = wanted.groupBy("name").agg(F.expr(f"percentile_approx(value, array({listed}), 10000)").alias("edges")).collect()
     edges = {r["name"]: sorted(set(r["edges"])) for r in cuts}
     table = inside.sparkSession.createDataFrame(list(edges.items()), "name string, edges array<double>")
     number = (
@@ -129,6 +130,6 @@ def approximate_medians(df: DataFrame, columns: Sequence[str], accuracy: int = 1
 
 def value_ranges(df: DataFrame, column: str, ranges: int = 4096) -> list[float]:
     """Sorted edges that cut a column into about even ranges; at most ``ranges`` numbers."""
-    probs = [(i + 1) / ranges for i in range(ranges - 1)]
-    row = df.agg(F.percentile_approx(column, probs, 10_000).alias("e")).first()
+    probs = ", ".join(f"{i / ranges!r}D" for i in range(1, ranges))
+    row = df.agg(F.expr(f"percentile_approx({column}, array({probs}), 10000)").alias("e")).first()
     return sorted(set(row["e"])) if row["e"] else []

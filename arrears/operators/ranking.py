@@ -8,6 +8,8 @@ classes x 16^digits rows, are accumulated per class.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,25 +21,33 @@ def _cell(digest: str, digits: int) -> Column:
     return F.substring(F.col(digest), 1, digits)
 
 
-def cell_offsets(rows: DataFrame, group: str, digest: str, digits: int = CELL_DIGITS) -> DataFrame:
-    """(group, __cell, __n, __before): rows of the cell and rows of earlier cells."""
-    counts = rows.groupBy(F.col(group), _cell(digest, digits).alias("__cell")).agg(F.count(F.lit(1)).alias("__n"))
+def _cell_counts(rows: DataFrame, group: str, digest: str, digits: int) -> DataFrame:
+    return rows.groupBy(F.col(group), _cell(digest, digits).alias("__cell")).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def _with_offsets(counts: DataFrame, group: str) -> DataFrame:
     earlier = W.partitionBy(group).orderBy("__cell").rowsBetween(W.unboundedPreceding, -1)
     return counts.withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0).cast("bigint")))
 
 
 def rank_cutoffs(
-    rows: DataFrame, group: str, digest: str, wanted: DataFrame, digits: int = CELL_DIGITS
+    rows: DataFrame,
+    group: str,
+    digest: str,
+    choose: Callable[[DataFrame], DataFrame],
+    digits: int = CELL_DIGITS,
 ) -> DataFrame:
-    """The digest at each wanted rank of each group.
+    """The digest at each wanted rank of each group: (group, slot, cutoff).
 
-    ``wanted`` has (group, slot, k) with 1-based ranks ``k``; a handful of rows.
-    The result has (group, slot, cutoff). Rows of the cells that contain a
+    ``choose`` turns (group, n), the group sizes, into (group, slot, k) with
+    1-based ranks ``k``; a handful of rows. Rows of the cells that contain a
     wanted rank are ranked; all others are only counted.
     """
-    offsets = cell_offsets(rows, group, digest, digits)
+    counts = _cell_counts(rows, group, digest, digits)
+    wanted = choose(counts.groupBy(group).agg(F.sum("__n").alias("n")))
     hit = (
-        offsets.join(F.broadcast(wanted), group)
+        _with_offsets(counts, group)
+        .join(F.broadcast(wanted), group)
         .filter((F.col("k") > F.col("__before")) & (F.col("k") <= F.col("__before") + F.col("__n")))
         .select(group, "slot", "__cell", (F.col("k") - F.col("__before")).alias("__within"))
     )
@@ -56,7 +66,7 @@ def dense_positions(
     rows: DataFrame, group: str, digest: str, out: str = "position", digits: int = CELL_DIGITS
 ) -> DataFrame:
     """Zero-based position of every row in its group, in digest order."""
-    offsets = cell_offsets(rows, group, digest, digits).select(group, "__cell", "__before")
+    offsets = _with_offsets(_cell_counts(rows, group, digest, digits), group).drop("__n")
     order = W.partitionBy(group, "__cell").orderBy(digest)
     return (
         rows.withColumn("__cell", _cell(digest, digits))

@@ -40,17 +40,16 @@ def class_sizes(df: DataFrame, label: str) -> DataFrame:
     return df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _test_sizes(df: DataFrame, label: str, test_share: float) -> DataFrame:
-    """(label, n, k): test rows per class.
+def _test_sizes(sizes: DataFrame, label: str, test_share: float) -> DataFrame:
+    """(label, slot, k): test rows per class.
 
     The total is ``ceil(share * rows)``; classes share the training rows in
     proportion, left-over units going to the largest remainders.
     """
     everything = W.partitionBy(F.lit(1))  # one row per class
     by_remainder = W.partitionBy(F.lit(1)).orderBy(F.col("__rest").desc(), label)
-    sizes = (
-        class_sizes(df, label)
-        .withColumn("__all", F.sum("n").over(everything))
+    shared = (
+        sizes.withColumn("__all", F.sum("n").over(everything))
         .withColumn("__train", F.col("__all") - F.ceil(F.col("__all") * F.lit(test_share)))
         .withColumn("__exact", F.col("n") * F.col("__train") / F.col("__all"))
         .withColumn("__floor", F.floor("__exact"))
@@ -58,7 +57,8 @@ def _test_sizes(df: DataFrame, label: str, test_share: float) -> DataFrame:
         .withColumn("__left", F.col("__train") - F.sum("__floor").over(everything))
         .withColumn("__extra", F.when(F.row_number().over(by_remainder) <= F.col("__left"), 1).otherwise(0))
     )
-    return sizes.select(label, "n", (F.col("n") - F.col("__floor") - F.col("__extra")).cast("bigint").alias("k"))
+    test = (F.col("n") - F.col("__floor") - F.col("__extra")).cast("bigint")
+    return shared.select(label, F.lit(1).alias("slot"), test.alias("k"))
 
 
 def split_stratified(
@@ -77,8 +77,9 @@ def split_stratified(
     """
     drawn = digest(seed, *key)
     narrow = df.filter(F.col(label).isNotNull()).select(label, drawn.alias("__digest"))
-    wanted = _test_sizes(df, label, test_share).select(label, F.lit(1).alias("slot"), "k")
-    cutoffs = rank_cutoffs(narrow, label, "__digest", wanted).select(label, "cutoff")
+    cutoffs = rank_cutoffs(
+        narrow, label, "__digest", lambda sizes: _test_sizes(sizes, label, test_share)
+    ).select(label, "cutoff")
     return (
         df.join(F.broadcast(cutoffs), label, "left")
         .withColumn(out, F.coalesce(drawn <= F.col("cutoff"), F.lit(False)))
@@ -100,9 +101,10 @@ def stratified_folds(
         F.sequence(F.lit(1), F.lit(k - 1)),
         lambda i: F.struct(i.alias("slot"), F.floor(i * F.col("n") / k).cast("bigint").alias("k")),
     )
-    wanted = class_sizes(df, label).select(label, F.inline(edges)).filter(F.col("k") > 0)
     cutoffs = (
-        rank_cutoffs(narrow, label, "__digest", wanted)
+        rank_cutoffs(
+            narrow, label, "__digest", lambda sizes: sizes.select(label, F.inline(edges)).filter(F.col("k") > 0)
+        )
         .groupBy(label)
         .agg(F.collect_list("cutoff").alias("__edges"))
     )
