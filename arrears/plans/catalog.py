@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from arrears.plans import (  # noqa: F401
     evaluation_queries,
+    feature_queries,
+    ingest_queries,
     relational,
     sampling_queries,
     smote_queries,
