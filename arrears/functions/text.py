@@ -101,7 +101,7 @@ def resolve_url(base: Column, href: Column) -> Column:
     return (
         F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, href))
-        .when(href == "", no_fragment)
+        .when(href == "", base)
         .when(href.startswith("#"), F.concat(no_fragment, href))
         .when(href.startswith("?"), F.concat(bare, href))
         .when(href.startswith("/"), F.concat(site, _normal_path(path), rest))

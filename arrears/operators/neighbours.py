@@ -166,10 +166,13 @@ def nearest(
             }
         )
 
+    # a stated number of tasks: few bytes, much work
+    keys, tasks = ("cell", "c", "q"), int(spark.conf.get("spark.sql.shuffle.partitions"))
     near = (
-        ask.select("cell", "c", "q", "vid", "x")
-        .groupBy("cell", "c", "q")
-        .cogroup(give.select("cell", "c", "q", "vid", "x", "times").groupBy("cell", "c", "q"))
+        ask.select(*keys, "vid", "x")
+        .repartition(tasks, *keys)
+        .groupBy(*keys)
+        .cogroup(give.select(*keys, "vid", "x", "times").repartition(tasks, *keys).groupBy(*keys))
         .applyInPandas(compare, f"vid {id_type}, nn {id_type}, nn_x array<double>, nn_times bigint, d2 double")
     )
     order = W.partitionBy("vid").orderBy("d2", "nn")

@@ -25,7 +25,8 @@ def split_model_table(spark, folder) -> DataFrame:
     own = debts(spark, folder).withColumn("label", encode_label("target"))
     flagged = sampling.split_stratified(own, "label", [KEY])
     joined = flagged.join(companies(spark, folder), F.col("cpf_cnpj") == F.col("cd_cnpj"))
-    return stage(drop_incomplete(joined.select(KEY, *NUMERIC, *CATEGORICAL, "label", "is_test")), "model_table")
+    complete = drop_incomplete(joined.select(KEY, *NUMERIC, *CATEGORICAL, "label", "is_test"))
+    return stage(complete, "model_table", [KEY])
 
 
 def prepared(spark, folder):
@@ -86,7 +87,7 @@ def train_gbt(spark, folder):
 
 def _folded(spark, folder, k):
     fit_part, test, preparation = prepared(spark, folder)
-    return stage(sampling.stratified_folds(fit_part, "label", [KEY], k), "folds"), test, preparation
+    return stage(sampling.stratified_folds(fit_part, "label", [KEY], k), "folds", [KEY]), test, preparation
 
 
 def _short(found: train.Search, spark) -> DataFrame:
@@ -122,7 +123,7 @@ def grid_dt(spark, folder):
 def grid_prepared(spark, folder):
     """Imputing, scaling and encoding refitted inside every fold, scored by ROC AUC."""
     df = split_model_table(spark, folder).filter(~F.col("is_test"))
-    folded = stage(sampling.stratified_folds(df, "label", [KEY], 3), "folds")
+    folded = stage(sampling.stratified_folds(df, "label", [KEY], 3), "folds", [KEY])
     steps = prepare.feature_preparation(NUMERIC, CATEGORICAL, impute=True)
     return _short(train.search_logistic(folded, train.LOGISTIC_AUC_GRID, 3, train.auc_scorer(), preparation=steps), spark)
 

@@ -67,8 +67,29 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite")
     df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back, which cuts the lineage."""
-    path = fresh_path(df.sparkSession, name)
+ROWS_PER_TASK = 50_000
+
+
+def stage(df: DataFrame, name: str, spread_by: Sequence[str] = ()) -> DataFrame:
+    """Write to the shared folder and read back, which cuts the lineage.
+
+    With ``spread_by``, a result in fewer files than its rows deserve is dealt
+    out again by those columns, so that work on a small table uses more cores.
+    A large one already has enough files and is left alone.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
     write_parquet(df, path)
-    return df.sparkSession.read.parquet(path)
+    written = spark.read.parquet(path)
+    if not spread_by:
+        return written
+    cores = spark.sparkContext.defaultParallelism
+    held = written.rdd.getNumPartitions()  # a plain scan: counts splits, runs nothing
+    if held >= cores:
+        return written
+    tasks = min(cores, -(-written.count() // ROWS_PER_TASK))
+    if held >= tasks:
+        return written
+    wider = fresh_path(spark, f"{name}-spread")
+    write_parquet(written.repartition(tasks, *spread_by), wider)
+    return spark.read.parquet(wider)
