@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from arrears.functions.hashing import digest
 from arrears.sources.tables import stage
 
-MOST_PIVOTS = 2048
+MOST_PIVOTS = 8192
+CELLS_AT_ONCE = 4_000_000  # distances held in memory while rows are assigned
 SLACK = 1e-6  # distances to pivots carry rounding errors; bounds are widened by it
 
 
@@ -29,6 +30,14 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype="float64")
 
 
+def _slices(batches: Iterator[pd.DataFrame], pivots: int) -> Iterator[pd.DataFrame]:
+    """Cut batches so that the distances of a piece to all pivots fit in memory."""
+    rows = max(1, CELLS_AT_ONCE // pivots)
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.iloc[start : start + rows]
+
+
 def _to_pivots(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     squares = (x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2.0 * (x @ pivots.T)
     return np.sqrt(np.maximum(squares, 0.0))
@@ -69,11 +78,10 @@ def nearest(
         )
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                far = _to_pivots(_matrix(batch["x"]), centre)
-                cell = far.argmin(1)
-                yield batch.assign(cell=cell.astype("int32"), reach=far[np.arange(len(batch)), cell])
+        for batch in _slices(batches, len(centre)):
+            far = _to_pivots(_matrix(batch["x"]), centre)
+            cell = far.argmin(1)
+            yield batch.assign(cell=cell.astype("int32"), reach=far[np.arange(len(batch)), cell])
 
     placed = stage(
         vectors.select("vid", "x", "times").mapInPandas(
@@ -99,20 +107,18 @@ def nearest(
         size[r["cell"]], radius[r["cell"]] = r["n"], r["outer"]
         if r["held"] > k:
             certain[r["cell"]] = r["inner"]
-    between = _to_pivots(centre, centre)
     chunks = np.maximum(1, -(-size // block))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Every cell that may hold one of the k nearest of a query."""
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in _slices(batches, number):
             far = _to_pivots(_matrix(batch["x"]), centre)
             own = far.argmin(1)
             limit = (far + certain[None, :]).min(1)
             limit = limit * (1.0 + SLACK) + SLACK
             by_radius = far - radius[None, :]
-            apart = between[own]
+            used, place = np.unique(own, return_inverse=True)
+            apart = _to_pivots(centre[used], centre)[place]
             with np.errstate(divide="ignore", invalid="ignore"):
                 by_plane = (far**2 - (far[np.arange(len(batch)), own] ** 2)[:, None]) / (2.0 * apart)
             by_plane[~np.isfinite(by_plane)] = -np.inf

@@ -14,7 +14,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.operators.quantiles import approximate_medians, medians, modes
+from arrears.operators.quantiles import _long, approximate_medians, medians, modes
 
 
 def _name(column: str) -> str:
@@ -109,14 +109,23 @@ class OrdinalCoder(_ColumnFit):
         ]
 
 
+MOST_CATEGORIES = 100_000
+
+
 def _categories(dataset: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct texts per column. They become feature slots, so they fit on the driver."""
-    from arrears.operators.quantiles import _long
+    """Sorted distinct texts per column.
 
-    rows = _long(dataset, columns, "string").distinct().collect()
+    They become feature slots or codes, so they must fit on the driver; a column
+    with more than ``MOST_CATEGORIES`` of them is refused, not cut short.
+    """
+    most = MOST_CATEGORIES * len(columns)
+    rows = _long(dataset, columns, "string").distinct().limit(most + 1).collect()
     seen: dict[str, list[str]] = {c: [] for c in columns}
     for r in rows:
         seen[r["name"]].append(r["value"])
+    crowded = [c for c, v in seen.items() if len(v) > MOST_CATEGORIES]
+    if crowded or len(rows) > most:
+        raise ValueError(f"too many categories to encode in {crowded or list(columns)}")
     return {c: sorted(v) for c, v in seen.items()}
 
 

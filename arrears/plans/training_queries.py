@@ -12,6 +12,7 @@ from arrears.operators import evaluate, prepare, runs, sampling, train
 from arrears.operators.shaping import drop_incomplete
 from arrears.plans.evaluation_queries import SCORED_SQL, scored
 from arrears.plans.model_table import CATEGORICAL, KEY, NUMERIC, companies, debts, model_table
+from arrears.plans import workflow
 from arrears.plans.registry import query
 from arrears.session import fresh_path
 from arrears.sources.tables import stage
@@ -161,6 +162,23 @@ def model_champion(spark, folder):
     return best.join(scores, "name").select("name", F.round("score", 6).alias("score"))
 
 
+@query("full_run")
+def full_run(spark, folder):
+    """The whole way from labelled table to registered champion, with small grids."""
+    output = fresh_path(spark, "full_run")
+    outcome = workflow.run(
+        model_table(spark, folder),
+        KEY,
+        "target",
+        folds=3,
+        logistic_grid={"penalty": ["l2"], "C": [1, 100]},
+        tree_grid={"max_depth": [10], "min_samples_split": [2, 20], "min_samples_leaf": [5]},
+        output=output,
+    )
+    metrics = runs.RunRegistry(spark, f"{output}/registry").table("metrics").filter(F.col("run_id") == outcome.run_id)
+    return metrics.select(F.lit(outcome.champion).alias("champion"), "key", F.round("value", 6).alias("value"))
+
+
 @query("feature_importance")
 def feature_importance(spark, folder):
     model, _, _, test = _fitted_logistic(spark, folder)

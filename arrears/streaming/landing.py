@@ -21,8 +21,8 @@ def land_new_files(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     pattern: str | None = None,
     files_per_batch: int = 1000,
-) -> int:
-    """Append the files that arrived since the last call to ``target``; rows appended."""
+) -> None:
+    """Append the files that arrived since the last call to ``target``."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -37,4 +37,3 @@ def land_new_files(
         .start()
     )
     job.awaitTermination()
-    return sum(int(p["numInputRows"]) for p in job.recentProgress)

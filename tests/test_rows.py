@@ -20,6 +20,8 @@ CHECKS = {
     "grid_results": lambda rows: len(rows) == 2 and _ranked(rows),
     "random_search_lr": lambda rows: len(rows) == 8 and _ranked(rows),
     "model_champion": lambda rows: len(rows) == 1 and rows[0]["score"] > 70,
+    "full_run": lambda rows: {r["key"] for r in rows} == {"accuracy", "precision", "recall", "f1", "hit_rate"}
+    and all(r["value"] > 0.7 for r in rows),
     "feature_importance": lambda rows: rows[0]["feature"] == "idade_divida_dias",
     "model_report": lambda rows: {r["section"] for r in rows}
     == {"metrics", "confusion_matrix", "classes", "params", "importance"},
