@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from arrears.functions.dates import age_in_days
-from arrears.operators.joins import left_join_spread
+from arrears.operators.joins import join_spread
 
 LIMIT_DAYS = 5 * 365
 BANDS = (100.0, 1_000.0, 10_000.0, 100_000.0, 1_000_000.0)
@@ -37,7 +37,7 @@ def debtor_totals(df: DataFrame, debtor: str, period: Sequence[str], value: str,
     """Each debt with its debtor's total, count and the debt's share in the period."""
     keys = [debtor, *period]
     totals = df.groupBy(*keys).agg(F.sum(value).alias("ttl_divida"), F.count(F.lit(1)).alias("ttl_inscricoes"))
-    joined = left_join_spread(df, totals, keys, row_key, rows_per_split)
+    joined = join_spread(df, totals, keys, row_key, rows_per_split=rows_per_split)
     share = F.when(F.col("ttl_divida") != 0, F.col(value) / F.col("ttl_divida"))
     return joined.withColumn("perc_inscricao", share)
 
@@ -69,7 +69,7 @@ def sued_before(df: DataFrame, debtor: str, order: str, status: str, row_key: Se
     The first sued snapshot per debtor decides, so one aggregate is enough.
     """
     first = df.filter(F.col(status) == "SIM").groupBy(debtor).agg(F.min(order).alias("__first"))
-    joined = left_join_spread(df, first, [debtor], row_key, rows_per_split)
+    joined = join_spread(df, first, [debtor], row_key, rows_per_split=rows_per_split)
     return joined.withColumn(out, F.coalesce(F.col("__first") < F.col(order), F.lit(False))).drop("__first")
 
 

@@ -2,7 +2,7 @@
 
 No join here carries a broadcast hint on table data: Catalyst broadcasts a
 side only when its measured size is below the session's threshold. Where one
-key may own a large share of the left rows, ``left_join_spread`` splits it.
+key may own a large share of the left rows, ``join_spread`` splits it.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+NULL_SPLITS = 4096
+
 
 def suffix_clashes(
     left: DataFrame, right: DataFrame, on: Sequence[str], suffixes: tuple[str, str] = ("_x", "_y")
@@ -57,41 +59,54 @@ def only_referenced(right: DataFrame, right_key: str, left: DataFrame, left_key:
     return right.join(wanted, right_key, "left_semi")
 
 
-def enrich_reduced(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
+def enrich_reduced(
+    left: DataFrame, left_key: str, right: DataFrame, right_key: str, row_key: Sequence[str]
+) -> DataFrame:
     """Cut the registry down to the referenced keys, rename its key, left join."""
     reduced = only_referenced(right, right_key, left, left_key).withColumnRenamed(right_key, left_key)
-    return merge(left, reduced, [left_key], "left")
+    return join_spread(left, reduced, [left_key], row_key)
 
 
-def left_join_spread(
+def join_spread(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
     row_key: Sequence[str],
+    how: str = "left",
     rows_per_split: int = 2_000_000,
 ) -> DataFrame:
-    """Left join in which a key with many left rows is worked on by many tasks.
+    """Left or inner join in which a key with many left rows is worked on by many tasks.
 
     One pass counts left rows by key (combined before the shuffle) and keeps
     the keys above ``rows_per_split``: at most ``rows / rows_per_split`` of
     them, which bounds what is broadcast. Left rows of such a key are spread by
     a hash of ``row_key``; its right rows are repeated once per split. All other
-    keys go through unsplit.
+    keys go through unsplit. Left rows with a null key match nothing and are
+    spread as well. Clashing columns get suffixes.
     """
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
     keys = list(on)
+    left, right = suffix_clashes(left, right, keys)
     hot = (
         left.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__n"))
         .filter(F.col("__n") > rows_per_split)
         .select(*keys, F.ceil(F.col("__n") / rows_per_split).cast("int").alias("__splits"))
     )
-    spread: Column = F.coalesce(
-        F.pmod(F.xxhash64(*[F.col(k) for k in row_key]), F.col("__splits").cast("bigint")).cast("int"),
-        F.lit(0),
+    number = F.xxhash64(*[F.col(k) for k in row_key])
+    unkeyed = F.lit(False)
+    for k in keys:
+        unkeyed = unkeyed | F.col(k).isNull()
+    spread: Column = (
+        F.when(unkeyed, F.pmod(number, F.lit(NULL_SPLITS)))
+        .when(F.col("__splits").isNotNull(), F.pmod(number, F.col("__splits").cast("bigint")))
+        .otherwise(0)
+        .cast("int")
     )
     left_salted = left.join(F.broadcast(hot), keys, "left").withColumn("__salt", spread).drop("__splits")
     copies = F.sequence(F.lit(0), F.coalesce(F.col("__splits"), F.lit(1)) - 1)
     right_salted = (
         right.join(F.broadcast(hot), keys, "left").withColumn("__salt", F.explode(copies)).drop("__splits")
     )
-    return left_salted.join(right_salted, [*keys, "__salt"], "left").drop("__salt")
+    return left_salted.join(right_salted, [*keys, "__salt"], how).drop("__salt")

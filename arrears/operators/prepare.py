@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,17 +96,31 @@ class Categoriser(_ColumnFit):
         ]
 
 
+class CategoryIndex(_ColumnFit):
+    """Index 0.. in text order; unseen texts and nulls get the index after the last."""
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        seen = _categories(dataset, self.inputs)
+        # one model per column: arrays of uneven length would be padded with nulls on their way to the JVM
+        return PipelineModel(
+            stages=[
+                StringIndexerModel.from_labels(seen[c], inputCol=c, outputCol=out, handleInvalid="keep")
+                for c, out in zip(self.inputs, self.outputs)
+            ]
+        )
+
+
 class OrdinalCoder(_ColumnFit):
     """Codes 0.. in text order; unseen texts and nulls become -1."""
 
-    def _sql(self, dataset: DataFrame) -> list[str]:
-        seen = _categories(dataset, self.inputs)
-        return [
-            f"CASE WHEN {_name(c)} IS NULL THEN -1.0D ELSE CAST(coalesce(array_position(array({', '.join(_text(v) for v in seen[c])}), {_name(c)}), 0) - 1 AS DOUBLE) END"
-            if seen[c]
-            else "-1.0D"
-            for c in self.inputs
-        ]
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        indexed = [f"{c}__index" for c in self.outputs]
+        index = CategoryIndex(self.inputs, indexed).fit(dataset)
+        codes = {
+            out: f"CASE WHEN {_name(i)} = {len(stage.labels)} THEN -1.0D ELSE {_name(i)} END"
+            for out, i, stage in zip(self.outputs, indexed, index.stages)
+        }
+        return PipelineModel(stages=[index, _projection(codes)])
 
 
 MOST_CATEGORIES = 100_000
@@ -131,13 +145,8 @@ def _categories(dataset: DataFrame, columns: Sequence[str]) -> dict[str, list[st
 
 def one_hot(columns: Sequence[str]) -> list[Estimator]:
     """One slot per seen category in text order; an unseen one sets none."""
-    index = StringIndexer(
-        inputCols=list(columns),
-        outputCols=[f"{c}__index" for c in columns],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    )
-    # "keep" adds a slot for the unseen, which dropLast removes again
+    index = CategoryIndex(list(columns), [f"{c}__index" for c in columns])
+    # the index after the last stands for the unseen; dropLast removes its slot
     encode = OneHotEncoder(
         inputCols=[f"{c}__index" for c in columns], outputCols=[f"{c}__hot" for c in columns], dropLast=True
     )

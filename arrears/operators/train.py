@@ -192,8 +192,7 @@ def cross_validate(
 ) -> Search:
     """Score every point on every fold, then refit the best on all of ``train``.
 
-    ``spark_params`` maps a point to Spark parameters of ``estimator``. Points
-    that map to the same parameters are fitted once.
+    ``spark_params`` maps a point to Spark parameters of ``estimator``.
     """
     timed = _Timed(estimator)
     validator = CrossValidator(

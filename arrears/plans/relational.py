@@ -269,9 +269,7 @@ KEYS_SQL = """debtor_keys AS (
 )
 def join_left(spark, folder):
     """The debtor key may be hot, so its rows are spread."""
-    return joins.left_join_spread(
-        _debtor_keys(spark, folder), _registry(spark, folder), ["cd_cnpj"], ["o_orderkey"]
-    )
+    return joins.join_spread(_debtor_keys(spark, folder), _registry(spark, folder), ["cd_cnpj"], ["o_orderkey"])
 
 
 @query(
@@ -282,7 +280,7 @@ def join_left(spark, folder):
 )
 def join_semi_reduced(spark, folder):
     left = _debtor_keys(spark, folder).withColumnRenamed("cd_cnpj", "cnpj")
-    return joins.enrich_reduced(left, "cnpj", _registry(spark, folder), "cd_cnpj")
+    return joins.enrich_reduced(left, "cnpj", _registry(spark, folder), "cd_cnpj", ["o_orderkey"])
 
 
 @query(
@@ -294,7 +292,9 @@ def join_semi_reduced(spark, folder):
 def join_cast_keys(spark, folder):
     left = joins.cast_keys(_debtor_keys(spark, folder), {"cd_cnpj": "string"})
     right = joins.cast_keys(_registry(spark, folder), {"cd_cnpj": "string"})
-    return joins.merge(left.select("o_orderkey", "cd_cnpj"), right.select("cd_cnpj", "nm_porte"), ["cd_cnpj"])
+    return joins.join_spread(
+        left.select("o_orderkey", "cd_cnpj"), right.select("cd_cnpj", "nm_porte"), ["cd_cnpj"], ["o_orderkey"]
+    )
 
 
 @query(
@@ -302,7 +302,9 @@ def join_cast_keys(spark, folder):
     f"""WITH {REGISTRY_SQL}, {KEYS_SQL} SELECT o_orderkey, cd_cnpj, nm_porte FROM debtor_keys JOIN registry USING (cd_cnpj)""",
 )
 def join_inner(spark, folder):
-    joined = joins.merge(_debtor_keys(spark, folder), _registry(spark, folder), ["cd_cnpj"], "inner")
+    joined = joins.join_spread(
+        _debtor_keys(spark, folder), _registry(spark, folder), ["cd_cnpj"], ["o_orderkey"], "inner"
+    )
     return joined.select("o_orderkey", "cd_cnpj", "nm_porte")
 
 

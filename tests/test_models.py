@@ -138,6 +138,10 @@ def test_preparation_edges(spark):
     assert rows[0][2:] == [0.0, 1.0] and rows[2][2:] == [1.0, 0.0]  # tie: the smaller text
     unseen = spark.createDataFrame([(1.0, 9, "zzz")], "n double, c int, t string")
     assert model.transform(unseen).first()["features"].toArray().tolist()[1:] == [4.0, 0.0, 0.0]
+    uneven = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "y")], "p string, q string")
+    both = prepare.fit_preparation(uneven, [], ["p", "q"]).transform(uneven)
+    assert prepare.feature_names(both) == ["p_a", "p_b", "p_c", "q_x", "q_y"]
+    assert both.first()["features"].toArray().tolist() == [1.0, 0.0, 0.0, 1.0, 0.0]
     coded = prepare.fit_preparation(df, [], ["t"], encoding="ordinal").transform(df)
     assert [r["features"][0] for r in coded.collect()] == [1.0, 0.0, -1.0]
     with pytest.raises(ValueError):

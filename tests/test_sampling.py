@@ -109,10 +109,41 @@ def test_rows_are_never_gathered_in_one_task(uneven, operator):
 def test_hot_key_join_keeps_every_row(spark, split):
     left = spark.range(300).select("id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 != 1, F.col("id")).alias("k"))
     right = spark.createDataFrame([(7, "a"), (8, "b"), (8, "c"), (1000, "d")], "k bigint, v string")
-    got = joins.left_join_spread(left, right, ["k"], ["id"], rows_per_split=split)
+    got = joins.join_spread(left, right, ["k"], ["id"], rows_per_split=split)
     assert pairs(got, "id", "k", "v") == pairs(left.join(right, "k", "left"), "id", "k", "v")
 
 
+def test_hot_key_is_shared_out(spark):
+    """A third of the rows under one key, a third without a key: no partition gets them all."""
+    left = spark.range(30_000).select(
+        "id", F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 3 == 1, F.col("id")).alias("k")
+    )
+    right = left.filter("k IS NOT NULL").select("k").distinct().withColumn("v", F.lit(1))
+    off = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(off)
+    spark.conf.set(off, -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = joins.join_spread(left, right, ["k"], ["id"], rows_per_split=500)
+        parts = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in parts) == 30_000
+        assert max(r["count"] for r in parts) < 4_000
+    finally:
+        spark.conf.set(off, before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_inner_join_spread(spark):
+    left = spark.createDataFrame([(1, "x", 5), (2, None, 6), (3, "z", 7)], "id int, k string, w int")
+    right = spark.createDataFrame([("x", 1), ("x", 2), (None, 3)], "k string, w int")
+    got = joins.join_spread(left, right, ["k"], ["id"], "inner", rows_per_split=1)
+    assert pairs(got, "id", "k", "w_x", "w_y") == [(1, "x", 5, 1), (1, "x", 5, 2)]
+    with pytest.raises(ValueError):
+        joins.join_spread(left, right, ["k"], ["id"], "full")
+
+
 def test_null_keys(spark):
     left = spark.createDataFrame([(1, None), (2, "x")], "a int, k string")
     right = spark.createDataFrame([(None, "n"), ("x", "y")], "k string, v string")
