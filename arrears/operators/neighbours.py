@@ -9,11 +9,10 @@ blocks of bounded size, so no task holds a whole cell.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,20 +21,23 @@ from arrears.functions.hashing import digest
 from arrears.sources.tables import stage
 
 MOST_PIVOTS = 8192
+CELL_ROWS = 500  # vectors a cell should hold on average
 CELLS_AT_ONCE = 4_000_000  # distances held in memory while rows are assigned
 SLACK = 1e-6  # distances to pivots carry rounding errors; bounds are widened by it
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype="float64")
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows of a list column as a matrix."""
+    chunk = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return chunk.flatten().to_numpy(zero_copy_only=False).reshape(len(chunk), -1)
 
 
-def _slices(batches: Iterator[pd.DataFrame], pivots: int) -> Iterator[pd.DataFrame]:
+def _slices(batches: Iterator[pa.RecordBatch], pivots: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the distances of a piece to all pivots fit in memory."""
     rows = max(1, CELLS_AT_ONCE // pivots)
     for batch in batches:
-        for start in range(0, len(batch), rows):
-            yield batch.iloc[start : start + rows]
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 def _to_pivots(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -68,7 +70,7 @@ def nearest(
     spark = vectors.sparkSession
     id_type = dict(vectors.dtypes)["vid"]
     count = vectors.count()
-    wanted = pivots or max(1, min(MOST_PIVOTS, math.isqrt(count)))
+    wanted = pivots or max(1, min(MOST_PIVOTS, count // CELL_ROWS))
     # a bounded number of vectors, chosen by hash, hence spread like the data
     chosen = vectors.orderBy(digest(seed, "vid")).select("x").limit(wanted).collect()
     centre = np.array([r["x"] for r in chosen], dtype="float64")
@@ -77,14 +79,17 @@ def nearest(
             [], f"vid {id_type}, nn {id_type}, nn_x array<double>, nn_times bigint, d2 double, place int"
         )
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, len(centre)):
-            far = _to_pivots(_matrix(batch["x"]), centre)
+            far = _to_pivots(_matrix(batch.column("x")), centre)
             cell = far.argmin(1)
-            yield batch.assign(cell=cell.astype("int32"), reach=far[np.arange(len(batch)), cell])
+            reach = far[np.arange(len(cell)), cell]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(cell, pa.int32()), pa.array(reach)], [*batch.schema.names, "cell", "reach"]
+            )
 
     placed = stage(
-        vectors.select("vid", "x", "times").mapInPandas(
+        vectors.select("vid", "x", "times").mapInArrow(
             assign, f"vid {id_type}, x array<double>, times bigint, cell int, reach double"
         ),
         "cells",
@@ -109,10 +114,10 @@ def nearest(
             certain[r["cell"]] = r["inner"]
     chunks = np.maximum(1, -(-size // block))
 
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Every cell that may hold one of the k nearest of a query."""
         for batch in _slices(batches, number):
-            far = _to_pivots(_matrix(batch["x"]), centre)
+            far = _to_pivots(_matrix(batch.column("x")), centre)
             own = far.argmin(1)
             limit = (far + certain[None, :]).min(1)
             limit = limit * (1.0 + SLACK) + SLACK
@@ -120,20 +125,17 @@ def nearest(
             used, place = np.unique(own, return_inverse=True)
             apart = _to_pivots(centre[used], centre)[place]
             with np.errstate(divide="ignore", invalid="ignore"):
-                by_plane = (far**2 - (far[np.arange(len(batch)), own] ** 2)[:, None]) / (2.0 * apart)
+                by_plane = (far**2 - (far[np.arange(len(own)), own] ** 2)[:, None]) / (2.0 * apart)
             by_plane[~np.isfinite(by_plane)] = -np.inf
             possible = (np.maximum(by_radius, by_plane - SLACK) <= limit[:, None]) & (size > 0)[None, :]
             row, cell = np.nonzero(possible)
-            yield pd.DataFrame(
-                {
-                    "vid": batch["vid"].to_numpy()[row],
-                    "x": batch["x"].to_numpy()[row],
-                    "cell": cell.astype("int32"),
-                }
+            picked = batch.take(pa.array(row))
+            yield pa.RecordBatch.from_arrays(
+                [picked.column("vid"), picked.column("x"), pa.array(cell, pa.int32())], ["vid", "x", "cell"]
             )
 
     routed = stage(
-        queries.select("vid", "x").mapInPandas(route, f"vid {id_type}, x array<double>, cell int"), "routes"
+        queries.select("vid", "x").mapInArrow(route, f"vid {id_type}, x array<double>, cell int"), "routes"
     )
     asked = {r["cell"]: r["n"] for r in routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = spark.createDataFrame(
@@ -151,24 +153,31 @@ def nearest(
     ask = routed.join(small, "cell").withColumn("q", share("asks")).withColumn("c", every("chunks"))
     give = placed.join(small, "cell").withColumn("c", share("chunks")).withColumn("q", every("asks"))
 
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns = ["vid", "nn", "nn_x", "nn_times", "d2"]
-        if not len(left) or not len(right):
-            return pd.DataFrame(columns=columns)
-        ids, others = left["vid"].to_numpy(), right["vid"].to_numpy()
-        d2 = _squared(_matrix(left["x"]), _matrix(right["x"]))
-        d2[ids[:, None] == others[None, :]] = np.inf
-        kth = np.partition(d2, min(k, d2.shape[1]) - 1, axis=1)[:, min(k, d2.shape[1]) - 1]
-        row, col = np.nonzero((d2 <= kth[:, None]) & np.isfinite(d2))
-        found = pd.DataFrame({"row": row, "col": col, "d2": d2[row, col], "nn": others[col]})
-        found = found.sort_values(["row", "d2", "nn"]).groupby("row").head(k)
-        return pd.DataFrame(
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The k nearest of each query among one block of candidates."""
+        row, col, d2 = np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
+        if left.num_rows and right.num_rows:
+            ids = np.array(left.column("vid").to_pylist())
+            others = np.array(right.column("vid").to_pylist())
+            all_d2 = _squared(_matrix(left.column("x")), _matrix(right.column("x")))
+            all_d2[ids[:, None] == others[None, :]] = np.inf
+            nth = min(k, all_d2.shape[1])
+            kth = np.partition(all_d2, nth - 1, axis=1)[:, nth - 1]
+            row, col = np.nonzero((all_d2 <= kth[:, None]) & np.isfinite(all_d2))
+            order = np.lexsort((others[col], all_d2[row, col], row))
+            row, col = row[order], col[order]
+            first = np.searchsorted(row, row)  # where the row's candidates start
+            keep = np.arange(len(row)) - first < k
+            row, col = row[keep], col[keep]
+            d2 = all_d2[row, col]
+        near, far = left.take(pa.array(row)), right.take(pa.array(col))
+        return pa.table(
             {
-                "vid": ids[found["row"]],
-                "nn": found["nn"].to_numpy(),
-                "nn_x": right["x"].to_numpy()[found["col"]],
-                "nn_times": right["times"].to_numpy()[found["col"]],
-                "d2": found["d2"].to_numpy(),
+                "vid": near.column("vid"),
+                "nn": far.column("vid"),
+                "nn_x": far.column("x"),
+                "nn_times": far.column("times"),
+                "d2": pa.array(d2, pa.float64()),
             }
         )
 
@@ -179,7 +188,7 @@ def nearest(
         .repartition(tasks, *keys)
         .groupBy(*keys)
         .cogroup(give.select(*keys, "vid", "x", "times").repartition(tasks, *keys).groupBy(*keys))
-        .applyInPandas(compare, f"vid {id_type}, nn {id_type}, nn_x array<double>, nn_times bigint, d2 double")
+        .applyInArrow(compare, f"vid {id_type}, nn {id_type}, nn_x array<double>, nn_times bigint, d2 double")
     )
     order = W.partitionBy("vid").orderBy("d2", "nn")
     return near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
