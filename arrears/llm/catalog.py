@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from arrears.llm import (  # noqa: F401
+    aho_benchmark,
+    line_frequency,
+    simhash_bktree,
     token_fst,
 )
 from arrears.llm.registry import ORACLES, QUERIES  # noqa: F401

@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import map_text, texts_of
+from arrears.llm.common import map_text, sum_tail, texts_of
 from arrears.llm.registry import query, table
 
 CHUNK = 512  # bytes of a chunk
@@ -323,11 +323,6 @@ def count_texts(counter: Counter, texts: list[bytes]) -> np.ndarray:
     return counts
 
 
-def sum_tail(text: bytes) -> int:
-    """Continuation bytes of UTF-8 text: bytes minus characters."""
-    return 0 if text.isascii() else int(np.count_nonzero((np.frombuffer(text, np.uint8) & 0xC0) == 0x80))
-
-
 def pieces(text: bytes) -> list[bytes]:
     """Cut a long text before single blanks between letters or signs, where a pre-token starts whatever stands
     around it."""
