@@ -5,6 +5,8 @@ from __future__ import annotations
 from arrears.llm import (  # noqa: F401
     aho_benchmark,
     line_frequency,
+    lm_bloom,
+    relative_lz,
     simhash_bktree,
     token_fst,
 )
