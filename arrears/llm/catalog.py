@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from arrears.llm import (  # noqa: F401
     aho_benchmark,
+    license_rules,
     line_frequency,
     lm_bloom,
+    mil_quality,
+    mix_budget,
     relative_lz,
     simhash_bktree,
     token_fst,
+    url_words,
 )
 from arrears.llm.registry import ORACLES, QUERIES  # noqa: F401

@@ -1,15 +1,64 @@
-"""From raw documents to a weighted training mixture, in stages that are each written and read again."""
+"""From raw documents to a weighted training mixture, in stages that are each written and read again.
+
+Every stage takes all documents its predecessor kept. The last one returns the documents of the mixture with the tokens
+to take from each; the others return the columns of the documents.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from arrears.llm.aho_benchmark import decontaminate
+from arrears.llm.common import staged
+from arrears.llm.line_frequency import clean
+from arrears.llm.mix_budget import mixture
+from arrears.llm.registry import table
+from arrears.llm.relative_lz import dedup_substrings
+from arrears.llm.simhash_bktree import deduplicate
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the others lose their boilerplate lines."""
+    return clean(docs)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: the one with the smallest doc_id."""
+    return deduplicate(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has are cut; a document of which nothing is left goes."""
+    return dedup_substrings(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mixture, each with its tokens to take."""
+    return mixture(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("simhash_dedup", simhash_dedup),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("source_mixing", source_mixing),
+]
+
+#: Near copies and connected components are beyond SQL on whole tables; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over ``documents``, each result written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
