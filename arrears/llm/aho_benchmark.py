@@ -10,8 +10,6 @@ they are dealt into blocks below that size, with one pass over the documents for
 
 from __future__ import annotations
 
-import hashlib
-
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -19,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import lists, map_text, plain_words, texts_of
+from arrears.llm.common import lists, map_text, pack, plain_words, texts_of
 from arrears.llm.registry import query, table
 
 WIDTH = 13
@@ -165,7 +163,7 @@ def find_items(
     ).where(F.col("t").isNotNull())
     total = picked.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = -(-total // most_bytes) or 1
-    rows = docs.select(F.struct(*keep).alias("row"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(pack(keep), F.col(text).cast("string").alias("text"))
     for block in range(blocks):
         mine = picked if blocks == 1 else picked.where(F.pmod(F.xxhash64("k", "t"), F.lit(blocks)) == block)
         rows = _pass(rows, Windows([tuple(r) for r in mine.collect()], width))

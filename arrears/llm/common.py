@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from arrears.session import fresh_path
 
@@ -87,6 +88,11 @@ def map_text(
     return df.mapInArrow(lambda batches: work(small_batches(batches, position)), schema)
 
 
+def pack(keep: Iterable[str]) -> Column:
+    """The given columns, whatever their names, as one column ``row``, so that none clashes with an operator's own."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in keep]).alias("row")
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write below ``spark.checkpoint.dir`` and read back: cuts the lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, name)

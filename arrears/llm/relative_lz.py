@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import WordHashes, blank_words, lists, map_text, mix, staged, texts_of
+from arrears.llm.common import WordHashes, blank_words, lists, map_text, mix, pack, staged, texts_of
 from arrears.llm.registry import query, table
 
 WINDOW = 50
@@ -296,7 +296,7 @@ def covered(n: int, copy: bool, begins, ends, at, window: int) -> np.ndarray:
 
 
 def cut(text: bytes, gone: np.ndarray) -> bytes:
-    """The text without the given words. White space around a removed run shrinks to one line break or blank."""
+    """The text without the given words. A line break stands for a removed run."""
     out, at, pending = [], 0, False
     for k, m in enumerate(WORD.finditer(text)):
         if gone[k]:
@@ -330,7 +330,7 @@ def remove_duplicates(
     """
     spans = duplicate_spans(docs, key, text, window, width)
     rows = docs.select(
-        F.struct(*keep).alias("row"),
+        pack(keep),
         F.col(text).cast("string").alias("text"),
         F.col(key).alias("id"),
         F.xxhash64(text).alias("mark"),
@@ -373,13 +373,14 @@ def remove_duplicates(
 def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars") -> DataFrame:
     """The documents without their duplicate words; those of which nothing is left go. ``chars`` is counted anew."""
     done = remove_duplicates(docs, docs.columns, key, text, texts=True)
-    return (
-        done.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-        .select("row.*", "kept", (F.col("n_removed") > 0).alias("was cut"))
-        .withColumn(chars, F.when(F.col("was cut"), F.length("kept").cast("long")).otherwise(F.col(chars)))
-        .withColumn(text, F.col("kept"))
-        .select(*docs.columns)
-    )
+    row = F.col("row")
+    new = {
+        text: F.col("kept"),
+    }
+    if chars in docs.columns:
+        new[chars] = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(row[chars])
+    left = done.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    return left.select(*[new.get(c, row[c]).alias(c) for c in docs.columns])
 
 
 SQL = r"""

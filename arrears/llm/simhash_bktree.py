@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import blank_words, map_text, staged, texts_of
+from arrears.llm.common import blank_words, map_text, pack, staged, texts_of
 from arrears.llm.registry import query, table
 
 SEED = 42
@@ -65,7 +65,7 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, keep: list[str], text: str, width: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """``row`` (struct of ``keep``) and ``fp`` for each row. Null is an empty text; a text without words has 0."""
-    rows = docs.select(F.struct(*keep).alias("row"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(pack(keep), F.col(text).cast("string").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
 
     def work(batches):
