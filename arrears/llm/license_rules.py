@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import map_text, plain_words, texts_of
+from arrears.llm.common import map_text, pack, plain_words, texts_of
 from arrears.llm.registry import query, table
 
 #: Kinds of rules: priority, and how sure a detection is.
@@ -252,7 +252,7 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     (those of detections too), score (one minus the product of the doubts of all detections' labels), and
     ``detections`` (label, rule kind, characters from and up to). Null and empty texts name nothing.
     """
-    rows = docs.select(F.struct(*keep).alias("row"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(pack(keep), F.col(text).cast("string").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
 
     def work(batches):

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import map_text, mix, texts_of
+from arrears.llm.common import map_text, mix, pack, texts_of
 from arrears.llm.lm_bloom import held_out
 from arrears.llm.registry import query, table
 
@@ -249,7 +249,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, te
 
 def score_quality(docs: DataFrame, model: Attention, keep: list[str], text: str = "text") -> DataFrame:
     """``row`` (struct of ``keep``) and ``score`` for each row, repeated rows included; null is an empty text."""
-    rows = docs.select(F.struct(*keep).alias("row"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(pack(keep), F.col(text).cast("string").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
 
     def work(batches):

@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrears.llm.common import staged
+from arrears.llm.common import pack, staged
 from arrears.llm.registry import query, table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -121,7 +121,7 @@ def mix(
     """
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     read = docs.select(
-        F.struct(*keep).alias("row"),
+        pack(keep),
         name(key).alias("id"),
         domain_of(name(source), domains, OTHER_DOMAIN).alias("a"),
         name(language).alias("b"),

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import staged
+from arrears.llm.common import pack, staged
 from arrears.llm.registry import query, table
 
 LONGEST = 24  # letters of a word in the unigram model
@@ -157,7 +157,7 @@ def judge(
     shares of the two classes. An empty table gives an empty result.
     """
     host, path = host_and_path(url)
-    read = pages.select(F.struct(*keep).alias("row"), host.alias("host"), path.alias("path"))
+    read = pages.select(pack(keep), host.alias("host"), path.alias("path"))
     read = staged(read.withColumn("owner", F.monotonically_increasing_id()), "urls")
     hosts = read.select("host").distinct()
     names = hosts.select("host", F.posexplode(letters(F.col("host"))).alias("at", "name"))
