@@ -92,14 +92,8 @@ def offsets(text: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(at[a][0], at[b - 1][1]) for a, b in spans]
 
 
-SCHEMA = (
-    "n_words long, begins array<int>, ends array<int>, first array<int>, last array<int>, item_ids array<string>"
-)
-
-
 def _pass(rows: DataFrame, windows: Windows) -> DataFrame:
     """Add what one block of items hits to what earlier blocks hit."""
-    kind = rows.schema["row"].dataType.simpleString()
 
     def work(batches):
         for batch in batches:
@@ -134,7 +128,7 @@ def _pass(rows: DataFrame, windows: Windows) -> DataFrame:
             )
 
     schema = (
-        f"row {kind}, text string, begins array<int>, ends array<int>, first array<int>, last array<int>, "
+        "text string, begins array<int>, ends array<int>, first array<int>, last array<int>, "
         "item_ids array<string>, n_words long"
     )
     return map_text(rows, schema, work, "text")

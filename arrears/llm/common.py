@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arrears.session import fresh_path
 
@@ -81,10 +82,15 @@ def small_batches(batches: Iterable[pa.RecordBatch], text: int = 0) -> Iterator[
 
 
 def map_text(
-    df: DataFrame, schema: str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], text: str
+    df: DataFrame, schema: str | T.StructType, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], text: str
 ) -> DataFrame:
-    """``mapInArrow`` over small batches; ``text`` names the column that decides their size."""
+    """``mapInArrow`` over small batches; ``text`` names the column that decides their size.
+
+    A column ``row`` comes first in the result if the input has one; ``schema`` gives the other columns.
+    """
     position = df.columns.index(text)
+    if isinstance(schema, str) and "row" in df.columns:
+        schema = T.StructType([df.schema["row"], *T.StructType.fromDDL(schema).fields])
     return df.mapInArrow(lambda batches: work(small_batches(batches, position)), schema)
 
 

@@ -253,7 +253,6 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     ``detections`` (label, rule kind, characters from and up to). Null and empty texts name nothing.
     """
     rows = docs.select(pack(keep), F.col(text).cast("string").alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
 
     def work(batches):
         for batch in batches:
@@ -283,7 +282,7 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
             )
 
     schema = (
-        f"row {kind}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
+        "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
         "score double, detections array<struct<label:string,kind:string,begin:int,end:int>>"
     )
     return map_text(rows, schema, work, "text")

@@ -209,7 +209,6 @@ def frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
 
 def score_rows(docs: DataFrame, keep: list[str], text: str, model: dict) -> DataFrame:
     rows = docs.select(pack(keep), F.col(text).cast("string").alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches):
@@ -255,7 +254,7 @@ def score_rows(docs: DataFrame, keep: list[str], text: str, model: dict) -> Data
             )
 
     schema = (
-        f"row {kind}, n_tokens long, n_head long, base_head double, score double, rest array<long>, times array<int>"
+        "n_tokens long, n_head long, base_head double, score double, rest array<long>, times array<int>"
     )
     return map_text(rows, schema, work, "text")
 

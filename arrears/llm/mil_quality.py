@@ -250,7 +250,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, label: str, te
 def score_quality(docs: DataFrame, model: Attention, keep: list[str], text: str = "text") -> DataFrame:
     """``row`` (struct of ``keep``) and ``score`` for each row, repeated rows included; null is an empty text."""
     rows = docs.select(pack(keep), F.col(text).cast("string").alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
 
     def work(batches):
         for batch in batches:
@@ -258,7 +257,7 @@ def score_quality(docs: DataFrame, model: Attention, keep: list[str], text: str
                 [batch.column(0), pa.array(model.scores(texts_of(batch.column(1))))], names=["row", "score"]
             )
 
-    return map_text(rows, f"row {kind}, score double", work, "text")
+    return map_text(rows, "score double", work, "text")
 
 
 @query("op7_quality_classifier")

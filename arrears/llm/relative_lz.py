@@ -336,7 +336,6 @@ def remove_duplicates(
         F.xxhash64(text).alias("mark"),
     )
     joined = rows.join(spans, ["id", "mark"], "left").select("row", "text", "copy", "begins", "ends", "at")
-    kind = joined.schema["row"].dataType.simpleString()
 
     def work(batches):
         for batch in batches:
@@ -367,7 +366,7 @@ def remove_duplicates(
                 names=["row", "n_words", "n_removed", "kept_sha256", "kept"],
             )
 
-    return map_text(joined, f"row {kind}, n_words long, n_removed long, kept_sha256 string, kept string", work, "text")
+    return map_text(joined, "n_words long, n_removed long, kept_sha256 string, kept string", work, "text")
 
 
 def dedup_substrings(docs: DataFrame, key: str = "doc_id", text: str = "text", chars: str = "n_chars") -> DataFrame:

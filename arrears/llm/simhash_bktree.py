@@ -66,7 +66,6 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def fingerprints(docs: DataFrame, keep: list[str], text: str, width: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """``row`` (struct of ``keep``) and ``fp`` for each row. Null is an empty text; a text without words has 0."""
     rows = docs.select(pack(keep), F.col(text).cast("string").alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
 
     def work(batches):
         for batch in batches:
@@ -78,7 +77,7 @@ def fingerprints(docs: DataFrame, keep: list[str], text: str, width: int = SHING
             got = majority(np.concatenate(hashes), np.array(counts))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got.view(np.int64))], names=["row", "fp"])
 
-    return map_text(rows, f"row {kind}, fp long", work, "text")
+    return map_text(rows, "fp long", work, "text")
 
 
 class Forest:
