@@ -20,7 +20,7 @@ PLAIN = bytes(
 )
 
 #: A batch given to an operator's function holds at most so many bytes of text, or one row.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def plain_words(text: bytes) -> list[bytes]:

@@ -30,7 +30,7 @@ STEP = 1.5  # ratio of counts from level to level
 LEAST = {1: 1, 2: 2}  # smallest count that enters the filter: tokens, pairs (single pairs carry no statistics)
 FLUSH = 1_500_000  # tokens counted together in a task
 HEAD = 1 << 18
-PRIOR = 20.0  # weight of the single-token model, in tokens
+MOST_TRUST, PRIOR = 0.4, 20.0  # weight of pairs, and the count of the left token at which it is half of that
 END, START = b"\n", b" "  # no words, so no word's hash is theirs
 ONE, TWO = 1, 2
 
@@ -238,7 +238,8 @@ def score_rows(docs: DataFrame, keep: list[str], text: str, model: dict) -> Data
             pairs = middle(probe(m["twos"], tokens.pairs(), m["two_bits"]), LEAST[TWO])
             seen = np.concatenate([[0.0], one[back][:-1]])
             seen[tokens.first] = m["texts"]
-            p = (pairs + PRIOR * single[back]) / (np.maximum(seen, pairs) + PRIOR)
+            trust = MOST_TRUST * seen / (seen + PRIOR)
+            p = trust * np.minimum(pairs / np.maximum(seen, 1.0), 1.0) + (1 - trust) * single[back]
             score = np.bincount(tokens.owner, np.log10(np.minimum(p, 1.0)), n)
             yield pa.RecordBatch.from_arrays(
                 [
