@@ -287,8 +287,8 @@ def train(docs: DataFrame, text: str = "text", one_bits: int = ONE_BITS, two_bit
 def score_texts(docs: DataFrame, model: dict, counts: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """``row`` (struct of ``keep``), n_tokens, n_known, train_tokens, base_score and score of each row.
 
-    A null or empty text is scored as its end alone. Repeated rows are scored each. A model of no texts gives every
-    token the same small probability. An empty table gives an empty result.
+    A null or empty text is scored as its end alone. Repeated rows are scored each. By the formula of the
+    base score a model of no texts gives every token the probability one. An empty table gives an empty result.
     """
     scored = staged(
         score_rows(docs, keep, text, model).withColumn("owner", F.monotonically_increasing_id()), "head-scores"

@@ -90,6 +90,7 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     out[:, kinds + 4] = np.bincount(home, again, total) / some
     out[:, kinds + 5] = np.bincount(home, kind[word_at] == 2, total) / some
     out[:, kinds + 6] = in_passage / PASSAGE
+    out[in_passage == 0] = 0  # whatever stands beside it in the batch
     return out, bags
 
 

@@ -189,7 +189,8 @@ def judge(
     bad, good, kinds = counts.agg(F.sum("bad"), F.sum("good"), F.count("*")).first()
     sizes = worded.agg(F.count_if("seeded"), F.count_if(~F.col("seeded"))).first()
     odds = lambda bad, good: math.log((bad + SMOOTH) / (good + SMOOTH))
-    whole = odds((bad or 0) + SMOOTH * (kinds - 1), (good or 0) + SMOOTH * (kinds - 1))
+    others = SMOOTH * max(kinds - 1, 0)
+    whole = odds((bad or 0) + others, (good or 0) + others)
     weights = counts.select("feature", (F.log((F.col("bad") + SMOOTH) / (F.col("good") + SMOOTH)) - whole).alias("w"))
     scores = (
         tokens.join(F.broadcast(weights), "feature")  # at most FEATURES rows
