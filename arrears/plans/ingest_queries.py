@@ -44,20 +44,40 @@ def ingest_delimited(spark, folder):
     return raw.withColumn("archive", F.substring_index("archive", "/", -1))
 
 
-@query(
-    "harmonise",
-    RAW_SQL
+HARMONISED_SQL = (RAW_SQL
     + f"""SELECT {', '.join(archives.DEBT_COLUMNS)},
             CASE WHEN length(regexp_replace(CPF_CNPJ, '[-./]', '', 'g')) < 14 THEN lpad(regexp_replace(CPF_CNPJ, '[-./]', '', 'g'), 14, '0')
                  ELSE regexp_replace(CPF_CNPJ, '[-./]', '', 'g') END AS CNPJ,
             member AS FILE_NAME, ano::VARCHAR AS ANO, tri::VARCHAR AS TRIMESTRE,
             CASE ending WHEN 'FGTS' THEN 'FGTS' WHEN 'Nao_Previdenciario' THEN 'SIDA' WHEN 'Previdenciario' THEN 'PREV' ELSE 'DESCONHECIDO' END AS ORIGEM
-          FROM raw WHERE TIPO_PESSOA = 'Pessoa jurídica'""",
+          FROM raw WHERE TIPO_PESSOA = 'Pessoa jurídica'"""
 )
+
+
+@query("harmonise", HARMONISED_SQL)
 def harmonise(spark, folder):
     return archives.harmonise(archives.read_members(_members(spark, folder)))
 
 
+@query("ingest_written", HARMONISED_SQL)
+def ingest_written(spark, folder):
+    """The ingest job from archives, damaged ones among them, to the table by year and quarter, read back."""
+    return archives.ingest(spark, landed(spark, folder, damaged=True), fresh_path(spark, "debts"))[0]
+
+
+@query(
+    "ingest_errors",
+    f"""WITH {LANDED_SQL}, a AS (SELECT DISTINCT archive, ending FROM files)
+        SELECT archive, 'vazio.csv' AS member, 0::BIGINT AS rows_read, 'empty' AS problem FROM a
+        UNION ALL SELECT archive, 'quebrado.csv', 1, 'parse' FROM a WHERE ending = 'FGTS'
+        UNION ALL SELECT 'avulso_' || archive, NULL, 0, 'archive' FROM a WHERE ending = 'FGTS'""",
+)
+def ingest_errors(spark, folder):
+    """What the ingest job could not read: one row for each bad archive or member, none of whose rows are kept."""
+    _, problems = archives.ingest(spark, landed(spark, folder, damaged=True), fresh_path(spark, "debts"), chunk_rows=1)
+    return problems.withColumn("archive", F.substring_index("archive", "/", -1))
+
+
 @query(
     "ingest_counts",
     f"WITH {LANDED_SQL} SELECT archive || '::' || member AS file, count(*)::BIGINT AS n FROM files GROUP BY 1",

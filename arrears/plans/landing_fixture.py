@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from arrears.functions.hashing import digest, position
 from arrears.plans.registry import table
 from arrears.session import fresh_path
-from arrears.sources.archives import DEBT_COLUMNS, _place
+from arrears.sources.archives import DEBT_COLUMNS, _place, store_options
 
 ROWS_PER_ARCHIVE = 100_000
 
@@ -29,7 +29,7 @@ LAYOUTS = {
     "Outros": (list(reversed(DEBT_COLUMNS)), "latin1"),
 }
 
-_DONE: dict[tuple[str, str], str] = {}
+_DONE: dict[tuple[str, str, bool], str] = {}
 
 
 def _fields() -> dict:
@@ -79,25 +79,36 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def landed(spark: SparkSession, folder: str) -> str:
-    """Folder with the archives; written once per session and input."""
-    known = (spark.sparkContext.applicationId, folder)
+def landed(spark: SparkSession, folder: str, damaged: bool = False) -> str:
+    """Folder with the archives; written once per session and input.
+
+    ``damaged``: each archive also has an empty member, those of FGTS one that breaks off inside quotes, and for each
+    of the latter there is a file that is no archive.
+    """
+    known = (spark.sparkContext.applicationId, folder, damaged)
     if known in _DONE:
         return _DONE[known]
     target = fresh_path(spark, "landing")
-    system, inner = _place(target)
+    options = store_options(spark)
+    system, inner = _place(target, options)
     system.create_dir(inner, recursive=True)
     layouts = dict(LAYOUTS)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import uuid
 
-        system, inner = _place(target)
+        system, inner = _place(target, options)
         stamp = uuid.uuid4().hex  # a retried task never shares a half-written file
         name, zipped, entry, out, done = None, None, None, None, []
 
         def close():
             entry.close()
+            if damaged:
+                zipped.writestr("vazio.csv", b"")
+                if name.endswith("FGTS.zip"):
+                    zipped.writestr("quebrado.csv", 'CPF_CNPJ;TIPO_PESSOA\r\n1;J\r\n2;"J\r\n'.encode())
+                    with system.open_output_stream(f"{inner}/avulso_{name}") as loose:
+                        loose.write(b"no archive")
             zipped.close()
             out.close()
             system.move(f"{inner}/{name}.{stamp}", f"{inner}/{name}")

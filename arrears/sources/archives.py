@@ -8,10 +8,11 @@ What they return is an ordinary DataFrame to be written as Parquet at once.
 from __future__ import annotations
 
 import codecs
+import contextlib
 import io
-import sys
 import zipfile
-from collections.abc import Iterator, Sequence
+import zlib
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyarrow import fs
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrears.functions import text
+from arrears.sources.tables import stage, write_parquet
 
 # The columns kept from the source files, in output order.
 DEBT_COLUMNS = (
@@ -40,55 +42,99 @@ CHUNK_ROWS = 100_000
 WINDOW = 1 << 20
 
 
-def _place(path: str) -> tuple[fs.FileSystem, str]:
+SHORTEST = 22  # bytes of an empty archive
+STORE_OPTIONS = "spark.hadoop.fs.s3a."
+
+
+def store_options(spark: SparkSession) -> dict[str, str]:
+    """The object-store settings of the session (see ``object_store_conf``), to be handed to tasks."""
+    return {k.removeprefix(STORE_OPTIONS): v for k, v in spark.sparkContext.getConf().getAll() if k.startswith(STORE_OPTIONS)}
+
+
+def store_arguments(options: Mapping[str, str]) -> dict[str, object]:
+    """Arguments of the object-store file system. Without a key, the process's own credentials are used."""
+    out: dict[str, object] = {}
+    for name, given in (("access_key", "access.key"), ("secret_key", "secret.key"), ("region", "endpoint.region")):
+        if options.get(given):
+            out[name] = options[given]
+    if endpoint := options.get("endpoint"):
+        scheme, _, host = endpoint.rpartition("://")
+        out |= {"endpoint_override": host, "scheme": scheme or "https"}
+    if options.get("path.style.access") == "false":
+        out["force_virtual_addressing"] = True
+    return out
+
+
+def _place(path: str, options: Mapping[str, str] | None = None) -> tuple[fs.FileSystem, str]:
     """File system and path of a Hadoop-style location."""
-    for scheme in ("s3a://", "s3n://"):
+    for scheme in ("s3a://", "s3n://", "s3://"):
         if path.startswith(scheme):
-            path = "s3://" + path[len(scheme) :]
+            return fs.S3FileSystem(**store_arguments(options or {})), path[len(scheme) :]
     if "://" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path.removeprefix("file:")
 
 
-def _open_archive(path: str) -> zipfile.ZipFile:
-    system, inner = _place(path)
-    return zipfile.ZipFile(system.open_input_file(inner))
+def _open_archive(path: str, options: Mapping[str, str] | None = None) -> zipfile.ZipFile:
+    system, inner = _place(path, options)
+    file = system.open_input_file(inner)
+    if file.size() < SHORTEST:
+        raise zipfile.BadZipFile("too short")
+    file.seek(file.size() - SHORTEST)
+    file.read()  # zipfile takes a storage fault at this place for a bad archive
+    return zipfile.ZipFile(file)
+
+
+#: What says that the content is bad. All else (storage, rights, memory) fails the task, and Spark tries again.
+BAD_CONTENT = (
+    (zipfile.BadZipFile, "archive"),
+    (zlib.error, "archive"),
+    (EOFError, "archive"),
+    (NotImplementedError, "archive"),  # unknown compression
+    (pd.errors.EmptyDataError, "empty"),
+    (pd.errors.ParserError, "parse"),
+)
+BAD = tuple(kind for kind, _ in BAD_CONTENT)
 
 
-def _complain(path: str, member: str, problem: Exception) -> None:
-    print(f"skipped {path}::{member}: {problem}", file=sys.stderr)
+def _reason(problem: Exception) -> str:
+    return next(name for kind, name in BAD_CONTENT if isinstance(problem, kind))
 
 
-def list_members(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFrame:
-    """(archive, member, bytes) of every matching member of every ``*.zip``.
+def survey_members(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFrame:
+    """(archive, member, bytes, problem): every matching member of every ``*.zip``, and archives that are none.
 
-    Archives are listed by Spark without reading them; only their directories
-    are opened, in tasks. An archive that does not open is reported and skipped.
+    Archives are listed by Spark without reading them; only their directories are opened, in tasks. An archive that
+    cannot be read fails the job; one that is no archive is a row with a problem and no member.
     """
-    archives = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path")
-    )
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path")
+    options = store_options(spark)
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for path in batch["path"]:
                 try:
-                    with _open_archive(path) as archive:
+                    with _open_archive(path, options) as archive:
                         rows += [
-                            (path, m.filename, m.file_size) for m in archive.infolist() if m.filename.endswith(suffix)
+                            (path, m.filename, m.file_size, None) for m in archive.infolist() if m.filename.endswith(suffix)
                         ]
-                except Exception as problem:  # noqa: BLE001 - one bad archive must not stop the rest
-                    _complain(path, "", problem)
-            yield pd.DataFrame(rows, columns=["archive", "member", "bytes"], dtype=object)
+                except BAD as problem:
+                    rows.append((path, None, None, _reason(problem)))
+            yield pd.DataFrame(rows, columns=["archive", "member", "bytes", "problem"], dtype=object)
 
-    return archives.mapInPandas(members, "archive string, member string, bytes bigint")
+    return archives.mapInPandas(members, "archive string, member string, bytes bigint, problem string")
+
+
+def list_members(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFrame:
+    """(archive, member, bytes) of every matching member of every archive."""
+    return survey_members(spark, folder, suffix).filter(F.col("problem").isNull()).drop("problem")
 
 
 def _one_task_each(members: DataFrame) -> DataFrame:
-    """Spread members over tasks. A stated number: the rows are tiny but the work is not."""
-    tasks = max(members.sparkSession.sparkContext.defaultParallelism * 8, 1)
-    return members.repartition(tasks, "archive", "member")
+    """A task for each member: the rows are tiny but the work is not."""
+    listed = stage(members.select("archive", "member"), "members")
+    return listed.repartition(max(listed.count(), 1))
 
 
 def _bare(name: str) -> str:
@@ -109,29 +155,26 @@ def _is_utf8(archive: zipfile.ZipFile, member: str) -> bool:
     return True
 
 
-def read_members(
-    members: DataFrame,
-    columns: Sequence[str] = DEBT_COLUMNS,
-    sep: str = ";",
-    chunk_rows: int = CHUNK_ROWS,
-    on_error: str = "skip",
-) -> DataFrame:
-    """Rows of the members: ``columns`` as text, absent ones null, then archive and member.
+def load_members(
+    members: DataFrame, columns: Sequence[str] = DEBT_COLUMNS, sep: str = ";", chunk_rows: int = CHUNK_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Rows and problems of the members, read once and written to the shared folder.
 
-    Every member is UTF-8 as a whole or else latin1. A member that does not
-    parse is reported and left at the row where it breaks, or fails the job
-    with ``on_error="raise"``.
+    Rows hold ``columns`` as text, absent ones null, then archive and member. Problems are (archive, member,
+    rows_read, problem): members whose content is bad. Rows read from such a member before it broke are left out. A
+    member is UTF-8 as a whole or else latin1. Storage faults fail the job.
     """
-    if on_error not in ("skip", "raise"):
-        raise ValueError("on_error must be 'skip' or 'raise'")
     wanted = list(columns)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*wanted, "archive", "member"]])
+    fields = [T.StructField(c, T.StringType()) for c in [*wanted, "archive", "member"]]
+    schema = T.StructType([*fields, T.StructField("rows_read", T.LongType()), T.StructField("problem", T.StringType())])
+    options = store_options(members.sparkSession)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, member in zip(batch["archive"], batch["member"]):
+                done = 0
                 try:
-                    with _open_archive(path) as archive:
+                    with _open_archive(path, options) as archive:
                         encoding = "utf-8" if _is_utf8(archive, member) else "latin1"
                         with archive.open(member) as raw:
                             pieces = pd.read_csv(
@@ -144,27 +187,59 @@ def read_members(
                             for piece in pieces:
                                 full = piece.rename(columns=_bare).reindex(columns=wanted)
                                 full = full.astype(object).where(full.notna(), None)
-                                yield full.assign(archive=path, member=member).astype(object)
-                except Exception as problem:  # noqa: BLE001 - as above
-                    if on_error == "raise":
-                        raise
-                    _complain(path, member, problem)
+                                done += len(full)
+                                full = full.assign(archive=path, member=member, rows_read=None, problem=None)
+                                yield full.astype(object)
+                except BAD as problem:
+                    row = dict.fromkeys(wanted) | {"archive": path, "member": member, "rows_read": done}
+                    yield pd.DataFrame([row | {"problem": _reason(problem)}], dtype=object)[schema.names]
+
+    read_ = stage(_one_task_each(members).mapInPandas(read, schema), "members-read")
+    problems = read_.filter(F.col("problem").isNotNull()).select("archive", "member", "rows_read", "problem")
+    rows = read_.filter(F.col("problem").isNull()).drop("rows_read", "problem")
+    return rows.join(problems.select("archive", "member"), ["archive", "member"], "left_anti").select(*[f.name for f in fields]), problems
+
+
+def read_members(
+    members: DataFrame,
+    columns: Sequence[str] = DEBT_COLUMNS,
+    sep: str = ";",
+    chunk_rows: int = CHUNK_ROWS,
+    on_error: str = "skip",
+) -> DataFrame:
+    """The rows of ``load_members``. ``on_error="raise"``: a member with bad content ends the job."""
+    if on_error not in ("skip", "raise"):
+        raise ValueError("on_error must be 'skip' or 'raise'")
+    rows, problems = load_members(members, columns, sep, chunk_rows)
+    if on_error == "raise" and (first := problems.first()):
+        raise ValueError(f"{first['archive']}::{first['member']}: {first['problem']} (after {first['rows_read']} rows)")
+    return rows
 
-    return _one_task_each(members).mapInPandas(read, schema)
+
+def ingest(spark: SparkSession, folder: str, target: str, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Archives to one table at ``target``, by year and quarter; returns the table read back, and the problems.
+
+    Problems are those of archives (no member) and of members.
+    """
+    survey = stage(survey_members(spark, folder), "archive-survey")
+    good = survey.filter(F.col("problem").isNull())
+    rows, problems = load_members(good, chunk_rows=chunk_rows)
+    table = harmonise(rows)
+    write_parquet(table, target, ["ANO", "TRIMESTRE"])
+    bad = survey.filter(F.col("problem").isNotNull()).select("archive", "member", F.lit(0).cast("long").alias("rows_read"), "problem")
+    return spark.read.schema(table.schema).parquet(target).select(*table.columns), bad.unionByName(problems)
 
 
 def member_columns(members: DataFrame, sep: str = ";") -> DataFrame:
     """(file, column) for every header field; ``file`` is ``archive::member``. Reads one line each."""
+    options = store_options(members.sparkSession)
 
     def first_line(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for path, member in zip(batch["archive"], batch["member"]):
-                try:
-                    with _open_archive(path) as archive, archive.open(member) as raw:
-                        rows.append((path, member, raw.readline()))
-                except Exception as problem:  # noqa: BLE001 - as above
-                    _complain(path, member, problem)
+                with contextlib.suppress(*BAD), _open_archive(path, options) as archive, archive.open(member) as raw:
+                    rows.append((path, member, raw.readline()))  # bad content is a problem of load_members
             yield pd.DataFrame(rows, columns=["archive", "member", "line"], dtype=object)
 
     lines = _one_task_each(members).mapInPandas(first_line, "archive string, member string, line binary")

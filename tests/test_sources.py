@@ -63,12 +63,44 @@ def test_harmonised_rows(spark, landing):
 
 def test_a_bad_member_can_fail_the_job(spark, landing):
     members = archives.list_members(spark, landing)
-    with pytest.raises(Exception, match="EmptyDataError|No columns"):
+    with pytest.raises(ValueError, match="empty.csv: empty"):
         archives.read_members(members, on_error="raise").count()
     with pytest.raises(ValueError):
         archives.read_members(members, on_error="other")
 
 
+def test_problems_are_rows_and_half_read_members_vanish(spark, landing, tmp_path):
+    put(tmp_path / "2021T1_c_FGTS.zip", {"half.csv": b'CPF_CNPJ;TIPO_PESSOA\n1;J\n2;J\n3;"J\n4;J\n', "ok.csv": b"CPF_CNPJ;TIPO_PESSOA\n5;J\n"})
+    table, problems = archives.ingest(spark, landing, str(tmp_path / "out"), chunk_rows=1)
+    assert {(r["archive"].rsplit("/")[-1], r["member"], r["rows_read"], r["problem"]) for r in problems.collect()} == {
+        ("2022T2_broken.zip", None, 0, "archive"),
+        ("2024T4_b_Nao_Previdenciario.zip", "empty.csv", 0, "empty"),
+        ("2021T1_c_FGTS.zip", "half.csv", 2, "parse"),
+    }
+    assert [r["CNPJ"] for r in table.filter("ANO = '2021'").collect()] == ["5".zfill(14)]
+    assert table.filter("ANO = '2023'").count() == 2501
+
+
+def test_a_storage_fault_fails_the_job(spark, landing, tmp_path):
+    members = archives.list_members(spark, landing)
+    gone = members.withColumn("archive", F.concat("archive", F.lit(".gone")))
+    with pytest.raises(Exception, match="FileNotFoundError|No such file"):
+        archives.read_members(gone).count()
+    with pytest.raises(Exception, match="FileNotFoundError|No such file"):
+        archives.member_columns(gone).count()
+
+
+def test_store_options_reach_the_file_system():
+    conf = session.object_store_conf("k", "s", "http://store.example:9000", "eu-1")
+    options = {k.removeprefix(archives.STORE_OPTIONS): v for k, v in conf.items()}
+    assert archives.store_arguments(options) == {
+        "access_key": "k", "secret_key": "s", "region": "eu-1", "endpoint_override": "store.example:9000", "scheme": "http",
+    }
+    system, inner = archives._place("s3a://bucket/a.zip", options)
+    assert type(system).__name__ == "S3FileSystem" and inner == "bucket/a.zip"
+    assert archives.store_arguments({}) == {}
+
+
 def test_columns_by_file(spark, landing):
     headers = archives.member_columns(archives.list_members(spark, landing)).filter(~F.col("file").endswith("empty.csv"))
     matrix = {r["file"].split("::")[1]: r.asDict() for r in archives.column_matrix(headers).collect()}
