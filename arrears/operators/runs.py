@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
@@ -82,8 +82,11 @@ def model_params(model: Model) -> dict[str, object]:
     return {p.name: v for p, v in last.extractParamMap().items()}
 
 
-def report(spark: SparkSession, model: Model, names: list[str], metrics: DataFrame, classes: DataFrame, matrix: DataFrame) -> DataFrame:
-    """(section, name, value): metrics, matrix, per-class lines, parameters and importances."""
+def report(spark: SparkSession, model: Model, names: list[str], metrics: DataFrame, classes: DataFrame, matrix: DataFrame, searched: Mapping[str, object] | None = None) -> DataFrame:
+    """(section, name, value): metrics, matrix, per-class lines, parameters and importances.
+
+    ``searched`` adds parameters that are not Spark's own, such as ``min_samples_split``.
+    """
     from pyspark.sql import functions as F
 
     def long(df: DataFrame, section: str, prefix) -> DataFrame:
@@ -98,7 +101,7 @@ def report(spark: SparkSession, model: Model, names: list[str], metrics: DataFra
         F.concat_ws("->", F.col("label").cast("string"), F.col("prediction").cast("string")).alias("name"),
         F.col("n").cast("string").alias("value"),
     )
-    small = [("params", k, str(v)) for k, v in model_params(model).items()]
+    small = [("params", k, str(v)) for k, v in (model_params(model) | dict(searched or {})).items()]
     small += [("importance", n, repr(v)) for n, v in importances(model, names)]
     listed = spark.createDataFrame(small, "section string, name string, value string")
     return (

@@ -28,7 +28,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.operators.tree import FlooredTree, floored_leaves, read_nodes
+from arrears.operators.tree import collapse, floored_leaves, read_nodes
 
 SEED = 42
 DEEPEST = 30  # the deepest tree Spark grows
@@ -71,9 +71,16 @@ def logistic(
     )
 
 
+def tree_depth(max_depth: int | None) -> int:
+    """None is the deepest tree Spark grows; a deeper one is refused."""
+    if max_depth is not None and max_depth > DEEPEST:
+        raise ValueError(f"max_depth must be at most {DEEPEST}")
+    return DEEPEST if max_depth is None else max_depth
+
+
 def decision_tree(max_depth: int | None = None, min_samples_leaf: int = 1, seed: int = SEED, **columns: str) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(
-        maxDepth=DEEPEST if max_depth is None else min(max_depth, DEEPEST),
+        maxDepth=tree_depth(max_depth),
         minInstancesPerNode=min_samples_leaf,
         seed=seed,
         **columns,
@@ -82,14 +89,16 @@ def decision_tree(max_depth: int | None = None, min_samples_leaf: int = 1, seed:
 
 def random_forest(n_estimators: int = 100, max_depth: int | None = None, seed: int = SEED, **columns: str) -> RandomForestClassifier:
     return RandomForestClassifier(
-        numTrees=n_estimators, maxDepth=DEEPEST if max_depth is None else max_depth, seed=seed, **columns
+        numTrees=n_estimators, maxDepth=tree_depth(max_depth), seed=seed, **columns
     )
 
 
 def gradient_boosting(
     n_estimators: int = 100, learning_rate: float = 0.1, max_depth: int = 3, seed: int = SEED, **columns: str
 ) -> GBTClassifier:
-    return GBTClassifier(maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth, seed=seed, **columns)
+    return GBTClassifier(
+        maxIter=n_estimators, stepSize=learning_rate, maxDepth=tree_depth(max_depth), seed=seed, **columns
+    )
 
 
 def f1_scorer(label: str = "label") -> Evaluator:
@@ -308,8 +317,10 @@ def search_tree(
     depth and split size: validation rows are counted once by leaf and label,
     and each point re-labels those leaves.
     """
-    grid_points = points(grid)
-    depths = sorted({DEEPEST if p["max_depth"] is None else min(p["max_depth"], DEEPEST) for p in grid_points})
+    # with the depth really used; points that are then equal stand once
+    named = [p | {"max_depth": tree_depth(p["max_depth"])} for p in points(grid)]
+    grid_points = [p for i, p in enumerate(named) if p not in named[:i]]
+    depths = sorted({p["max_depth"] for p in grid_points})
     leaf_sizes = sorted({p["min_samples_leaf"] for p in grid_points})
 
     def one(job: tuple[int, int]) -> tuple[tuple[int, int], dict, float]:
@@ -328,7 +339,7 @@ def search_tree(
         scores = {}
         for p in grid_points:
             if p["min_samples_leaf"] == leaf_size:
-                said = floored_leaves(nodes, p["max_depth"] or DEEPEST, p["min_samples_split"])
+                said = floored_leaves(nodes, p["max_depth"], p["min_samples_split"])
                 scores[_key(p)] = _leaf_f1(said, counts)
         return job, scores, taken
 
@@ -346,7 +357,7 @@ def search_tree(
         model = decision_tree(chosen["max_depth"], chosen["min_samples_leaf"], seed, leafCol="leaf").fit(train)
     finally:
         train.unpersist()
-    return Search(chosen, best["mean_score"], FlooredTree.of(model, chosen["min_samples_split"]), table)
+    return Search(chosen, best["mean_score"], collapse(model, chosen["min_samples_split"]), table)
 
 
 def _key(point: dict) -> tuple:
@@ -402,8 +413,6 @@ def random_search_logistic(
 def importances(model: Model, names: Sequence[str]) -> list[tuple[str, float]]:
     """Coefficients or tree importances with slot names, largest absolute value first."""
     last = model.stages[-1] if hasattr(model, "stages") else model
-    if isinstance(last, FlooredTree):
-        last = last.model
     if hasattr(last, "coefficients"):
         values = last.coefficients.toArray()
     elif hasattr(last, "featureImportances"):

@@ -109,13 +109,9 @@ def _keep(output, experiment, name, best, searches, preparation, scored) -> str:
     names = prepare.feature_names(scored)
     paths = {n: f"{output}/{n}" for n in ("preparation", "model", "report")}
     preparation.write().overwrite().save(paths["preparation"])
-    if hasattr(best.model, "write"):
-        best.model.write().overwrite().save(paths["model"])
-    else:
-        best.model.save(paths["model"])
-    inner = getattr(best.model, "model", best.model)
+    best.model.write().overwrite().save(paths["model"])
     runs.report(
-        spark, inner, names, figures, evaluate.class_report(scored), evaluate.confusion(scored)
+        spark, best.model, names, figures, evaluate.class_report(scored), evaluate.confusion(scored), best.best_params
     ).write.mode("overwrite").parquet(paths["report"])
     registry = runs.RunRegistry(spark, f"{output}/registry")
     for other, search in searches.items():

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from arrears.operators import evaluate, neighbours, prepare, runs, smote, train, tree
@@ -70,16 +71,41 @@ def test_floored_leaves_equal_a_smaller_tree(spark, data, depth, split):
         assert {r["id"]: said[int(r["leaf"])] for r in rows} == small
 
 
-def test_floored_tree_predicts_like_its_table(data, tmp_path):
+def test_collapsed_tree_is_a_model_of_its_own(spark, data, tmp_path):
     deep = train.decision_tree(None, 1, leafCol="leaf").fit(data)
     said = tree.floored_leaves(tree.read_nodes(deep), 30, 40)
-    floored = tree.FlooredTree.of(deep, 40)
-    got = {r["id"]: r["prediction"] for r in floored.transform(data).collect()}
-    want = {r["id"]: said[int(r["leaf"])] for r in deep.transform(data).collect()}
-    assert got == want and accuracy(floored.transform(data)) > 0.85
-    floored.save(str(tmp_path / "m"))
-    again = tree.FlooredTree.load(str(tmp_path / "m"), 40)
-    assert {r["id"]: r["prediction"] for r in again.transform(data).collect()} == want
+    cut = tree.collapse(deep, 40)
+    assert cut.numNodes < deep.numNodes
+    old = {r["id"]: said[int(r["leaf"])] for r in deep.transform(data).collect()}
+    rows = cut.transform(data).collect()
+    assert {r["id"]: r["prediction"] for r in rows} == old
+    for r in rows:  # raw prediction, probability and prediction say the same
+        assert abs(r["rawPrediction"][1] / sum(r["rawPrediction"]) - r["probability"][1]) < 1e-9
+        assert r["prediction"] == float(r["probability"][1] > 0.5) or r["probability"][1] == 0.5
+    by_raw = train.auc_scorer().evaluate(cut.transform(data))
+    exact = evaluate.roc_auc(train.positive_probability(cut.transform(data)), score="score").first()["auc"]
+    assert abs(by_raw - exact) < 1e-9 and by_raw < train.auc_scorer().evaluate(deep.transform(data))
+    kept = {s for s, v in enumerate(cut.featureImportances.toArray()) if v > 0}
+    used = {r["split"]["featureIndex"] for r in _nodes(spark, cut, tmp_path / "n").collect() if r["leftChild"] >= 0}
+    assert kept <= used and list(cut.featureImportances.toArray()) != list(deep.featureImportances.toArray())
+    assert runs.model_params(cut)["maxDepth"] == 30
+    PipelineModel(stages=[cut]).write().overwrite().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m")).transform(data)
+    assert {r["id"]: r["prediction"] for r in again.collect()} == old
+    assert tree.collapse(deep, 2) is deep
+
+
+def _nodes(spark, model, path):
+    model.write().overwrite().save(str(path))
+    return spark.read.parquet(f"{path}/data")
+
+
+def test_depths_are_refused_or_reported(data):
+    for make in (train.decision_tree, lambda max_depth: train.random_forest(5, max_depth), lambda max_depth: train.gradient_boosting(2, 0.1, max_depth)):
+        with pytest.raises(ValueError, match="at most 30"):
+            make(max_depth=31)
+    found = train.search_tree(data, {"max_depth": [None, 30], "min_samples_split": [2, 40], "min_samples_leaf": [5]}, 2)
+    assert [r["params"]["max_depth"] for r in found.table] == [30, 30]
 
 
 def test_tree_search_scores_like_separate_fits(data):
