@@ -99,6 +99,20 @@ def pack(keep: Iterable[str]) -> Column:
     return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in keep]).alias("row")
 
 
+def keyed(docs: DataFrame, key: str, *content: str) -> DataFrame:
+    """``row`` (all columns), ``id`` (the key) and ``mark`` (hash of the given columns).
+
+    Rows that agree in id and mark get the same verdicts, so these can be joined back and texts need not be staged.
+    """
+    return docs.select(pack(docs.columns), F.col(key).alias("id"), F.xxhash64(*content).alias("mark"))
+
+
+def with_verdicts(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Keyed rows joined with verdicts, of which there is one for each id (null too) and mark."""
+    right = verdicts.withColumnsRenamed({"id": "id ", "mark": "mark "})
+    return rows.join(right, rows["id"].eqNullSafe(right["id "]) & (rows["mark"] == right["mark "])).drop("id ", "mark ")
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write below ``spark.checkpoint.dir`` and read back: cuts the lineage, survives lost executors."""
     path = fresh_path(df.sparkSession, name)

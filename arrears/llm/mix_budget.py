@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrears.llm.common import pack, staged
+from arrears.llm.common import keyed, pack, staged, with_verdicts
 from arrears.llm.registry import query, table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -239,6 +239,21 @@ def op1_mix_sources(spark, folder):
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
     """The columns of the documents, then the columns of ``mix``; names that clash get the ending ``_mix``."""
-    mixed = mix(docs, docs.columns, **options)
+    names = {"key": "doc_id", "text": "text", "language": "lang", "source": "source"} | {
+        k: options.pop(k) for k in ("key", "text", "language", "source") if k in options
+    }
+    row = F.col("row")
+    rows = keyed(docs, names["key"], names["text"], names["language"], names["source"])
+    plain = rows.select("id", "mark", *[row[c].alias(k) for k, c in names.items()])
+    mixed = mix(plain, ["id", "mark"], **{k: k for k in names}, **options)
     own = [c for c in mixed.columns if c not in ("row", "language", "origin")]
-    return mixed.select("row.*", *[F.col(c).alias(f"{c}_mix" if c in docs.columns else c) for c in own])
+    # equal rows are told apart by their number: the first takes the largest part
+    parts = mixed.groupBy("row.id", "row.mark").agg(
+        F.sort_array(F.collect_list(F.struct(*own[::-1])), False).alias("parts")
+    )
+    number = F.row_number().over(Window.partitionBy("id", "mark").orderBy(F.lit(0)))
+    taken = with_verdicts(rows.withColumn("number", number), parts).where(F.col("number") <= F.size("parts"))
+    part = F.element_at("parts", F.col("number"))
+    return taken.select(row, part.alias("part")).select(
+        "row.*", *[F.col("part")[c].alias(f"{c}_mix" if c in docs.columns else c) for c in own]
+    )

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import blank_words, map_text, pack, staged, texts_of
+from arrears.llm.common import blank_words, keyed, map_text, pack, staged, texts_of, with_verdicts
 from arrears.llm.registry import query, table
 
 SEED = 42
@@ -284,8 +284,11 @@ def near_duplicates(
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, unchanged."""
-    return near_duplicates(docs, docs.columns, key, text).where("first").select("row.*")
+    """One document of each component, unchanged: the one with the smallest key, and one row of it."""
+    rows = keyed(docs, key, text)
+    plain = rows.select("id", "mark", F.col("row")[text].alias("text"))
+    first = near_duplicates(plain, ["id", "mark"], "id", "text").where("first").select("row.id", "row.mark")
+    return with_verdicts(rows, first).dropDuplicates(["id", "mark"]).select("row.*")
 
 
 @query("op2_simhash_near_dedup")
