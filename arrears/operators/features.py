@@ -49,8 +49,11 @@ def pair_snapshots(first: DataFrame, later: DataFrame, key: str, columns: Sequen
 
 
 def target_from_snapshots(first: DataFrame, later: DataFrame, key: str, status: str, out: str = "target") -> DataFrame:
-    """Debts not sued in ``first`` that occur in ``later``, with the later status as target."""
-    open_debts = first.filter(F.col(status) != "SIM")
+    """Debts not sued in ``first`` that occur in ``later``, with the later status as target.
+
+    A missing status in ``first`` is not SIM, so such debts are open.
+    """
+    open_debts = first.filter(~F.col(status).eqNullSafe(F.lit("SIM")))
     return open_debts.join(later.select(key, F.col(status).alias(out)), key)
 
 

@@ -19,8 +19,9 @@ def sample_rows(df: DataFrame, share: float, key: Sequence[str], seed: object =
     return df.filter(falls_below(digest(seed, *key), share))
 
 
-def head_rows(df: DataFrame, n: int = 1000) -> DataFrame:
-    return df.limit(n)
+def head_rows(df: DataFrame, key: Sequence[str], n: int = 1000) -> DataFrame:
+    """The first ``n`` rows in the order of ``key``."""
+    return df.orderBy(*key).limit(n)
 
 
 def split_parts(df: DataFrame, n: int, key: Sequence[str], seed: object = SEED, out: str = "part") -> DataFrame:

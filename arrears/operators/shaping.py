@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
 def columns_by_type(df: DataFrame, exclude: Iterable[str] = ()) -> tuple[list[str], list[str]]:
-    """Numeric and text column names; booleans, decimals and dates are neither."""
+    """Numeric and text column names; booleans, dates and nested types are neither."""
     skip = set(exclude)
     fields = [f for f in df.schema.fields if f.name not in skip]
     numeric = [f.name for f in fields if isinstance(f.dataType, NUMERIC_TYPES)]
@@ -80,10 +80,3 @@ def years_and_clean_text(age: str, text: str) -> Callable[[DataFrame], DataFrame
     return lambda df: df.withColumns(
         {age: F.col(age) / 365.0, text: F.replace(F.lower(F.col(text)), F.lit("."), F.lit("_"))}
     )
-
-
-def any_of(conditions: Iterable[Column]) -> Column:
-    test = F.lit(False)
-    for condition in conditions:
-        test = test | condition
-    return test

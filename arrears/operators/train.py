@@ -302,6 +302,12 @@ def _search_named(train, base, names, grid, folds, scorer, parallelism, preparat
     )
 
 
+def tree_points(grid: Mapping[str, Sequence]) -> list[dict]:
+    """Points with the depth really used; those that are then equal stand once."""
+    named = [p | {"max_depth": tree_depth(p["max_depth"])} for p in points(grid)]
+    return [p for i, p in enumerate(named) if p not in named[:i]]
+
+
 def search_tree(
     train: DataFrame,
     grid: Mapping[str, Sequence] = TREE_GRID,
@@ -317,9 +323,7 @@ def search_tree(
     depth and split size: validation rows are counted once by leaf and label,
     and each point re-labels those leaves.
     """
-    # with the depth really used; points that are then equal stand once
-    named = [p | {"max_depth": tree_depth(p["max_depth"])} for p in points(grid)]
-    grid_points = [p for i, p in enumerate(named) if p not in named[:i]]
+    grid_points = tree_points(grid)
     depths = sorted({p["max_depth"] for p in grid_points})
     leaf_sizes = sorted({p["min_samples_leaf"] for p in grid_points})
 
@@ -371,6 +375,11 @@ def _leaf_f1(said: Sequence[float], counts: Mapping[int, tuple[int, int]]) -> fl
     return 2.0 * tp / (tp + fp + real) if tp + fp + real else 0.0
 
 
+def random_points(trials: int, low: float = 1e-4, high: float = 10.0, seed: int = SEED) -> list[dict]:
+    draw = random.Random(seed)
+    return [{"C": math.exp(draw.uniform(math.log(low), math.log(high)))} for _ in range(trials)]
+
+
 def random_search_logistic(
     train: DataFrame,
     key: Sequence[str],
@@ -384,8 +393,7 @@ def random_search_logistic(
     """Log-uniform draws of C scored by accuracy on a validation part of ``train``."""
     from arrears.operators.sampling import split_random
 
-    draw = random.Random(seed)
-    grid = [{"C": math.exp(draw.uniform(math.log(low), math.log(high)))} for _ in range(trials)]
+    grid = random_points(trials, low, high, seed)
     parts = split_random(train, key, validation_share, seed=f"{seed}:validation", out="__held")
     fit_part = parts.filter(~F.col("__held")).persist(StorageLevel.MEMORY_AND_DISK)
     held = parts.filter("__held").persist(StorageLevel.MEMORY_AND_DISK)

@@ -9,11 +9,22 @@ from pyspark.sql import functions as F
 
 from arrears.functions.labels import encode_label
 from arrears.operators import evaluate, prepare, runs, sampling, train
+from arrears.operators.joins import join_spread
 from arrears.operators.shaping import drop_incomplete
 from arrears.plans.evaluation_queries import SCORED_SQL, scored
-from arrears.plans.model_table import CATEGORICAL, KEY, NUMERIC, companies, debts, model_table
+from arrears.plans.model_table import (
+    CATEGORICAL,
+    KEY,
+    LABELLED_SQL,
+    MODEL_SQL,
+    NUMERIC,
+    companies,
+    debts,
+    model_table,
+)
 from arrears.plans import workflow
 from arrears.plans.registry import query
+from arrears.plans.sampling_queries import SPLIT_SQL
 from arrears.session import fresh_path
 from arrears.sources.tables import stage
 
@@ -25,7 +36,8 @@ def split_model_table(spark, folder) -> DataFrame:
     """
     own = debts(spark, folder).withColumn("label", encode_label("target"))
     flagged = sampling.split_stratified(own, "label", [KEY])
-    joined = flagged.join(companies(spark, folder), F.col("cpf_cnpj") == F.col("cd_cnpj"))
+    registry = companies(spark, folder).withColumnRenamed("cd_cnpj", "cpf_cnpj")
+    joined = join_spread(flagged, registry, ["cpf_cnpj"], [KEY], "inner")  # a debtor may own many debts
     complete = drop_incomplete(joined.select(KEY, *NUMERIC, *CATEGORICAL, "label", "is_test"))
     return stage(complete, "model_table", [KEY])
 
@@ -55,97 +67,151 @@ def _scores(df: DataFrame) -> DataFrame:
     return train.positive_probability(df).select(KEY, "label", "prediction", F.round("score", 6).alias("score"))
 
 
-@query("flagship")
+TEST_SQL = f"WITH {LABELLED_SQL}, {SPLIT_SQL} SELECT numero_inscricao, label, true AS sound FROM split WHERE is_test"
+
+
+def sound(scores: DataFrame) -> DataFrame:
+    """Key, label, and whether score and prediction are well formed and agree."""
+    said = F.when(F.col("score") == 0.5, F.col("prediction")).otherwise((F.col("score") > 0.5).cast("double"))
+    fine = F.col("score").between(0.0, 1.0) & (F.col("prediction") == said)
+    return scores.select(KEY, "label", F.coalesce(fine, F.lit(False)).alias("sound"))
+
+
+def above_majority(figures: DataFrame, test: DataFrame, names) -> DataFrame:
+    """(metric, above): whether each figure is above the share of the largest class of the test part."""
+    share = test.groupBy("label").count().agg(F.max("count") / F.sum("count")).first()[0]
+    rows = F.array(*[F.struct(F.lit(n).alias("metric"), (F.col(n) > share).alias("above")) for n in names])
+    return figures.select(F.inline(rows))
+
+
+def _metrics_sql(names) -> str:
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{n}', true)" for n in names) + ") v(metric, above)"
+
+
+WEIGHTED = ("accuracy", "precision", "recall", "f1")
+
+
+@query("flagship", _metrics_sql(WEIGHTED))
 def flagship_query(spark, folder):
-    row = flagship(spark, folder)
-    return row.select(*[F.round(c, 6).alias(c) for c in row.columns])
+    """Each weighted metric against the majority share; ``flagship`` has the figures."""
+    _, scored_test, _, test = _fitted_logistic(spark, folder)
+    return above_majority(evaluate.weighted_metrics(scored_test), test, WEIGHTED)
 
 
-@query("train_lr")
-def train_lr(spark, folder):
+def lr_scores(spark, folder):
     return _scores(_fitted_logistic(spark, folder)[1])
 
 
 def _fit_and_score(spark, folder, estimator):
     fit_part, test, _ = prepared(spark, folder)
-    return _scores(estimator.fit(fit_part).transform(test))
+    fit_part.persist(StorageLevel.MEMORY_AND_DISK)
+    model = estimator.fit(fit_part)
+    fit_part.unpersist()
+    return _scores(model.transform(test))
 
 
-@query("train_dt")
-def train_dt(spark, folder):
+def dt_scores(spark, folder):
     return _fit_and_score(spark, folder, train.decision_tree(10, 5))
 
 
-@query("train_rf")
-def train_rf(spark, folder):
+def rf_scores(spark, folder):
     return _fit_and_score(spark, folder, train.random_forest(100, 5))
 
 
-@query("train_gbt")
-def train_gbt(spark, folder):
+def gbt_scores(spark, folder):
+    """20 rounds; the default of the function is 100."""
     return _fit_and_score(spark, folder, train.gradient_boosting(20, 0.1, 3))
 
 
+@query("train_lr", TEST_SQL)
+def train_lr(spark, folder):
+    return sound(lr_scores(spark, folder))
+
+
+@query("train_dt", TEST_SQL)
+def train_dt(spark, folder):
+    return sound(dt_scores(spark, folder))
+
+
+@query("train_rf", TEST_SQL)
+def train_rf(spark, folder):
+    return sound(rf_scores(spark, folder))
+
+
+@query("train_gbt", TEST_SQL)
+def train_gbt(spark, folder):
+    return sound(gbt_scores(spark, folder))
+
+
 def _folded(spark, folder, k):
     fit_part, test, preparation = prepared(spark, folder)
     return stage(sampling.stratified_folds(fit_part, "label", [KEY], k), "folds", [KEY]), test, preparation
 
 
-def _short(found: train.Search, spark) -> DataFrame:
-    return found.results(spark).select(
-        "point", "params", F.round("mean_score", 6).alias("mean_score"), F.round("std_score", 6).alias("std_score"), "rank"
+def ranked(found: train.Search, spark) -> DataFrame:
+    """Each point with its parameters, and whether its rank is that of its mean score."""
+    table = found.results(spark)
+    better = table.select(F.col("mean_score").alias("other"))
+    # one row per point of the grid on either side
+    places = table.join(better, F.col("other") > F.col("mean_score"), "left").groupBy("point", "params", "rank").agg(
+        F.count("other").alias("n")
     )
+    return places.select("point", "params", (F.col("rank") == F.col("n") + 1).alias("rank_agrees"))
+
 
+def _grid_sql(points) -> str:
+    rows = ", ".join(f"({i}, '{str(p).replace(chr(39), 2 * chr(39))}', true)" for i, p in enumerate(points))
+    return f"SELECT * FROM (VALUES {rows}) v(point, params, rank_agrees)"
 
-@query("grid_lr")
+
+@query("grid_lr", _grid_sql(train.points(train.LOGISTIC_GRID)))
 def grid_lr(spark, folder):
-    """Both penalties, three strengths, three folds, F1 of class 1."""
-    df, _, _ = _folded(spark, folder, 3)
-    return _short(train.search_logistic(df, {"penalty": ["l1", "l2"], "C": [0.01, 1, 100]}, 3), spark)
+    """Both penalties, eight strengths, five folds, F1 of class 1."""
+    df, _, _ = _folded(spark, folder, 5)
+    return ranked(train.search_logistic(df, train.LOGISTIC_GRID, 5), spark)
 
 
-@query("grid_lr_solver")
+@query("grid_lr_solver", _grid_sql(train.points(train.LOGISTIC_SOLVER_GRID)))
 def grid_lr_solver(spark, folder):
-    """Strength, iterations and tolerance by weighted F1."""
+    """Strength, iterations and tolerance by weighted F1, three folds."""
     df, _, _ = _folded(spark, folder, 3)
-    grid = {"C": [0.01, 1], "penalty": ["l2"], "max_iter": [100, 200], "tol": [1e-4]}
-    return _short(train.search_logistic(df, grid, 3, train.weighted_f1_scorer()), spark)
+    return ranked(train.search_logistic(df, train.LOGISTIC_SOLVER_GRID, 3, train.weighted_f1_scorer()), spark)
 
 
-@query("grid_dt")
+@query("grid_dt", _grid_sql(train.tree_points(train.TREE_GRID)))
 def grid_dt(spark, folder):
-    """Depths and split sizes from one tree per fold and leaf size."""
-    df, _, _ = _folded(spark, folder, 3)
-    grid = {"max_depth": [None, 10, 20], "min_samples_split": [2, 5, 10, 20], "min_samples_leaf": [1, 10]}
-    return _short(train.search_tree(df, grid, 3), spark)
+    """Depths, split sizes and leaf sizes, five folds, from one tree per fold and leaf size."""
+    df, _, _ = _folded(spark, folder, 5)
+    return ranked(train.search_tree(df, train.TREE_GRID, 5), spark)
 
 
-@query("grid_prepared")
+@query("grid_prepared", _grid_sql(train.points(train.LOGISTIC_AUC_GRID)))
 def grid_prepared(spark, folder):
     """Imputing, scaling and encoding refitted inside every fold, scored by ROC AUC."""
     df = split_model_table(spark, folder).filter(~F.col("is_test"))
     folded = stage(sampling.stratified_folds(df, "label", [KEY], 3), "folds", [KEY])
     steps = prepare.feature_preparation(NUMERIC, CATEGORICAL, impute=True)
-    return _short(train.search_logistic(folded, train.LOGISTIC_AUC_GRID, 3, train.auc_scorer(), preparation=steps), spark)
+    return ranked(train.search_logistic(folded, train.LOGISTIC_AUC_GRID, 3, train.auc_scorer(), preparation=steps), spark)
 
 
-@query("random_search_lr")
+@query("random_search_lr", _grid_sql(train.random_points(20)))
 def random_search_lr(spark, folder):
     df, _, _ = prepared(spark, folder)
-    return _short(train.random_search_logistic(df, [KEY], trials=8), spark)
+    return ranked(train.random_search_logistic(df, [KEY], trials=20), spark)
+
 
+FOREST_POINTS = {"n_estimators": [10, 20], "max_depth": [5]}
 
-@query("grid_results")
+
+@query("grid_results", _grid_sql(train.points(FOREST_POINTS)))
 def grid_results(spark, folder):
-    """Result table of a forest search, with its fit times."""
+    """Result table of a forest search. Two small forests: the default grid takes many times as long."""
     df, _, _ = _folded(spark, folder, 3)
-    found = train.search_forest(df, {"n_estimators": [10, 20], "max_depth": [5]}, 3)
-    return found.results(spark)
+    return ranked(train.search_forest(df, FOREST_POINTS, 3), spark)
 
 
-@query("model_champion")
-def model_champion(spark, folder):
-    """Logistic regression against a tree, by F1 of class 1 on held-out rows."""
+def champion_scores(spark, folder):
+    """Logistic regression against a tree, by F1 of class 1 on held-out rows: (name, score)."""
     df, test, _ = _folded(spark, folder, 3)
     found = [
         ("logistic_regression", train.search_logistic(df, {"C": [1, 100]}, 3)),
@@ -154,17 +220,22 @@ def model_champion(spark, folder):
     scores = None
     for place, (name, search) in enumerate(found):
         row = evaluate.binary_metrics(search.model.transform(test)).select(
-            F.lit(name).alias("name"), F.lit(place).alias("place"), (F.col("f1") * 100).alias("score"),
+            F.lit(name).alias("name"), F.lit(place).alias("place"), F.col("f1").alias("score"),
             F.lit(search.best_score).alias("fold_score"),
         )
         scores = row if scores is None else scores.unionByName(row)
     best = evaluate.champion(scores, score="fold_score").drop("fold_score")  # chosen on folds, reported on test
-    return best.join(scores, "name").select("name", F.round("score", 6).alias("score"))
+    return best.join(scores, "name").select("name", (F.col("score") * 100).alias("score")), test
 
 
-@query("full_run")
-def full_run(spark, folder):
-    """The whole way from labelled table to registered champion, with small grids."""
+@query("model_champion", _metrics_sql(["score"]))
+def model_champion(spark, folder):
+    best, test = champion_scores(spark, folder)
+    return above_majority(best.select((F.col("score") / 100).alias("score")), test, ["score"])
+
+
+def full_run_figures(spark, folder):
+    """The whole way from labelled table to registered champion, with small grids: (champion, key, value)."""
     output = fresh_path(spark, "full_run")
     outcome = workflow.run(
         model_table(spark, folder),
@@ -176,17 +247,41 @@ def full_run(spark, folder):
         output=output,
     )
     metrics = runs.RunRegistry(spark, f"{output}/registry").table("metrics").filter(F.col("run_id") == outcome.run_id)
-    return metrics.select(F.lit(outcome.champion).alias("champion"), "key", F.round("value", 6).alias("value"))
+    return metrics.select(F.lit(outcome.champion).alias("champion"), "key", "value")
 
 
-@query("feature_importance")
-def feature_importance(spark, folder):
+LOGGED = ("accuracy", "precision", "recall", "f1", "hit_rate", "rows_unknown_label", "rows_incomplete")
+
+
+@query(
+    "full_run",
+    "SELECT * FROM (VALUES " + ", ".join(f"('{k}', true)" for k in LOGGED) + ") v(key, fine)",
+)
+def full_run(spark, folder):
+    """The logged figures: metrics above seven tenths, no row left out."""
+    found = full_run_figures(spark, folder)
+    rows = F.startswith(F.col("key"), F.lit("rows_"))
+    return found.select("key", F.when(rows, F.col("value") == 0).otherwise(F.col("value") > 0.7).alias("fine"))
+
+
+def importance_rows(spark, folder):
     model, _, _, test = _fitted_logistic(spark, folder)
     return train.importance_table(spark, model, prepare.feature_names(test))
 
 
-@query("model_report")
-def model_report(spark, folder):
+@query(
+    "feature_importance",
+    f"""WITH {MODEL_SQL}, {SPLIT_SQL}, fit AS (SELECT model.* FROM model JOIN split USING (numero_inscricao) WHERE NOT is_test)
+        SELECT 'idade_divida_dias' AS feature, true AS finite """
+    + " ".join(f"UNION SELECT '{c}_' || {c}, true FROM fit" for c in CATEGORICAL),
+)
+def feature_importance(spark, folder):
+    """The slots, and that each has a finite coefficient."""
+    value = F.col("importance")
+    return importance_rows(spark, folder).select("feature", (~F.isnan(value) & (F.abs(value) < float("inf"))).alias("finite"))
+
+
+def report_rows(spark, folder):
     model, scored_test, _, test = _fitted_logistic(spark, folder)
     return runs.report(
         spark, model, prepare.feature_names(test), evaluate.weighted_metrics(scored_test),
@@ -194,8 +289,19 @@ def model_report(spark, folder):
     )
 
 
-@query("batch_score")
-def batch_score(spark, folder):
+@query(
+    "model_report",
+    f"""WITH {LABELLED_SQL}, {SPLIT_SQL} SELECT section, CASE WHEN section = 'confusion_matrix' THEN n END AS rows
+        FROM (VALUES ('metrics'), ('confusion_matrix'), ('classes'), ('params'), ('importance')) v(section),
+             (SELECT count(*) AS n FROM split WHERE is_test)""",
+)
+def model_report(spark, folder):
+    """The sections of the report, and the rows in its confusion matrix."""
+    counted = F.when(F.col("section") == "confusion_matrix", F.col("value").cast("bigint"))
+    return report_rows(spark, folder).groupBy("section").agg(F.sum(counted).alias("rows"))
+
+
+def batch_scores(spark, folder):
     """Save preparation and model as one, load it, score the whole model table."""
     model, _, preparation, _ = _fitted_logistic(spark, folder)
     path = fresh_path(spark, "scoring_model")
@@ -203,6 +309,11 @@ def batch_score(spark, folder):
     return _scores(PipelineModel.load(path).transform(model_table(spark, folder).withColumn("label", encode_label("target"))))
 
 
+@query("batch_score", f"WITH {LABELLED_SQL} SELECT numero_inscricao, label, true AS sound FROM labelled")
+def batch_score(spark, folder):
+    return sound(batch_scores(spark, folder))
+
+
 @query(
     "run_registry",
     f"""WITH {SCORED_SQL}, m AS (SELECT round((tp + tn) / n, 6) AS accuracy, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM counts)

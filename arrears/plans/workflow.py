@@ -33,6 +33,8 @@ class Outcome:
     model: Model
     scored: DataFrame
     run_id: str | None
+    left_out: dict[str, int]  # rows without a known label, and other rows with a missing value
+    unused: list[str]  # columns of types that are no features
 
     def score(self, df: DataFrame) -> DataFrame:
         """Predictions for new rows, prepared as the train part was."""
@@ -75,11 +77,16 @@ def run(
         raise ValueError(f"balancing must be one of {BALANCING}")
     require_columns(df, key, target)
     found_numeric, found_text = columns_by_type(df, {key, target, *exclude})
+    unused = [c for c in df.columns if c not in {key, target, *exclude, *found_numeric, *found_text}]
     numeric = list(found_numeric if numeric is None else numeric)
     text = list(found_text if text is None else text)
     shaped = apply_features(df, hook)
     label = encode_label(target, unknown) if dict(shaped.dtypes)[target] == "string" else F.col(target).cast("double")
-    complete = drop_incomplete(shaped.select(key, *numeric, *text, label.alias("label")))
+    labelled = shaped.select(key, *numeric, *text, label.alias("label"))
+    complete = drop_incomplete(labelled)
+    counts = labelled.agg(
+        F.count_if(F.col("label").isNull()).alias("rows_unknown_label"), F.count(F.lit(1)).alias("rows")
+    ).first()
     table = stage(sampling.split_stratified(complete, "label", [key], test_share), "split", [key])
 
     fit_part, test = table.filter(~F.col("is_test")), table.filter("is_test")
@@ -94,13 +101,18 @@ def run(
     name = max(searches, key=lambda n: searches[n].best_score)  # the first one wins a tie
     best = searches[name]
     scored = best.model.transform(preparation.transform(test))
-    run_id = _keep(output, experiment, name, best, searches, preparation, scored) if output else None
+    left_out = {
+        "rows_unknown_label": counts["rows_unknown_label"],
+        "rows_incomplete": counts["rows"] - counts["rows_unknown_label"] - table.count(),
+    }
+    run_id = _keep(output, experiment, name, best, searches, preparation, scored, left_out) if output else None
     return Outcome(
-        name, best.best_params, {n: s.best_score for n, s in searches.items()}, preparation, best.model, scored, run_id
-    )
+        name, best.best_params, {n: s.best_score for n, s in searches.items()}, preparation, best.model, scored, run_id,
+        left_out, unused,
+    )
 
 
-def _keep(output, experiment, name, best, searches, preparation, scored) -> str:
+def _keep(output, experiment, name, best, searches, preparation, scored, left_out) -> str:
     """Model, preparation and report below ``output``; figures in the registry."""
     spark = scored.sparkSession
     figures = evaluate.weighted_metrics(scored)
@@ -116,4 +128,4 @@ def _keep(output, experiment, name, best, searches, preparation, scored) -> str:
     registry = runs.RunRegistry(spark, f"{output}/registry")
     for other, search in searches.items():
         registry.log_search(other, search, experiment)
-    return registry.log(f"champion:{name}", best.best_params, {**named, "hit_rate": rate}, paths, experiment)
+    return registry.log(f"champion:{name}", best.best_params, {**named, "hit_rate": rate, **left_out}, paths, experiment)

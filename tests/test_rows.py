@@ -1,44 +1,36 @@
-"""Queries without SQL: what must hold of their rows."""
+"""Figures of trained models, beyond what their queries compare with SQL."""
 
 from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry
+from arrears.plans import catalog, smote_queries
+from arrears.plans import training_queries as t
 
 CHECKS = {
-    "flagship": lambda rows: len(rows) == 1 and rows[0]["accuracy"] > 0.85,
-    "train_lr": lambda rows: _right(rows) > 0.85,
-    "train_dt": lambda rows: _right(rows) > 0.85,
-    "train_rf": lambda rows: _right(rows) > 0.8,
-    "train_gbt": lambda rows: _right(rows) > 0.85,
-    "train_balanced": lambda rows: rows[0]["recall"] > 0.85,
-    "grid_lr": lambda rows: len(rows) == 6 and _ranked(rows),
-    "grid_lr_solver": lambda rows: len(rows) == 4 and _ranked(rows),
-    "grid_dt": lambda rows: len(rows) == 24 and _ranked(rows),
-    "grid_prepared": lambda rows: len(rows) == 3 and _ranked(rows) and max(r["mean_score"] for r in rows) > 0.9,
-    "grid_results": lambda rows: len(rows) == 2 and _ranked(rows),
-    "random_search_lr": lambda rows: len(rows) == 8 and _ranked(rows),
-    "model_champion": lambda rows: len(rows) == 1 and rows[0]["score"] > 70,
-    "full_run": lambda rows: {r["key"] for r in rows} == {"accuracy", "precision", "recall", "f1", "hit_rate"}
-    and all(r["value"] > 0.7 for r in rows),
-    "feature_importance": lambda rows: rows[0]["feature"] == "idade_divida_dias",
-    "model_report": lambda rows: {r["section"] for r in rows}
-    == {"metrics", "confusion_matrix", "classes", "params", "importance"},
-    "batch_score": lambda rows: len(rows) == 1500 and _right(rows) > 0.85,
-    "smote_prepared": lambda rows: len({r["n"] for r in rows}) == 1 and len(rows) == 2,
-}
+    "flagship": (lambda s, f: t.flagship(s, f), lambda rows: len(rows) == 1 and rows[0]["accuracy"] > 0.85),
+    "lr": (t.lr_scores, lambda rows: _right(rows) > 0.85),
+    "dt": (t.dt_scores, lambda rows: _right(rows) > 0.85),
+    "rf": (t.rf_scores, lambda rows: _right(rows) > 0.8),
+    "gbt": (t.gbt_scores, lambda rows: _right(rows) > 0.85),
+    "balanced": (lambda s, f: smote_queries.balanced_figures(s, f)[0], lambda rows: rows[0]["recall"] > 0.85),
+    "champion": (lambda s, f: t.champion_scores(s, f)[0], lambda rows: len(rows) == 1 and rows[0]["score"] > 70),
+    "importance": (t.importance_rows, lambda rows: rows[0]["feature"] == "idade_divida_dias"),
+    "report": (t.report_rows, lambda rows: {r["section"] for r in rows}
+               == {"metrics", "confusion_matrix", "classes", "params", "importance"}),
+    "batch": (t.batch_scores, lambda rows: len(rows) == 1500 and _right(rows) > 0.85),
+}
 
 
 def _right(rows):
     return sum(r["label"] == r["prediction"] for r in rows) / len(rows)
 
 
-def _ranked(rows):
-    best = max(rows, key=lambda r: r["mean_score"])
-    return best["rank"] == 1 and all(1 <= r["rank"] <= len(rows) for r in rows)
+@pytest.mark.parametrize("name", sorted(CHECKS))
+def test_figures(spark, folder, name):
+    make, holds = CHECKS[name]
+    assert holds(make(spark, folder).collect())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
-def test_rows(spark, folder, name):
-    assert CHECKS[name](entry.queries()[name](spark, folder).collect())
+def test_every_query_has_sql():
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)

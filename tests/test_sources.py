@@ -151,7 +151,7 @@ def test_alignment(spark):
 
 def test_column_kinds(spark):
     df = spark.createDataFrame([], "i int, l bigint, d double, s string, b boolean, m decimal(18,2), t date, k string")
-    assert shaping.columns_by_type(df, ["k"]) == (["i", "l", "d"], ["s"])
+    assert shaping.columns_by_type(df, ["k"]) == (["i", "l", "d", "m"], ["s"])
 
 
 def test_pruned_scan(spark, folder):
