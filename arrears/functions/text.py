@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: year and quarter in a file name.
+FILE_SNAPSHOT = r"(\d{4})T([1-4])"
+
 # Archive endings and the origin each stands for, tested in this order.
 ORIGIN_BY_ENDING = (
     ("FGTS.zip", "FGTS"),
@@ -34,11 +37,11 @@ def company_id(raw_id: Column, person_type: Column) -> Column:
 
 
 def snapshot_year(name: Column) -> Column:
-    return F.nullif(F.regexp_extract(name, r"(\d{4})T([1-4])", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(name, FILE_SNAPSHOT, 1), F.lit(""))
 
 
 def snapshot_quarter(name: Column) -> Column:
-    return F.nullif(F.regexp_extract(name, r"(\d{4})T([1-4])", 2), F.lit(""))
+    return F.nullif(F.regexp_extract(name, FILE_SNAPSHOT, 2), F.lit(""))
 
 
 def origin_of(name: Column) -> Column:

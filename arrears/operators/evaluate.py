@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from arrears.functions.labels import target_class
 from arrears.operators.quantiles import value_ranges
+from arrears.sources.tables import stage
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -22,17 +23,30 @@ def _ratio(top: Column, bottom: Column) -> Column:
     return F.when(bottom > 0, top / bottom).otherwise(F.lit(0.0))
 
 
-def confusion(df: DataFrame, classes: Sequence[float] = (0.0, 1.0), label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """(label, prediction, n) for every pair of classes, 0 where none occur."""
-    pairs = [(float(a), float(b)) for a in classes for b in classes]
-    row = df.agg(
-        *[F.count_if((F.col(label) == a) & (F.col(prediction) == b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
+def confusion(
+    df: DataFrame, classes: Sequence[float] | None = None, label: str = "label", prediction: str = "prediction"
+) -> DataFrame:
+    """(label, prediction, n) for every pair of classes, 0 where none occur.
+
+    The classes are 0, 1 and all that occur on either side, null among them, so every row is counted; or only those
+    listed, for a matrix of these alone.
+    """
+    cells = df.groupBy(F.col(label).cast("double").alias("l"), F.col(prediction).cast("double").alias("p")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    seen = F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.flatten(F.collect_list(F.array("l", "p"))))
+    wanted = F.array_sort(F.array_distinct(seen)) if classes is None else F.array(*[F.lit(float(c)) for c in classes])
+    # one row: as large as the matrix
+    whole = cells.agg(
+        F.map_from_entries(F.collect_list(F.struct(F.struct("l", "p"), "n"))).alias("counts"), wanted.alias("classes")
     )
-    cells = [
-        F.struct(F.lit(a).alias("label"), F.lit(b).alias("prediction"), F.col(f"c{i}").alias("n"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return row.select(F.inline(F.array(*cells)))
+
+    def cell(a: Column, b: Column) -> Column:
+        n = F.element_at("counts", F.struct(a.alias("l"), b.alias("p")))
+        return F.struct(a.alias("label"), b.alias("prediction"), F.coalesce(n, F.lit(0)).cast("bigint").alias("n"))
+
+    pairs = F.flatten(F.transform("classes", lambda a: F.transform("classes", lambda b: cell(a, b))))
+    return whole.select(F.inline(pairs))
 
 
 def per_class(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -126,16 +140,27 @@ def hit_rate(df: DataFrame, target: str = "SIM", label: str = "label", predictio
     )
 
 
+def _missing(score: str) -> Column:
+    return F.col(score).isNull() | F.isnan(F.col(score).cast("double"))
+
+
+def unscored(df: DataFrame, score: str = "score") -> DataFrame:
+    """(rows, unscored): all rows, and those that curves leave out because their score is null or NaN."""
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(_missing(score)).alias("unscored"))
+
+
 def _score_steps(df: DataFrame, label: str, score: str) -> DataFrame:
     """(score, tp, fp, positives, negatives): rows scoring at least ``score``.
 
-    Rows collapse to distinct scores first. Distinct scores are cut into even
+    Rows collapse to distinct scores first, which are written once; null and NaN
+    scores are left out (``unscored`` counts them). Distinct scores are cut into even
     ranges; each range is accumulated on its own and shifted by the sum of the
     ranges above it, so no window spans them all.
     """
-    points = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("score")).agg(
+    points = df.filter(~_missing(score)).groupBy(F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1.0).alias("pos"), F.count_if(F.col(label) == 0.0).alias("neg")
     )
+    points = stage(points, "score-points")
     edges = value_ranges(points, "score")
     if len(edges) >= 1:
         cut = Bucketizer(

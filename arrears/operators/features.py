@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from arrears.functions.dates import age_in_days
 from arrears.operators.joins import join_spread
+from arrears.sources.tables import stage
 
 LIMIT_DAYS = 5 * 365
 BANDS = (100.0, 1_000.0, 10_000.0, 100_000.0, 1_000_000.0)
@@ -36,8 +37,11 @@ def value_band(value: Column, edges: Sequence[float] = BANDS) -> Column:
 def debtor_totals(df: DataFrame, debtor: str, period: Sequence[str], value: str, row_key: Sequence[str], rows_per_split: int = 2_000_000) -> DataFrame:
     """Each debt with its debtor's total, count and the debt's share in the period."""
     keys = [debtor, *period]
-    totals = df.groupBy(*keys).agg(F.sum(value).alias("ttl_divida"), F.count(F.lit(1)).alias("ttl_inscricoes"))
-    joined = join_spread(df, totals, keys, row_key, rows_per_split=rows_per_split)
+    totals = stage(
+        df.groupBy(*keys).agg(F.sum(value).alias("ttl_divida"), F.count(F.lit(1)).alias("ttl_inscricoes")), "debtor-totals"
+    )
+    counts = totals.select(*keys, F.col("ttl_inscricoes").alias("__n"))  # they tell hot debtors too
+    joined = join_spread(df, totals, keys, row_key, rows_per_split=rows_per_split, counts=counts)
     share = F.when(F.col("ttl_divida") != 0, F.col(value) / F.col("ttl_divida"))
     return joined.withColumn("perc_inscricao", share)
 

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arrears.sources.tables import stage
+
 NULL_SPLITS = 4096
 
 
@@ -36,7 +38,8 @@ def merge(
 ) -> DataFrame:
     """Join on equal key names; clashing columns get suffixes.
 
-    ``null_safe`` lets null keys meet null keys; otherwise they meet nothing.
+    ``null_safe`` lets null keys meet null keys; otherwise they meet nothing. All null keys of the left then meet all
+    of the right, so the right side should have one row for each key.
     """
     left, right = suffix_clashes(left, right, on, suffixes)
     if not null_safe:
@@ -62,9 +65,15 @@ def only_referenced(right: DataFrame, right_key: str, left: DataFrame, left_key:
 def enrich_reduced(
     left: DataFrame, left_key: str, right: DataFrame, right_key: str, row_key: Sequence[str]
 ) -> DataFrame:
-    """Cut the registry down to the referenced keys, rename its key, left join."""
-    reduced = only_referenced(right, right_key, left, left_key).withColumnRenamed(right_key, left_key)
-    return join_spread(left, reduced, [left_key], row_key)
+    """Cut the registry down to the referenced keys, rename its key, left join.
+
+    One count of the left keys gives both the keys referenced and the hot ones.
+    """
+    counts = stage(left.groupBy(left_key).agg(F.count(F.lit(1)).alias("__n")), "left-keys")
+    reduced = right.withColumnRenamed(right_key, left_key).join(
+        counts.filter(F.col(left_key).isNotNull()).select(left_key), left_key, "left_semi"
+    )
+    return join_spread(left, reduced, [left_key], row_key, counts=counts)
 
 
 def join_spread(
@@ -74,10 +83,12 @@ def join_spread(
     row_key: Sequence[str],
     how: str = "left",
     rows_per_split: int = 2_000_000,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Left or inner join in which a key with many left rows is worked on by many tasks.
 
-    One pass counts left rows by key (combined before the shuffle) and keeps
+    One pass counts left rows by key (combined before the shuffle; or ``counts`` has
+    them as ``__n``) and keeps
     the keys above ``rows_per_split``: at most ``rows / rows_per_split`` of
     them, which bounds what is broadcast. Left rows of such a key are spread by
     a hash of ``row_key``; its right rows are repeated once per split. All other
@@ -89,8 +100,7 @@ def join_spread(
     keys = list(on)
     left, right = suffix_clashes(left, right, keys)
     hot = (
-        left.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
+        (left.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")) if counts is None else counts)
         .filter(F.col("__n") > rows_per_split)
         .select(*keys, F.ceil(F.col("__n") / rows_per_split).cast("int").alias("__splits"))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from arrears.operators import evaluate
 from arrears.plans.model_table import KEY, LABELLED_SQL
-from arrears.plans.registry import query
+from arrears.plans.registry import query, table
 from arrears.plans.sampling_queries import labelled
 
 
@@ -48,6 +48,21 @@ def confusion_matrix(spark, folder):
     return evaluate.confusion(scored(spark, folder))
 
 
+THREE_SQL = """WITH t AS (SELECT (o_orderkey % 3)::DOUBLE AS label, (o_custkey % 3)::DOUBLE AS prediction FROM orders),
+c AS (SELECT * FROM (VALUES (0.0::DOUBLE), (1.0::DOUBLE), (2.0::DOUBLE)) v(c))
+SELECT l.c AS label, p.c AS prediction, (SELECT count(*) FROM t WHERE t.label = l.c AND t.prediction = p.c)::BIGINT AS n FROM c l, c p"""
+
+
+@query("confusion_three_classes", THREE_SQL)
+def confusion_three_classes(spark, folder):
+    """Classes found in the data: none is left out."""
+    return evaluate.confusion(
+        table(spark, folder, "orders").select(
+            (F.col("o_orderkey") % 3).alias("label"), (F.col("o_custkey") % 3).alias("prediction")
+        )
+    )
+
+
 @query(
     "metrics_weighted",
     f"""WITH {SCORED_SQL} SELECT (SELECT round((tp + tn) / n, 6) FROM counts) AS accuracy,

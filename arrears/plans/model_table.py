@@ -11,6 +11,7 @@ from arrears.plans.registry import table
 
 REFERENCE_DAY = "2001-09-01"
 
+# The attributes of the model table.
 NUMERIC = ["idade_divida_dias"]
 CATEGORICAL = [
     "tipo_devedor",

@@ -542,16 +542,40 @@ def run_stamp(spark, folder):
     return table(spark, folder, "events").select("event_id", dates.run_stamp(F.col("ts")).alias("stamp"))
 
 
-@query("decode_fallback", "SELECT doc_id, text AS from_utf8, text AS from_latin1 FROM documents WHERE regexp_full_match(text, '[\\x{0000}-\\x{00FF}]*')")
+@query(
+    "head_n",
+    "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 1000",
+)
+def head_n(spark, folder):
+    """The first thousand rows by key; the limit is the feature."""
+    return sampling.head_rows(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"])
+
+
+@query(
+    "join_null_safe",
+    """SELECT o_orderkey, o.k, c.c_name FROM (SELECT o_orderkey, nullif(o_custkey, 2) AS k FROM orders) o
+       LEFT JOIN (SELECT nullif(c_custkey, 1) AS k, c_name FROM customer) c ON o.k IS NOT DISTINCT FROM c.k""",
+)
+def join_null_safe(spark, folder):
+    """Null keys meet null keys; the right side has one row for each key, null too."""
+    left = table(spark, folder, "orders").select("o_orderkey", F.expr("nullif(o_custkey, 2)").alias("k"))
+    right = table(spark, folder, "customer").select(F.expr("nullif(c_custkey, 1)").alias("k"), "c_name")
+    return joins.merge(left, right, ["k"], null_safe=True)
+
+
+@query(
+    "decode_fallback",
+    "SELECT doc_id, text AS from_utf8, CASE WHEN regexp_full_match(text, '[\\x{0000}-\\x{00FF}]*') THEN text END AS from_latin1 FROM documents",
+)
 def decode_fallback(spark, folder):
-    """Whole texts that latin1 can hold, encoded both ways and decoded again.
+    """Whole texts, encoded both ways and decoded again; null where latin1 cannot hold the text.
 
     Plain ASCII reads the same either way; accented latin1 bytes are not valid
     UTF-8 and take the fallback.
     """
-    docs = table(spark, folder, "documents").filter(F.col("text").rlike(r"^[\x{0000}-\x{00FF}]*\z"))
-    return docs.select(
+    held = F.col("text").rlike(r"^[\x{0000}-\x{00FF}]*\z")
+    return table(spark, folder, "documents").select(
         "doc_id",
         text.decode_with_fallback(F.encode("text", "UTF-8")).alias("from_utf8"),
-        text.decode_with_fallback(F.encode("text", "ISO-8859-1")).alias("from_latin1"),
+        F.when(held, text.decode_with_fallback(F.encode("text", "ISO-8859-1"))).alias("from_latin1"),
     )
