@@ -12,9 +12,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from arrears.operators.joins import join_spread
 from arrears.operators.quantiles import _long, approximate_medians, medians, modes
+from arrears.sources.tables import stage
 
 
 def _name(column: str) -> str:
@@ -129,8 +132,9 @@ MOST_CATEGORIES = 100_000
 def _categories(dataset: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted distinct texts per column.
 
-    They become feature slots or codes, so they must fit on the driver; a column
-    with more than ``MOST_CATEGORIES`` of them is refused, not cut short.
+    They become parts of a fitted model, so they must fit on the driver; a column
+    with more than ``MOST_CATEGORIES`` of them is refused, not cut short, and can be
+    encoded with ``category_codes`` and ``join_codes``, which hold no list.
     """
     most = MOST_CATEGORIES * len(columns)
     rows = _long(dataset, columns, "string").distinct().limit(most + 1).collect()
@@ -143,6 +147,42 @@ def _categories(dataset: DataFrame, columns: Sequence[str]) -> dict[str, list[st
     return {c: sorted(v) for c, v in seen.items()}
 
 
+def category_codes(df: DataFrame, column: str) -> DataFrame:
+    """(value, code): the distinct texts of a column with codes 0.. in text order, however many there are.
+
+    Distinct texts are dealt by ranges and sorted inside; a text's code is its place in its range after the sizes of
+    the ranges before. Only one count for each range meets in one place.
+    """
+    values = df.select(F.col(column).cast("string").alias("value")).filter("value IS NOT NULL").distinct()
+    number = F.monotonically_increasing_id()  # range and place, written as they are drawn
+    placed = values.repartitionByRange("value").sortWithinPartitions("value").withColumn("number", number)
+    placed = stage(placed, "category-places").select(
+        "value", F.shiftright("number", 33).alias("range"), F.col("number").bitwiseAND((1 << 33) - 1).alias("place")
+    )
+    before = W.partitionBy(F.lit(1)).orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # one row per range
+    sizes = placed.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    starts = sizes.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return placed.join(F.broadcast(starts), "range").select("value", (F.col("start") + F.col("place")).alias("code"))
+
+
+def join_codes(
+    df: DataFrame, column: str, codes: DataFrame, out: str, row_key: Sequence[str], one_hot: bool = False
+) -> DataFrame:
+    """Add the code of each text: -1 for null and unseen ones; or a sparse vector with one slot for each code.
+
+    Texts that many rows share are spread over tasks.
+    """
+    renamed = codes.select(F.col("value").alias(column), F.col("code").cast("double").alias(out))
+    joined = join_spread(df, renamed, [column], row_key)
+    if not one_hot:
+        return joined.withColumn(out, F.coalesce(out, F.lit(-1.0)))
+    width = codes.count()
+    slot = f"{out}__slot"
+    wide = joined.withColumn(slot, F.coalesce(out, F.lit(float(width)))).drop(out)
+    sized = df.sparkSession.range(width, width + 1).select(F.col("id").cast("double").alias(slot))  # the last slot
+    return OneHotEncoder(inputCol=slot, outputCol=out, dropLast=True).fit(sized).transform(wide).drop(slot)
+
+
 def one_hot(columns: Sequence[str]) -> list[Estimator]:
     """One slot per seen category in text order; an unseen one sets none."""
     index = CategoryIndex(list(columns), [f"{c}__index" for c in columns])

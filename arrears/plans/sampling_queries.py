@@ -235,6 +235,17 @@ def feature_matrix(spark, folder):
     return wide.select(KEY, *columns)
 
 
+@query(
+    "ordinal_wide",
+    "SELECT o_orderkey, CASE WHEN o_custkey % 10 = 0 THEN -1.0 ELSE (dense_rank() OVER (PARTITION BY o_custkey % 10 = 0 ORDER BY o_custkey::VARCHAR) - 1) END::DOUBLE AS code FROM orders",
+)
+def ordinal_wide(spark, folder):
+    """Codes of the debtors as texts, fitted without one debtor in ten, by a table of codes and not a list."""
+    rows = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("debtor"))
+    codes = prepare.category_codes(rows.filter(F.col("debtor").cast("bigint") % 10 != 0), "debtor")
+    return prepare.join_codes(rows, "debtor", codes, "code", ["o_orderkey"]).select("o_orderkey", "code")
+
+
 @query(
     "prepared_texts",
     f"""WITH {MODEL_SQL} SELECT {", ".join(f"count(DISTINCT {c}) AS {c}" for c in CATEGORICAL)}, count(*) AS n FROM model""",

@@ -11,7 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Model, PipelineModel
+from pyspark.ml.classification import DecisionTreeClassificationModel, LogisticRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,18 @@ class Outcome:
         return self.model.transform(self.preparation.transform(df))
 
 
+def load_champion(folder: str) -> Model:
+    """The model that ``run`` saved below its output folder, whatever its kind."""
+    path = f"{folder}/model"
+    for kind in (LogisticRegressionModel, DecisionTreeClassificationModel):
+        try:
+            return kind.load(path)
+        except (IllegalArgumentException, Py4JJavaError) as other:
+            if "class name" not in str(other).lower() and "expected class" not in str(other).lower():
+                raise
+    raise ValueError(f"{path} holds no known model")
+
+
 def _balanced(df: DataFrame, how: str, key: str) -> DataFrame:
     if how == "none":
         return df
