@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from arrears.operators.train import positive_probability
 from arrears.plans import workflow
-from arrears.session import build_session
+from arrears.session import build_session, clear_work
 from arrears.sources import archives
 
 
@@ -70,7 +70,11 @@ def parser() -> argparse.ArgumentParser:
 
 def main(given: list[str] | None = None) -> None:
     args = parser().parse_args(given)
-    args.work(build_session("arrears", args.master), args)
+    spark = build_session("arrears", args.master)
+    try:
+        args.work(spark, args)
+    finally:
+        clear_work(spark)
 
 
 if __name__ == "__main__":

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL_WORK: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "arrears", master: str | None = None, **conf: str) -> SparkSession:
@@ -71,8 +72,22 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
+    """A new, unused path below the shared folder; ``clear_work`` removes it."""
     base = shared_folder(spark)
-    return f"{base}/arrears/{name}-{uuid.uuid4().hex}" if "://" in base else os.path.join(
-        base, "arrears", f"{name}-{uuid.uuid4().hex}"
-    )
+    leaf = f"{name}-{uuid.uuid4().hex}"
+    path = f"{base}/arrears/{leaf}" if "://" in base else os.path.join(base, "arrears", leaf)
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Delete the intermediate tables this application has made, and return their number.
+
+    Frames that read them cannot be used any more, so call it when all results are written.
+    """
+    made = _MADE.pop(spark.sparkContext.applicationId, [])
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    for path in made:
+        place = hadoop.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(made)
