@@ -35,13 +35,25 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], Counter(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
+#: Types that must agree; others (lists, decimals) are compared by value only.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
+
+
 def difference(df, con, sql: str) -> str | None:
     """None when equal; else a description of the difference."""
     got_cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     rel = con.execute(sql)
-    want_cols, want = rows_of([d[0] for d in rel.description], rel.fetchall())
+    described = rel.description
+    want_cols, want = rows_of([d[0] for d in described], rel.fetchall())
     if got_cols != want_cols:
         return f"columns {got_cols} != {want_cols}"
+    theirs = {d[0]: str(d[1]) for d in described}
+    odd = [
+        (c, t, theirs[c]) for c, t in df.dtypes
+        if t in TYPES and theirs[c] in {*TYPES.values(), "HUGEINT"} and TYPES[t] != theirs[c]
+    ]
+    if odd:
+        return f"types {odd}"
     if got != want:
         only_got, only_want = got - want, want - got
         return (
@@ -49,7 +61,4 @@ def difference(df, con, sql: str) -> str | None:
             f"only ours {sum(only_got.values())}: {list(only_got)[:3]}; "
             f"only sql {sum(only_want.values())}: {list(only_want)[:3]}"
         )
-    if got:
-        kinds = {type(v) for v in next(iter(got))}
-        del kinds
     return None
