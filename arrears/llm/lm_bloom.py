@@ -2,9 +2,10 @@
 
 Tokens and pairs of tokens of the training texts are counted (blocks of hashes and counts, dealt by hash). Counts are
 quantised on a logarithmic scale, and an n-gram of level q enters the filter q times, once for each level up to its
-own. A count is read back by probing levels 1, 2, ... until one is missing. The filter is an array of segments, each
-made where its n-grams are counted; its size is a parameter and the same for any input, so it can be broadcast: more
-n-grams make it denser (``bits`` against the number of n-grams sets the rate of false levels).
+own. A count is read back by probing levels 1, 2, ... until one is missing. The filter is a table of segments, each
+made out of its counted n-grams. Its size follows their number and levels, so that the rate of false levels stays
+below ``FALSE_LEVEL`` for any input. Up to ``MOST_BITS`` it is broadcast; a larger one stays a table, and the n-grams of
+each batch of texts are sent to its segments.
 
 Probabilities are those of pairs, smoothed with those of single tokens. The plain base score needs exact counts:
 those of the most frequent tokens (at most ``HEAD``) are broadcast, all others are joined.
@@ -17,15 +18,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from arrears.llm.common import WordHashes, blank_words, lists, map_text, mix, pack, staged, texts_of
+from arrears.llm.common import WordHashes, blank_words, lists, map_text, mix, pack, small_batches, staged, texts_of
 from arrears.llm.registry import query, table
 
 SEGMENT_BITS = 12  # the filter has 4096 segments
-ONE_BITS, TWO_BITS = 26, 28  # log2 of the bits for tokens and for pairs
+LEAST_BITS, MOST_BITS = 20, 28  # log2 of the bits of the smallest filter, and of the largest that is broadcast
+FALSE_LEVEL = 0.02  # share of levels that may be read though they are not in the filter
 PROBES = 3
+MOST_LEVEL = 109  # of the largest 64-bit count
 STEP = 1.5  # ratio of counts from level to level
 LEAST = {1: 1, 2: 2}  # smallest count that enters the filter: tokens, pairs (single pairs carry no statistics)
 FLUSH = 1_500_000  # tokens counted together in a task
@@ -43,6 +48,12 @@ def segments(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - SEGMENT_BITS)).astype(np.int64)
 
 
+def bits_for(entries: int) -> int:
+    """log2 of the bits that keep the rate of false levels below ``FALSE_LEVEL`` with so many levels entered."""
+    bits = -PROBES * entries / math.log1p(-(FALSE_LEVEL ** (1 / PROBES)))
+    return max(LEAST_BITS, math.ceil(math.log2(max(bits, 1))))
+
+
 def bit_places(hashes: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
     """Places of an n-gram's level within its segment: one for each probe."""
     h = mix(hashes + np.uint64(level * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
@@ -67,20 +78,25 @@ def middle(level: np.ndarray, least: int) -> np.ndarray:
 
 def segment_of(hashes: np.ndarray, counts: np.ndarray, least: int, bits: int) -> bytes:
     """The part of the filter that holds these n-grams, all of one segment."""
+    return field_of(hashes, levels(counts, least), bits)
+
+
+def field_of(hashes: np.ndarray, level: np.ndarray, bits: int) -> bytes:
     field = np.zeros(1 << bits - SEGMENT_BITS, bool)
-    level = levels(counts, least)
     for j in range(1, int(level.max(initial=0)) + 1):
         for at in bit_places(hashes[level >= j], j, bits):
             field[at] = True
     return np.packbits(field, bitorder="little").tobytes()
 
 
-def probe(field: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Level of each n-gram."""
+def probe(field: np.ndarray, hashes: np.ndarray, bits: int, highest: int = MOST_LEVEL) -> np.ndarray:
+    """Level of each n-gram, at most ``highest``. The field is the whole filter, or the segment of all the n-grams."""
     level = np.zeros(len(hashes), np.int64)
     left, j = np.arange(len(hashes)), 1
     base = segments(hashes) << (bits - SEGMENT_BITS)
-    while len(left):
+    if len(field) < 1 << bits - 3:
+        base = np.zeros_like(base)
+    while len(left) and j <= highest:
         held = np.ones(len(left), bool)
         for at in bit_places(hashes[left], j, bits):
             at = base[left] + at
@@ -96,6 +112,18 @@ def coarse(hashes: np.ndarray) -> np.ndarray:
     return hashes & np.uint64(0xFFFFFFFFFFF00000)
 
 
+def narrowed(hashes: np.ndarray, kind: int) -> np.ndarray:
+    """Hashes as they are stored: the segment has the rest of those of pairs."""
+    return hashes if kind == ONE else (hashes >> np.uint64(20)).astype(np.uint32)
+
+
+def widened(parts: list[bytes], kind: int, segment: int) -> np.ndarray:
+    if kind == ONE:
+        return np.concatenate([np.frombuffer(x, np.uint64) for x in parts])
+    narrow = np.concatenate([np.frombuffer(x, np.uint32) for x in parts]).astype(np.uint64)
+    return (np.uint64(segment) << np.uint64(64 - SEGMENT_BITS)) | (narrow << np.uint64(20))
+
+
 class Tokens:
     """Token hashes of the texts of a batch, each with its end."""
 
@@ -121,7 +149,7 @@ def count_blocks(docs: DataFrame, text: str) -> DataFrame:
         hashes, counts = np.unique(np.concatenate(parts), return_counts=True)
         cuts = np.searchsorted(segments(hashes), np.arange((1 << SEGMENT_BITS) + 1))
         full = np.flatnonzero(np.diff(cuts))
-        narrow = hashes if kind == ONE else (hashes >> np.uint64(20)).astype(np.uint32)  # the segment has the rest
+        narrow = narrowed(hashes, kind)
         counts = counts.astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [
@@ -151,21 +179,23 @@ def count_blocks(docs: DataFrame, text: str) -> DataFrame:
     return map_text(rows, "kind int, segment int, hashes binary, counts binary", work, "text")
 
 
-def merge_blocks(blocks: DataFrame, bits: dict[int, int]) -> DataFrame:
-    """Counts of each segment summed, and its part of the filter. Exact counts stay for single tokens only."""
+def merge_blocks(blocks: DataFrame) -> DataFrame:
+    """Counts of each segment summed: its n-grams with their levels (``entries``: sum, ``highest``: largest of these).
+
+    Exact counts stay for single tokens only.
+    """
 
     def work(key, part):
         kind, segment = (k.as_py() for k in key)
-        dtype = np.uint64 if kind == ONE else np.uint32
-        hashes = np.concatenate([np.frombuffer(x, dtype) for x in part.column("hashes").to_pylist()])
+        hashes = widened(part.column("hashes").to_pylist(), kind, segment)
         counts = np.concatenate([np.frombuffer(x, np.int32) for x in part.column("counts").to_pylist()])
-        if kind == TWO:
-            hashes = (np.uint64(segment) << np.uint64(64 - SEGMENT_BITS)) | (hashes.astype(np.uint64) << np.uint64(20))
         order = np.argsort(hashes)
         hashes, counts = hashes[order], counts[order].astype(np.int64)
         begin = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
         hashes, counts = hashes[begin], np.add.reduceat(counts, begin)
         exact = (hashes.view(np.int64), counts) if kind == ONE else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        level = levels(counts, LEAST[kind])
+        enters = level > 0
         return pa.table(
             {
                 "kind": pa.array([kind], pa.int32()),
@@ -173,20 +203,44 @@ def merge_blocks(blocks: DataFrame, bits: dict[int, int]) -> DataFrame:
                 "hashes": lists(exact[0], [len(exact[0])], pa.int64()),
                 "counts": lists(exact[1], [len(exact[1])], pa.int64()),
                 "n_grams": pa.array([len(hashes)], pa.int64()),
-                "field": pa.array([segment_of(hashes, counts, LEAST[kind], bits[kind])], pa.binary()),
+                "narrow": pa.array([narrowed(hashes[enters], kind).tobytes()], pa.binary()),
+                "level": pa.array([level[enters].astype(np.uint8).tobytes()], pa.binary()),
+                "entries": pa.array([level.sum()], pa.int64()),
+                "highest": pa.array([level.max()], pa.int32()),
             }
         )
 
     return blocks.groupBy("kind", "segment").applyInArrow(
-        work, "kind int, segment int, hashes array<long>, counts array<long>, n_grams long, field binary"
+        work,
+        "kind int, segment int, hashes array<long>, counts array<long>, n_grams long, narrow binary, level binary, "
+        "entries long, highest int",
     )
 
 
-def gather_field(merged: DataFrame, kind: int, bits: int) -> np.ndarray:
-    """The filter: its size is fixed by ``bits``, whatever the input."""
+def filter_table(merged: DataFrame, bits: dict[int, int]) -> DataFrame:
+    """The filter: ``kind``, ``segment``, ``field``."""
+
+    def work(key, part):
+        kind, segment = (k.as_py() for k in key)
+        hashes = widened(part.column("narrow").to_pylist(), kind, segment)
+        level = np.concatenate([np.frombuffer(x, np.uint8) for x in part.column("level").to_pylist()])
+        return pa.table(
+            {
+                "kind": pa.array([kind], pa.int32()),
+                "segment": pa.array([segment], pa.int32()),
+                "field": pa.array([field_of(hashes, level, bits[kind])], pa.binary()),
+            }
+        )
+
+    rows = merged.select("kind", "segment", "narrow", "level")
+    return rows.groupBy("kind", "segment").applyInArrow(work, "kind int, segment int, field binary")
+
+
+def gather_field(fields: DataFrame, kind: int, bits: int) -> np.ndarray:
+    """The whole filter of a kind, which the caller has found small enough."""
     field = np.zeros(1 << bits - 3, np.uint8)
     size = 1 << bits - SEGMENT_BITS - 3
-    for segment, part in merged.where(F.col("kind") == kind).select("segment", "field").toLocalIterator():
+    for segment, part in fields.where(F.col("kind") == kind).select("segment", "field").toLocalIterator():
         field[segment * size : (segment + 1) * size] = np.frombuffer(part, np.uint8)
     return field
 
@@ -207,63 +261,190 @@ def frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes[order], head.column("count").to_numpy()[order]
 
 
-def score_rows(docs: DataFrame, keep: list[str], text: str, model: dict) -> DataFrame:
-    rows = docs.select(pack(keep), F.col(text).cast("string").alias("text"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def batched(rows: DataFrame) -> DataFrame:
+    """One row for each batch: ``batch`` (number), ``rows``, ``texts`` (compressed Arrow stream)."""
 
     def work(batches):
-        m, known = sent.value, WordHashes()
-        head, head_counts = m["head"]
+        number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            tokens = Tokens(texts_of(batch.column(1)), known)
-            n = len(tokens.counts)
-            distinct, back = np.unique(tokens.hashes, return_inverse=True)
-            place = np.minimum(np.searchsorted(head, distinct), max(0, len(head) - 1))
-            is_head = head[place] == distinct if len(head) else np.zeros(len(distinct), bool)
-            log = np.where(is_head, np.log10(head_counts[place] + 0.1) if len(head) else 0.0, 0.0)
-            in_head = is_head[back]
-            base = np.bincount(tokens.owner, log[back], n)
-            n_head = np.bincount(tokens.owner, in_head, n)
-            # the rest: distinct tokens of each text with their number
-            rest = np.flatnonzero(~in_head)
-            order = rest[np.lexsort((back[rest], tokens.owner[rest]))]
-            new = np.ones(len(order), bool)
-            new[1:] = (tokens.owner[order][1:] != tokens.owner[order][:-1]) | (back[order][1:] != back[order][:-1])
-            begin = np.flatnonzero(new)
-            times = np.diff(np.concatenate([begin, [len(order)]]))
-            each = np.bincount(tokens.owner[order[begin]], minlength=n)
-            # the model
-            one = middle(probe(m["ones"], distinct, m["one_bits"]), LEAST[ONE])
-            single = (one + 0.1) / m["mass"]
-            pairs = middle(probe(m["twos"], tokens.pairs(), m["two_bits"]), LEAST[TWO])
-            seen = np.concatenate([[0.0], one[back][:-1]])
-            seen[tokens.first] = m["texts"]
-            trust = MOST_TRUST * seen / (seen + PRIOR)
-            p = trust * np.minimum(pairs / np.maximum(seen, 1.0), 1.0) + (1 - trust) * single[back]
-            score = np.bincount(tokens.owner, np.log10(np.minimum(p, 1.0)), n)
+            texts, sink = batch.select(["text"]), pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, texts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(texts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
-                    pa.array(tokens.counts, pa.int64()),
-                    pa.array(n_head.astype(np.int64)),
-                    pa.array(base),
-                    pa.array(score),
-                    lists(distinct[back[order[begin]]].view(np.int64), each, pa.int64()),
-                    lists(times.astype(np.int32), each, pa.int32()),
+                    pa.array([number], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column(0)),
+                    pa.array([sink.getvalue().to_pybytes()], pa.binary()),
                 ],
-                names=["row", "n_tokens", "n_head", "base_head", "score", "rest", "times"],
+                names=["batch", "rows", "texts"],
             )
+            number += 1
+
+    schema = T.StructType(
+        [
+            T.StructField("batch", T.LongType()),
+            T.StructField("rows", T.ArrayType(rows.schema["row"].dataType)),
+            T.StructField("texts", T.BinaryType()),
+        ]
+    )
+    return rows.mapInArrow(lambda batches: work(small_batches(batches, 1)), schema)
+
+
+def tokens_of(texts: bytes, known: WordHashes) -> Tokens:
+    return Tokens(texts_of(pa.ipc.open_stream(texts).read_all().column("text").combine_chunks()), known)
+
+
+def table_levels(batches: DataFrame, model: dict, kinds: list[int]) -> DataFrame:
+    """Levels of the distinct n-grams of each batch, out of the filter's table: ``batch``, ``kind``, ``segment``, ``level``.
 
+    The levels of a segment stand in the order of its hashes.
+    """
+    bits, highest = model["bits"], model["highest"]
+    types = [("batch", pa.int64()), ("kind", pa.int32()), ("segment", pa.int32()), ("level", pa.binary())]
+    empty = pa.schema(types).empty_table()
+
+    def ask(parts):
+        known = WordHashes()
+        for part in parts:
+            for number, texts in zip(part.column(0).to_pylist(), part.column(1)):
+                tokens = tokens_of(texts.as_py(), known)
+                for kind in kinds:
+                    hashes = np.unique(tokens.hashes if kind == ONE else tokens.pairs())
+                    cuts = np.searchsorted(segments(hashes), np.arange((1 << SEGMENT_BITS) + 1))
+                    full, narrow = np.flatnonzero(np.diff(cuts)), narrowed(hashes, kind)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(full), number, np.int64)),
+                            pa.array(np.full(len(full), kind, np.int32)),
+                            pa.array(full.astype(np.int32)),
+                            pa.array([narrow[cuts[i] : cuts[i + 1]].tobytes() for i in full], pa.binary()),
+                        ],
+                        names=["batch", "kind", "segment", "hashes"],
+                    )
+
+    def answer(key, asked, part):
+        kind, segment = (k.as_py() for k in key)
+        if not asked.num_rows:
+            return empty
+        parts = asked.column("hashes").to_pylist()
+        hashes = widened(parts, kind, segment)
+        level = np.zeros(len(hashes), np.uint8)
+        if part.num_rows:
+            field = np.frombuffer(part.column("field")[0].as_py(), np.uint8)
+            level = probe(field, hashes, bits[kind], highest[kind]).astype(np.uint8)
+        ends = np.cumsum([len(x) // (8 if kind == ONE else 4) for x in parts])[:-1]
+        found = pa.array([x.tobytes() for x in np.split(level, ends)], pa.binary())
+        return asked.set_column(3, "level", found).select(["batch", "kind", "segment", "level"])
+
+    asked = batches.select("batch", "texts").mapInArrow(ask, "batch long, kind int, segment int, hashes binary")
+    fields = model["fields"].where(F.col("kind").isin(kinds))
+    return (
+        asked.groupBy("kind", "segment")
+        .cogroup(fields.groupBy("kind", "segment"))
+        .applyInArrow(answer, "batch long, kind int, segment int, level binary")
+    )
+
+
+def score_batch(row: pa.Array, tokens: Tokens, m: dict, level_of) -> pa.RecordBatch:
+    """level_of: levels of n-grams of a kind."""
+    head, head_counts = m["head"]
+    n = len(tokens.counts)
+    distinct, back = np.unique(tokens.hashes, return_inverse=True)
+    place = np.minimum(np.searchsorted(head, distinct), max(0, len(head) - 1))
+    is_head = head[place] == distinct if len(head) else np.zeros(len(distinct), bool)
+    log = np.where(is_head, np.log10(head_counts[place] + 0.1) if len(head) else 0.0, 0.0)
+    in_head = is_head[back]
+    base = np.bincount(tokens.owner, log[back], n)
+    n_head = np.bincount(tokens.owner, in_head, n)
+    # the rest: distinct tokens of each text with their number
+    rest = np.flatnonzero(~in_head)
+    order = rest[np.lexsort((back[rest], tokens.owner[rest]))]
+    new = np.ones(len(order), bool)
+    new[1:] = (tokens.owner[order][1:] != tokens.owner[order][:-1]) | (back[order][1:] != back[order][:-1])
+    begin = np.flatnonzero(new)
+    times = np.diff(np.concatenate([begin, [len(order)]]))
+    each = np.bincount(tokens.owner[order[begin]], minlength=n)
+    # the model
+    one = middle(level_of(ONE, distinct), LEAST[ONE])
+    single = (one + 0.1) / m["mass"]
+    pairs = middle(level_of(TWO, tokens.pairs()), LEAST[TWO])
+    seen = np.concatenate([[0.0], one[back][:-1]])
+    seen[tokens.first] = m["texts"]
+    trust = MOST_TRUST * seen / (seen + PRIOR)
+    p = trust * np.minimum(pairs / np.maximum(seen, 1.0), 1.0) + (1 - trust) * single[back]
+    score = np.bincount(tokens.owner, np.log10(np.minimum(p, 1.0)), n)
+    return pa.RecordBatch.from_arrays(
+        [
+            row,
+            pa.array(tokens.counts, pa.int64()),
+            pa.array(n_head.astype(np.int64)),
+            pa.array(base),
+            pa.array(score),
+            lists(distinct[back[order[begin]]].view(np.int64), each, pa.int64()),
+            lists(times.astype(np.int32), each, pa.int32()),
+        ],
+        names=["row", "n_tokens", "n_head", "base_head", "score", "rest", "times"],
+    )
+
+
+def score_rows(docs: DataFrame, keep: list[str], text: str, model: dict) -> DataFrame:
+    rows = docs.select(pack(keep), F.col(text).cast("string").alias("text"))
+    sent = docs.sparkSession.sparkContext.broadcast({k: v for k, v in model.items() if k != "fields"})
     schema = (
         "n_tokens long, n_head long, base_head double, score double, rest array<long>, times array<int>"
     )
-    return map_text(rows, schema, work, "text")
 
+    def level(kind: int, hashes: np.ndarray) -> np.ndarray:
+        m = sent.value
+        return probe(m["sent"][kind], hashes, m["bits"][kind], m["highest"][kind])
 
-def train(docs: DataFrame, text: str = "text", one_bits: int = ONE_BITS, two_bits: int = TWO_BITS, head: int = HEAD):
-    """The model of all given texts, and the table of exact token counts (``token``, ``count``)."""
-    bits = {ONE: one_bits, TWO: two_bits}
-    merged = staged(merge_blocks(count_blocks(docs, text), bits), "n-gram-counts")
+    def work(batches):
+        known = WordHashes()
+        for batch in batches:
+            yield score_batch(batch.column(0), Tokens(texts_of(batch.column(1)), known), sent.value, level)
+
+    def finish(batch, found):
+        given = {}
+        for kind in kinds:
+            own = found.filter(pa.compute.equal(found.column("kind"), kind)).sort_by("segment")
+            given[kind] = np.frombuffer(b"".join(own.column("level").to_pylist()), np.uint8).astype(np.int64)
+
+        def level_of(kind, hashes):
+            return given[kind][np.unique(hashes, return_inverse=True)[1]] if kind in given else level(kind, hashes)
+
+        tokens = tokens_of(batch.column("texts")[0].as_py(), WordHashes())
+        row = batch.column("rows").combine_chunks().flatten()
+        return pa.Table.from_batches([score_batch(row, tokens, sent.value, level_of)])
+
+    kinds = [k for k in (ONE, TWO) if k not in model["sent"]]
+    if not kinds:
+        return map_text(rows, schema, work, "text")
+    batches = staged(batched(rows), "score-batches")
+    found = table_levels(batches, model, kinds)
+    return (
+        batches.groupBy("batch")
+        .cogroup(found.groupBy("batch"))
+        .applyInArrow(finish, T.StructType([rows.schema["row"], *T.StructType.fromDDL(schema).fields]))
+    )
+
+
+def train(
+    docs: DataFrame,
+    text: str = "text",
+    one_bits: int | None = None,
+    two_bits: int | None = None,
+    head: int = HEAD,
+    most_bits: int = MOST_BITS,
+):
+    """The model of all given texts, and the table of exact token counts (``token``, ``count``).
+
+    The filter's size (log2 of the bits for tokens and for pairs) follows the counts unless it is given.
+    """
+    merged = staged(merge_blocks(count_blocks(docs, text)), "n-gram-counts")
+    sums = {k: x for k, *x in merged.groupBy("kind").agg(F.sum("entries"), F.max("highest")).collect()}
+    entries, highest = ({k: sums.get(k, (0, 0))[i] for k in (ONE, TWO)} for i in (0, 1))
+    bits = {ONE: one_bits or bits_for(entries[ONE]), TWO: two_bits or bits_for(entries[TWO])}
+    fields = staged(filter_table(merged, bits), "n-gram-filter")
     counts = (
         merged.where(F.col("kind") == ONE)
         .select(F.explode(F.arrays_zip("hashes", "counts")).alias("x"))
@@ -272,10 +453,11 @@ def train(docs: DataFrame, text: str = "text", one_bits: int = ONE_BITS, two_bit
     total, distinct = counts.agg(F.sum("count"), F.count("*")).first()
     total = total or 0
     model = {
-        "ones": gather_field(merged, ONE, one_bits),
-        "twos": gather_field(merged, TWO, two_bits),
-        "one_bits": one_bits,
-        "two_bits": two_bits,
+        "fields": fields,
+        "sent": {k: gather_field(fields, k, bits[k]) for k in (ONE, TWO) if bits[k] <= most_bits},
+        "bits": bits,
+        "highest": highest,
+        "entries": entries,
         "head": frequent(counts, head),
         "tokens": total,
         "mass": total + 0.1 * (distinct + 1),

@@ -63,6 +63,34 @@ def test_filter_gives_counts_back():
     assert (np.abs(exact - np.arange(1, 1000)) <= 0.25 * np.arange(1, 1000) + 0.01).all()
 
 
+def test_filter_grows_with_its_entries_and_probing_ends():
+    for entries in (10**3, 10**6, 10**8, 2_900_000_000):
+        bits = lm.bits_for(entries)
+        rate = (1 - math.exp(-lm.PROBES * entries / 2**bits)) ** lm.PROBES
+        assert rate <= lm.FALSE_LEVEL and (bits == lm.LEAST_BITS or rate > lm.FALSE_LEVEL / 8)
+    rng = np.random.default_rng(4)
+    hashes = rng.integers(0, 2**64, 200_000, dtype=np.uint64)
+    bits = lm.bits_for(len(hashes))
+    own = hashes[lm.segments(hashes) == 7]
+    part = np.frombuffer(lm.segment_of(own, np.ones(len(own), int), 1, bits), np.uint8)
+    assert (lm.probe(part, own, bits, 1) == 1).all()  # a segment by itself
+    full = np.full(1 << 17, 255, np.uint8)
+    assert (lm.probe(full, hashes[:10], 20, 5) == 5).all()
+    assert (lm.probe(full, hashes[:10], 20) == lm.MOST_LEVEL).all()
+
+
+def test_filter_as_table_gives_the_same_scores(small, make):
+    odd = make((1, None, "a"), (2, "", "a"), (3, "x Y " * 400, None), (None, "x y", "a"), repeat=[(2, "", "a")])
+    plain = lambda rows: sorted((str(r.row), r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in rows)
+    for docs in (small.select("doc_id", "text"), odd.select("doc_id", "text"), odd.select("doc_id", "text").limit(0)):
+        sent, scored = trained(docs, one_bits=20, two_bits=21)
+        assert set(sent["sent"]) == {lm.ONE, lm.TWO}
+        for most in (0, 20):  # none of the filter is sent, or that of tokens only
+            kept, again = trained(docs, one_bits=20, two_bits=21, most_bits=most)
+            assert set(kept["sent"]) == ({lm.ONE} if most else set())
+            assert plain(again.collect()) == plain(scored.collect())
+
+
 def test_language_model_edge_cases(make):
     docs = make((1, None, "a"), (2, "", "a"), (3, "x Y " * 40_000, None), (None, "x y", "a"), repeat=[(2, "", "a")])
     options = {"one_bits": 20, "two_bits": 20}
