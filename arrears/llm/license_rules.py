@@ -1,7 +1,8 @@
 """License scan with ordered signature rules.
 
 A rule is a regular expression with a label, a priority and a keyword. A text is searched by a rule only if it holds
-the rule's keyword (plain substring search), and by any rule only if it holds one of the gates. Overlapping
+the rule's keyword (plain substring search in lower case with single blanks), which is a part of all that the rule
+matches. Overlapping
 detections are resolved: a detection inside one of a higher priority, or inside a longer one of the same priority, is
 suppressed.
 
@@ -117,7 +118,7 @@ cc-by-nc-nd | creative commons | \bCreative Commons Attribution ?-? ?Non ?-?Comm
 
 #: kind; label; keyword; expression.
 PHRASES = r"""
-phrase | reserved      | rights reserved  | \ball rights(?: are)? reserved\b
+phrase | reserved      | all rights       | \ball rights(?: are)? reserved\b
 phrase | reserved      | rechte           | \balle rechte vorbehalten\b
 phrase | reserved      | droits           | \btous droits r[ée]serv[ée]s\b
 phrase | reserved      | derechos         | \btodos los derechos reservados\b
@@ -137,22 +138,16 @@ phrase | agpl          | redistribute it  | \byou can redistribute it and/or mod
 phrase | unlicense     | unencumbered     | \bthis is free and unencumbered software released into the public domain\b
 phrase | proprietary   | proprietary      | \bproprietary(?: and confidential| licen[cs]e| software)\b
 phrase | proprietary   | unauthori        | \bunauthori[sz]ed (?:copying|use|reproduction|distribution)\b
-phrase | proprietary   | end user         | \bend[ -]user licen[cs]e agreement\b
-phrase | noncommercial | commercial       | \bfor (?:non-?commercial|personal|educational|research)(?: and [\w-]+)? use only\b
+phrase | proprietary   | user licen       | \bend[ -]user licen[cs]e agreement\b
+phrase | noncommercial | use only         | \bfor (?:non-?commercial|personal|educational|research)(?: and [\w-]+)? use only\b
 phrase | noncommercial | commercial       | \bnot (?:be used )?for commercial (?:use|purposes)\b
 phrase | permission    | permission       | \b(?:used|reprinted|reproduced) (?:with|by) (?:kind )?permission\b
 hint   | copyright     | copyright        | \bcopyright (?:\(c\)|©)? ?(?:19|20)\d\d\b
 hint   | copyright     | copyright        | \bcopyright (?:\(c\)|©)
 hint   | copyright     | ©                | ©
-hint   | licensed      | licen            | \b(?:licen[cs]ed|released|distributed|available) under\b
+hint   | licensed      | under            | \b(?:licen[cs]ed|released|distributed|available) under\b
 """
 
-#: A text without any of these holds no detection: each rule's keyword, or the words around it, contain one.
-GATES = ("licen", "lizenz", "copyright", "©", "spdx", "gpl", "gnu", "creative", "cc", "domain", "rights", "rechte", "droits",
-         "derechos", "redistribut", "permission", "warranty", "bsd", "mpl", "eupl", "wtfpl", "unless required", "unencumbered",
-         "proprietary", "unauthori", "commercial", "commons", "no attribution", "cecill", "source", "ofl", "opensource",
-         "apache.org", "opendata", "rail", "licenc")
-
 VERSION = r"(?:,? ?(?:version|v\.?)? ?)?(?:{0})(?![\d])"
 NOTICE = r"\b(?:licen[cs]ed|released|distributed|available|published|provided|covered)(?: to you)?(?: under| by)(?: the)?(?: terms of)?(?: the)? "
 
@@ -199,20 +194,28 @@ def link_word(link: str) -> str:
     return regex.match(r"(?:[\w-]|\\\.)+", link).group().replace("\\.", ".")
 
 
+@lru_cache(1)
+def by_keyword() -> dict[str, list[Rule]]:
+    out: dict[str, list[Rule]] = {}
+    for rule in rules():
+        out.setdefault(rule.keyword, []).append(rule)
+    return out
+
+
 def detect(text: str) -> list[tuple[int, int, Rule]]:
     """Detections that are not suppressed, in text order."""
-    low = text.lower()
-    if not any(g in low for g in GATES):
-        return []
-    held: dict[str, bool] = {}
+    low = text.replace("\u0130", "i").lower().replace("\u017f", "s")  # these match i and s in any case
+    low = " ".join(low.split())
+    return resolve(text, [rule for keyword, own in by_keyword().items() if keyword in low for rule in own])
+
+
+def resolve(text: str, searched: list[Rule]) -> list[tuple[int, int, Rule]]:
+    """Detections of the given rules that are not suppressed."""
     found: dict[int, list[tuple[int, int, Rule]]] = {}
-    for rule in rules():
-        if rule.keyword not in held:
-            held[rule.keyword] = rule.keyword in low
-        if held[rule.keyword]:
-            hits = [(*m.span(), rule) for m in rule.find(text)]
-            if hits:
-                found.setdefault(rule.priority, []).extend(hits)
+    for rule in searched:
+        hits = [(*m.span(), rule) for m in rule.find(text)]
+        if hits:
+            found.setdefault(rule.priority, []).extend(hits)
     kept: list[tuple[int, int, Rule]] = []
     for priority in sorted(found, reverse=True):
         starts = np.array([a for a, _, _ in kept])
