@@ -421,10 +421,11 @@ def score_rows(docs: DataFrame, keep: list[str], text: str, model: dict) -> Data
         return map_text(rows, schema, work, "text")
     batches = staged(batched(rows), "score-batches")
     found = table_levels(batches, model, kinds)
+    row = T.StructField("row", batches.schema["rows"].dataType.elementType)  # columns may be null once written
     return (
         batches.groupBy("batch")
         .cogroup(found.groupBy("batch"))
-        .applyInArrow(finish, T.StructType([rows.schema["row"], *T.StructType.fromDDL(schema).fields]))
+        .applyInArrow(finish, T.StructType([row, *T.StructType.fromDDL(schema).fields]))
     )
 
 
