@@ -13,6 +13,7 @@ from arrears.llm import (  # noqa: F401
     relative_lz,
     simhash_bktree,
     token_fst,
+    turn_trie,
     url_words,
 )
 from arrears.llm.registry import ORACLES, QUERIES  # noqa: F401
