@@ -5,6 +5,7 @@ from __future__ import annotations
 from arrears.llm import (  # noqa: F401
     aho_benchmark,
     letter_gram,
+    hilbert_shards,
     license_rules,
     line_frequency,
     lm_bloom,
