@@ -71,19 +71,17 @@ def _unsigned(values: list[int]) -> np.ndarray:
     return np.array(values, np.uint64).view(np.int64)
 
 
-def identity(hashes: Iterable[int], whole: bool) -> int:
-    """Of a document: first 64 bits of the MD5 of its sorted line hashes, or the smallest of them; 0 without lines."""
-    if not whole:
-        return min(hashes, default=0)
+def identity(hashes: Iterable[int]) -> int:
+    """Of a document: first 64 bits of the MD5 of its sorted line hashes; 0 without lines."""
     own = np.sort(np.fromiter(hashes, np.uint64)).astype(">u8").tobytes()
     return int.from_bytes(hashlib.md5(own, usedforsecurity=False).digest()[:8], "big") if own else 0
 
 
-def measure(docs: DataFrame, keep: list[str], text: str, host: str, whole: bool = True) -> DataFrame:
+def measure(docs: DataFrame, keep: list[str], text: str, host: str) -> DataFrame:
     """Figures of each text, and its lines as hashes.
 
     ``row`` (struct of ``keep``), the base figures, ``lines`` (distinct line hashes), ``line_words`` (words of all
-    lines with that hash), ``body`` (identity of the document: of all its lines if ``whole``, else the smallest).
+    lines with that hash), ``body`` (identity of the document: of all its lines).
     """
     rows = docs.select(
         pack(keep), F.col(text).cast("string").alias("text"), F.col(host).cast("string").alias("host")
@@ -111,7 +109,7 @@ def measure(docs: DataFrame, keep: list[str], text: str, host: str, whole: bool
                 hashes.extend(found)
                 sizes.extend(found.values())
                 each.append(len(found))
-                body.append(identity(found, whole))
+                body.append(identity(found))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -160,22 +158,20 @@ def judge(
     host: str = "source",
     most_documents: int = MOST_DOCUMENTS,
     least_left: int = LEAST_LEFT,
-    whole: bool = True,
 ) -> DataFrame:
     """Base figures, words in boilerplate lines, and the verdict, one row for each input row.
 
     A line (lower case, single blanks) is boilerplate in its host when more than ``most_documents`` distinct documents
     of that host show it; documents with the same set of lines count as one, so copies of a document do not turn its
-    lines into boilerplate. Unless ``whole``, documents with the same smallest line hash count as one, which misses
-    lines that are the smallest of different documents. The document with the smallest key that shows a line keeps it (``keep`` holds the key;
-    null keys come last). A document is rejected when it fails
+    lines into boilerplate. The document with the smallest key that shows a line keeps it (``keep`` holds the key; null
+    keys come last). A document is rejected when it fails
     the base rule or fewer than ``least_left`` percent of its words are left; ``dropped`` lists its boilerplate lines.
 
     Null and empty texts have no words and fail. A null host counts as the empty one. Repeated rows are judged each by
     itself. An empty table gives an empty result.
     """
     measured = staged(
-        measure(docs, keep, text, host, whole).withColumn("owner", F.monotonically_increasing_id()), "line-figures"
+        measure(docs, keep, text, host).withColumn("owner", F.monotonically_increasing_id()), "line-figures"
     )
     own = F.col("row")[key]
     place = F.struct(own.isNull().alias("none"), own.alias("id"), "owner").alias("place")
@@ -230,7 +226,8 @@ def clean(
 ) -> DataFrame:
     """The documents that are kept, without their boilerplate lines; ``chars`` is counted anew.
 
-    Rows with the same key, text and host share the mildest verdict.
+    Rows with the same key, text and host share the mildest verdict. Null and empty texts have no words and go; a null
+    host counts as the empty one; an empty table gives an empty result. Extra columns keep their names and values.
     """
     rows = keyed(docs, key, text, host)
     row = F.col("row")
@@ -258,7 +255,8 @@ worded AS (
   FROM split WHERE len(regexp_extract_all(line, '{WORDS}')) > 0),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM worded GROUP BY doc_id),
 lines AS (SELECT doc_id, hash, sum(words) AS words FROM worded GROUP BY doc_id, hash),
-body AS (SELECT doc_id, min(hash) AS body FROM lines GROUP BY doc_id),
+body AS (
+  SELECT doc_id, substr(md5(unhex(string_agg(hash, '' ORDER BY hash))), 1, 16) AS body FROM lines GROUP BY doc_id),
 common AS (
   SELECT hash, min(doc_id) AS first FROM lines JOIN body USING (doc_id)
   GROUP BY hash HAVING count(DISTINCT body) > {MOST_DOCUMENTS}),
@@ -283,7 +281,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 @query("op5_quality_rules", SQL)
 def op5_quality_rules(spark, folder):
-    judged = judge(table(spark, folder, "documents"), ["doc_id"], whole=False)  # as its SQL counts
+    judged = judge(table(spark, folder, "documents"), ["doc_id"])
     return judged.select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "n_boilerplate",
