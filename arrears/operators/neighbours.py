@@ -1,196 +1,254 @@
-"""Exact nearest neighbours of vectors without comparing all pairs.
+"""Exact nearest neighbours of encoded rows: a few numbers and a set of indicator slots.
 
-The partitioned join of Lu, Shen, Chen and Ooi, "Efficient Processing of k
-Nearest Neighbor Joins using MapReduce" (PVLDB 2012): pivots cut the space into
-cells, distances to pivots bound where neighbours can lie, and a vector is
-sent only to the cells it may have a neighbour in. Cells are worked on in
-blocks of bounded size, so no task holds a whole cell.
+The squared distance of two rows is that of their numbers plus the number of slots only one of them has set. Rows with
+the same slots form a pattern. Inside a pattern rows are sorted by their numbers and cut into bands of bounded size; a
+tree of boxes stands over the bands. A search visits the own pattern first, then those that differ in one slot, in two,
+and so on. It ends when even equal numbers could not make the next patterns near enough. Box distances keep the search
+from bands that cannot hold a neighbour.
+
+All steps are joins on band and node numbers; what meets in a task is two bands. Nothing but the number of heights and
+levels reaches the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from arrears.functions.hashing import digest
 from arrears.sources.tables import stage
 
-MOST_PIVOTS = 8192
-CELL_ROWS = 500  # vectors a cell should hold on average
-CELLS_AT_ONCE = 4_000_000  # distances held in memory while rows are assigned
-SLACK = 1e-6  # distances to pivots carry rounding errors; bounds are widened by it
-
-
-def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Rows of a list column as a matrix."""
-    chunk = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return chunk.flatten().to_numpy(zero_copy_only=False).reshape(len(chunk), -1)
-
-
-def _slices(batches: Iterator[pa.RecordBatch], pivots: int) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the distances of a piece to all pivots fit in memory."""
-    rows = max(1, CELLS_AT_ONCE // pivots)
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
-def _to_pivots(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    squares = (x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2.0 * (x @ pivots.T)
-    return np.sqrt(np.maximum(squares, 0.0))
+BAND = 256  # rows of a band
+FAN = 64  # children of a box
+SLACK = 1e-9  # box distances are summed in another order than distances
 
 
-def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances, summed feature by feature."""
-    total = np.zeros((len(a), len(b)))
-    for i in range(a.shape[1]):
-        difference = a[:, i][:, None] - b[:, i][None, :]
-        total += difference * difference
+def _gap(dims: int) -> Column:
+    """Squared distance between the boxes of the asking rows and of a node."""
+    total = F.lit(0.0)
+    for i in range(dims):
+        apart = F.greatest(F.col("ask_lo")[i] - F.col("hi")[i], F.col("lo")[i] - F.col("ask_hi")[i], F.lit(0.0))
+        total = total + apart * apart
     return total
 
 
-def nearest(
-    vectors: DataFrame,
-    queries: DataFrame,
-    k: int,
-    block: int = 2000,
-    pivots: int | None = None,
-    seed: object = 42,
-) -> DataFrame:
-    """(vid, nn, nn_x, nn_times, d2, place): the ``k`` nearest other vectors of each query.
-
-    ``vectors`` has (vid, x, times) with distinct arrays ``x``; ``queries`` is a
-    part of it. Equal distances are ordered by ``nn``.
-    """
-    spark = vectors.sparkSession
-    id_type = dict(vectors.dtypes)["vid"]
-    count = vectors.count()
-    wanted = pivots or max(1, min(MOST_PIVOTS, count // CELL_ROWS))
-    # a bounded number of vectors, chosen by hash, hence spread like the data
-    chosen = vectors.orderBy(digest(seed, "vid")).select("x").limit(wanted).collect()
-    centre = np.array([r["x"] for r in chosen], dtype="float64")
-    if not len(centre):
-        return spark.createDataFrame(
-            [], f"vid {id_type}, nn {id_type}, nn_x array<double>, nn_times bigint, d2 double, place int"
+def _box(dims: int, lo: str, hi: str) -> list[Column]:
+    """Smallest and largest number of each dimension, over rows (lo and hi the same) or boxes."""
+    none = F.array().cast("array<double>")
+    least = F.array(*[F.min(F.col(lo)[i]) for i in range(dims)]) if dims else none
+    most = F.array(*[F.max(F.col(hi)[i]) for i in range(dims)]) if dims else none
+    return [least.alias("lo"), most.alias("hi")]
+
+
+class _Bands:
+    """The rows in bands, and the boxes over them. A node's number is the place of its first row."""
+
+    def __init__(self, vectors: DataFrame, size: int):
+        self.size = size
+        ordered = vectors.repartitionByRange("slots", "x").sortWithinPartitions("slots", "x")
+        ordered = stage(ordered.withColumn("at", F.monotonically_increasing_id()), "neighbour-order")
+        first = ordered.select(F.size("x")).first()
+        self.dims = first[0] if first else 0
+        # rows of a pattern in one partition of the sort: a run; its places follow each other
+        ordered = ordered.withColumn("part", F.shiftright("at", 33))
+        run = F.min("at").over(W.partitionBy("part", "slots"))
+        placed = ordered.withColumn("run", run).withColumn("band", F.col("at") - (F.col("at") - F.col("run")) % size)
+        members = F.collect_list(F.struct("vid", "x", "times", "asks")).alias("members")
+        self.bands = stage(
+            placed.groupBy("run", "slots", "band").agg(members, *_box(self.dims, "x", "x")), "neighbour-bands"
         )
-
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches, len(centre)):
-            far = _to_pivots(_matrix(batch.column("x")), centre)
-            cell = far.argmin(1)
-            reach = far[np.arange(len(cell)), cell]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell, pa.int32()), pa.array(reach)], [*batch.schema.names, "cell", "reach"]
-            )
-
-    placed = stage(
-        vectors.select("vid", "x", "times").mapInArrow(
-            assign, f"vid {id_type}, x array<double>, times bigint, cell int, reach double"
-        ),
-        "cells",
-    )
-    closest = W.partitionBy("cell").orderBy("reach")
-    inner = (
-        placed.select("cell", "reach")
-        .withColumn("place", F.row_number().over(closest))
-        .filter(F.col("place") <= k + 1)
-        .groupBy("cell")
-        .agg(F.max("reach").alias("inner"), F.count(F.lit(1)).alias("held"))
-    )
-    outer = placed.groupBy("cell").agg(F.max("reach").alias("outer"), F.count(F.lit(1)).alias("n"))
-    facts = outer.join(inner, "cell").collect()  # one row per pivot
-    number = len(centre)
-    size = np.zeros(number, dtype="int64")
-    radius = np.full(number, -np.inf)
-    certain = np.full(number, np.inf)
-    for r in facts:
-        size[r["cell"]], radius[r["cell"]] = r["n"], r["outer"]
-        if r["held"] > k:
-            certain[r["cell"]] = r["inner"]
-    chunks = np.maximum(1, -(-size // block))
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Every cell that may hold one of the k nearest of a query."""
-        for batch in _slices(batches, number):
-            far = _to_pivots(_matrix(batch.column("x")), centre)
-            own = far.argmin(1)
-            limit = (far + certain[None, :]).min(1)
-            limit = limit * (1.0 + SLACK) + SLACK
-            by_radius = far - radius[None, :]
-            used, place = np.unique(own, return_inverse=True)
-            apart = _to_pivots(centre[used], centre)[place]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                by_plane = (far**2 - (far[np.arange(len(own)), own] ** 2)[:, None]) / (2.0 * apart)
-            by_plane[~np.isfinite(by_plane)] = -np.inf
-            possible = (np.maximum(by_radius, by_plane - SLACK) <= limit[:, None]) & (size > 0)[None, :]
-            row, cell = np.nonzero(possible)
-            picked = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [picked.column("vid"), picked.column("x"), pa.array(cell, pa.int32())], ["vid", "x", "cell"]
-            )
-
-    routed = stage(
-        queries.select("vid", "x").mapInArrow(route, f"vid {id_type}, x array<double>, cell int"), "routes"
-    )
-    asked = {r["cell"]: r["n"] for r in routed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = spark.createDataFrame(
-        [(int(c), int(chunks[c]), max(1, -(-n // block))) for c, n in asked.items()],
-        "cell int, chunks int, asks int",
-    )
-
-    def share(parts: str):
-        return F.pmod(F.xxhash64("vid"), F.col(parts).cast("bigint")).cast("int")
-
-    def every(parts: str):
-        return F.explode(F.sequence(F.lit(0), F.col(parts) - 1))
-
-    small = F.broadcast(plan)  # one row per pivot at most
-    ask = routed.join(small, "cell").withColumn("q", share("asks")).withColumn("c", every("chunks"))
-    give = placed.join(small, "cell").withColumn("c", share("chunks")).withColumn("q", every("asks"))
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The k nearest of each query among one block of candidates."""
-        row, col, d2 = np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0)
-        if left.num_rows and right.num_rows:
-            ids = np.array(left.column("vid").to_pylist())
-            others = np.array(right.column("vid").to_pylist())
-            all_d2 = _squared(_matrix(left.column("x")), _matrix(right.column("x")))
-            all_d2[ids[:, None] == others[None, :]] = np.inf
-            nth = min(k, all_d2.shape[1])
-            kth = np.partition(all_d2, nth - 1, axis=1)[:, nth - 1]
-            row, col = np.nonzero((all_d2 <= kth[:, None]) & np.isfinite(all_d2))
-            order = np.lexsort((others[col], all_d2[row, col], row))
-            row, col = row[order], col[order]
-            first = np.searchsorted(row, row)  # where the row's candidates start
-            keep = np.arange(len(row)) - first < k
-            row, col = row[keep], col[keep]
-            d2 = all_d2[row, col]
-        near, far = left.take(pa.array(row)), right.take(pa.array(col))
-        return pa.table(
-            {
-                "vid": near.column("vid"),
-                "nn": far.column("vid"),
-                "nn_x": far.column("x"),
-                "nn_times": far.column("times"),
-                "d2": pa.array(d2, pa.float64()),
-            }
+        facts = self.bands.agg(
+            F.max(F.col("band") - F.col("run")), F.max(F.size("slots")), F.min(F.size("slots")),
+            F.count("*"), F.count_distinct("slots"),
+        ).first()
+        self.longest, self.shortest = facts[1] or 0, facts[2] or 0
+        self.single = facts[3] == facts[4]  # each pattern is one band
+        self.top = 0
+        while facts[0] is not None and size * FAN**self.top <= facts[0]:
+            self.top += 1
+        self.runs = self.bands.where("band = run").select("run", "slots")
+
+    def nodes(self, height: int) -> DataFrame:
+        if height == 0:
+            return self.bands.select("run", F.col("band").alias("node"), "lo", "hi")
+        width = self.size * FAN**height
+        node = (F.col("band") - (F.col("band") - F.col("run")) % width).alias("node")
+        return self.bands.groupBy("run", node).agg(*_box(self.dims, "lo", "hi"))
+
+    def descend(self, visits: DataFrame, asks: DataFrame, nearest_only: bool) -> DataFrame:
+        """From (band, run, cost) to the bands below the run that may hold a neighbour: (band, node, cost).
+
+        With ``nearest_only`` one band for each run: follow the nearest box.
+        """
+        boxes = asks.select("band", "ask_lo", "ask_hi", "reach")
+        at = visits.select("band", "run", "cost", F.col("run").alias("node")).join(boxes, "band")
+        for height in range(self.top, -1, -1):
+            if height < self.top:
+                width = self.size * FAN**height
+                below = F.sequence(F.col("node"), F.col("node") + (FAN - 1) * width, F.lit(width).cast("long"))
+                at = at.select("band", "run", "cost", "ask_lo", "ask_hi", "reach", F.explode(below).alias("node"))
+            at = at.join(self.nodes(height), ["run", "node"]).withColumn("far", F.col("cost") + _gap(self.dims))
+            if nearest_only:
+                near = F.min_by(F.struct("node", "cost", "ask_lo", "ask_hi", "reach"), F.struct("far", "node"))
+                at = at.groupBy("band", "run").agg(near.alias("n")).select("band", "run", "n.*")
+            else:
+                at = at.where(F.col("far") <= F.col("reach") * (1 + SLACK) + SLACK).drop("far")
+        return at.select("band", "node", "cost")
+
+
+def _subsets(patterns: DataFrame, level: int) -> DataFrame:
+    """(slots, part): each pattern without up to ``level`` of its slots."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for slots in batch.column(0).to_pylist():
+                parts = [
+                    ",".join(map(str, kept))
+                    for gone in range(min(level, len(slots)) + 1)
+                    for kept in combinations(slots, len(slots) - gone)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([slots] * len(parts), pa.list_(pa.int32())), pa.array(parts)], names=["slots", "part"]
+                )
+
+    return patterns.mapInArrow(work, "slots array<int>, part string")
+
+
+def _patterns_apart(asking: DataFrame, patterns: DataFrame, level: int) -> DataFrame:
+    """(slots, other, cost): patterns where the larger one has ``level`` slots that the other one lacks."""
+    other = _subsets(patterns, level).select(F.col("slots").alias("other"), "part")
+    both = _subsets(asking, level).join(other, "part")
+    shared = F.size(F.array_intersect("slots", "other"))
+    apart = F.greatest(F.size("slots"), F.size("other")) - shared
+    cost = (F.size("slots") + F.size("other") - 2 * shared).cast("double")
+    return both.where(apart == level).select("slots", "other", cost.alias("cost"))
+
+
+def _members(column: pa.Array, dims: int) -> tuple[np.ndarray, list[pa.Array], np.ndarray]:
+    """Offsets, the fields and the numbers (a matrix) of a column of lists of (vid, x, ..)."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    offsets = np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy())])
+    fields = column.flatten().flatten()
+    x = fields[1].flatten().to_numpy(zero_copy_only=False).reshape(len(fields[0]), dims)
+    return offsets, fields, x
+
+
+def _compare(k: int, dims: int):
+    """The ``k`` nearest of each asking row among the rows of one band."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ask_at, ask, ask_x = _members(batch.column("ask"), dims)
+            own_at, own, own_x = _members(batch.column("members"), dims)
+            reach = ask[2].to_numpy(zero_copy_only=False)
+            ask_id, own_id = np.array(ask[0].to_pylist()), np.array(own[0].to_pylist())
+            same = (pc.equal(batch.column("band"), batch.column("node"))).to_numpy(zero_copy_only=False)
+            cost = batch.column("cost").to_numpy()
+            rows, cols, far = [], [], []
+            for i in range(batch.num_rows):
+                a, b, c, d = ask_at[i], ask_at[i + 1], own_at[i], own_at[i + 1]
+                d2 = np.zeros((b - a, d - c))
+                for dim in range(dims):
+                    step = ask_x[a:b, dim][:, None] - own_x[c:d, dim][None, :]
+                    d2 += step * step
+                d2 += cost[i]
+                if same[i]:
+                    d2[ask_id[a:b][:, None] == own_id[c:d][None, :]] = np.nan
+                row, col = np.nonzero(d2 <= reach[a:b][:, None])
+                if not len(row):
+                    continue
+                value = d2[row, col]
+                order = np.lexsort((own_id[c:d][col], value, row))
+                row, col, value = row[order], col[order], value[order]
+                keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+                rows.append(row[keep] + a)
+                cols.append(col[keep] + c)
+                far.append(value[keep])
+            if rows:
+                at, to = pa.array(np.concatenate(rows)), pa.array(np.concatenate(cols))
+                yield pa.RecordBatch.from_arrays(
+                    [ask[0].take(at), pa.array(np.concatenate(far)), own[0].take(to), own[2].take(to)],
+                    names=["vid", "d2", "nn", "nn_times"],
+                )
+
+    return work
+
+
+def nearest(vectors: DataFrame, k: int, asks: Column | None = None, band: int = BAND) -> DataFrame:
+    """(vid, nn, nn_x, nn_slots, nn_times, d2, place): the ``k`` nearest other rows of each asking one.
+
+    ``vectors`` has (vid, x, times) and may have ``slots`` (sorted numbers of the slots that are set); its pairs
+    (x, slots) are distinct. ``asks`` says which rows are asked for, all by default. Equal distances are ordered by
+    ``nn``. Fewer than ``k`` rows come back where there are no more; an empty table gives an empty result.
+    """
+    if "slots" not in vectors.columns:
+        vectors = vectors.withColumn("slots", F.array().cast("array<int>"))
+    kind = dict(vectors.dtypes)["vid"]
+    marked = vectors.select("vid", "x", "slots", "times", (F.lit(True) if asks is None else asks).alias("asks"))
+    index = _Bands(marked, band)
+    asking = index.bands.select("band", "slots", F.explode("members").alias("m")).where("m.asks")
+    asking = asking.select("band", "slots", "m.vid", "m.x")
+    unit = 2.0 if index.longest == index.shortest else 1.0  # least cost of a further level
+    schema = f"vid {kind}, d2 double, nn {kind}, nn_times bigint"
+    best: DataFrame | None = None  # (vid, near)
+
+    def questions(level: int) -> DataFrame:
+        """The rows that may still find nearer ones at this level, by band."""
+        known = asking if best is None else asking.join(best, "vid", "left")
+        found = F.lit(None) if best is None else F.when(F.size("near") >= k, F.col("near")[k - 1]["d2"])
+        open_rows = known.withColumn("reach", F.coalesce(found, F.lit(float("inf"))))
+        open_rows = open_rows.where(F.col("reach") * (1 + SLACK) + SLACK >= unit * level)
+        lo, hi = _box(index.dims, "x", "x")
+        grouped = open_rows.groupBy("band", "slots").agg(
+            F.collect_list(F.struct("vid", "x", "reach")).alias("ask"),
+            lo.alias("ask_lo"), hi.alias("ask_hi"), F.max("reach").alias("reach"),
+        )
+        return stage(grouped, "neighbour-asks")
+
+    def take(pairs: DataFrame, asked: DataFrame) -> None:
+        nonlocal best
+        wide = pairs.join(asked.select("band", "ask"), "band").join(
+            index.bands.select(F.col("band").alias("node"), "members"), "node"
         )
-
-    # a stated number of tasks: few bytes, much work
-    keys, tasks = ("cell", "c", "q"), int(spark.conf.get("spark.sql.shuffle.partitions"))
-    near = (
-        ask.select(*keys, "vid", "x")
-        .repartition(tasks, *keys)
-        .groupBy(*keys)
-        .cogroup(give.select(*keys, "vid", "x", "times").repartition(tasks, *keys).groupBy(*keys))
-        .applyInArrow(compare, f"vid {id_type}, nn {id_type}, nn_x array<double>, nn_times bigint, d2 double")
-    )
-    order = W.partitionBy("vid").orderBy("d2", "nn")
-    return near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
-
-
+        found = wide.select("band", "node", "cost", "ask", "members").mapInArrow(_compare(k, index.dims), schema)
+        if best is not None:
+            found = found.unionByName(best.select("vid", F.explode("near").alias("n")).select("vid", "n.*"))
+        near = F.slice(F.array_sort(F.collect_set(F.struct("d2", "nn", "nn_times"))), 1, k)
+        best = stage(found.groupBy("vid").agg(near.alias("near")), "neighbour-best")
+
+    for level in range(index.longest + 1):
+        asked = questions(level)
+        if asked.isEmpty():
+            break
+        if level == 0:
+            take(asked.select("band", F.col("band").alias("node"), F.lit(0.0).alias("cost")), asked)
+            if index.single:
+                continue
+            asked = questions(0)
+            visits = asked.select("band", "slots").join(index.runs, "slots").withColumn("cost", F.lit(0.0))
+        else:
+            apart = _patterns_apart(asked.select("slots").distinct(), index.runs.select("slots").distinct(), level)
+            visits = asked.select("band", "slots").join(apart, "slots")
+            visits = visits.join(index.runs.withColumnRenamed("slots", "other"), "other").select("band", "run", "cost")
+            visits = stage(visits, "neighbour-visits")
+            endless = asked.where(F.col("reach") == float("inf")).select("band")
+            if not index.single and not endless.isEmpty():
+                take(index.descend(visits.join(endless, "band", "left_semi"), asked, True), asked)
+                asked = questions(level)
+        pairs = index.descend(visits, asked, False)
+        take(pairs.where("band <> node") if level == 0 else pairs, asked)
+
+    if best is None:
+        best = vectors.sparkSession.createDataFrame([], f"vid {kind}, near array<struct<d2:double,nn:{kind},nn_times:bigint>>")
+    rows = best.select("vid", F.posexplode("near").alias("place", "n"))
+    rows = rows.select("vid", "n.nn", "n.nn_times", "n.d2", (F.col("place") + 1).alias("place"))
+    far = vectors.select(F.col("vid").alias("nn"), F.col("x").alias("nn_x"), F.col("slots").alias("nn_slots"))
+    return rows.join(far, "nn").select("vid", "nn", "nn_x", "nn_slots", "nn_times", "d2", "place")
