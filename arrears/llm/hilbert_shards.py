@@ -58,8 +58,8 @@ def cell_starts(rows: DataFrame, dimension: str, cells: int) -> list[tuple[int,
 
 def cell_of(value: Column, starts: Sequence[tuple[int, object]]) -> Column:
     """The cell of a value; 0 for null."""
-    if not starts:
-        return F.lit(0)
+    if not starts:  # no constant: the optimiser would copy it into all steps along the curve
+        return F.when(value.isNull(), 0).otherwise(1)
     out = None
     for cell, least in sorted(starts, reverse=True):
         out = F.when(value >= F.lit(least), cell) if out is None else out.when(value >= F.lit(least), cell)

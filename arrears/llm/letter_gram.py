@@ -106,10 +106,15 @@ class Words:
         )
 
 
-def letter_counts(code: list[bytes], size: np.ndarray) -> np.ndarray:
-    flat = LETTERS[np.frombuffer(b"".join(code), np.uint8)]
-    if (flat < 0).any():
+def letters(code: bytes) -> np.ndarray:
+    found = LETTERS[np.frombuffer(code, np.uint8)]
+    if (found < 0).any():
         raise ValueError("words consist of lower-case letters a-z and U+00C0 to U+00FF")
+    return found
+
+
+def letter_counts(code: list[bytes], size: np.ndarray) -> np.ndarray:
+    flat = letters(b"".join(code))
     at = np.repeat(np.arange(len(code)), size) * N_LETTERS + flat
     return np.bincount(at, minlength=len(code) * N_LETTERS).reshape(-1, N_LETTERS).astype(np.int32)
 
@@ -224,7 +229,7 @@ def letter_groups(words: DataFrame) -> np.ndarray:
         total = np.zeros(N_LETTERS, np.int64)
         for batch in batches:
             flat = "".join(batch.column(0).to_pylist()).encode("latin-1")
-            total += np.bincount(LETTERS[np.frombuffer(flat, np.uint8)], minlength=N_LETTERS)
+            total += np.bincount(letters(flat), minlength=N_LETTERS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(N_LETTERS)), pa.array(total)], names=["letter", "n"])
 
     counted = map_text(words.select("word"), "letter long, n long", work, "word").groupBy("letter").agg(F.sum("n"))

@@ -14,4 +14,4 @@ def test_same_as_sql(spark, folder, duck, name):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in catalog.QUERIES) == list(range(1, 14))
