@@ -1,7 +1,8 @@
 """Classifiers, parameter searches and their result tables.
 
-Fits run as Spark jobs over the whole training frame; several points of a grid
-run side by side from driver threads. Rows never come to the driver.
+Fits run as Spark jobs over the whole training frame. Points of a grid share
+what they can: passes over the rows (logistic regression), trees (decision
+trees, forests, boosting) and prepared folds. Rows never come to the driver.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -24,11 +25,12 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.operators.tree import collapse, floored_leaves, read_nodes
+from arrears.operators import logistic_grid
+from arrears.operators.tree import collapse, floored_leaves, prefix_scores, read_nodes
+from arrears.sources.tables import stage
 
 SEED = 42
 DEEPEST = 30  # the deepest tree Spark grows
@@ -150,7 +152,9 @@ def _spread(values: Sequence[float]) -> float:
     return math.sqrt(sum((v - mean) ** 2 for v in values) / len(values))
 
 
-def _results(grid: Sequence[dict], scores: Sequence[Sequence[float]], times: Sequence[Sequence[float]]) -> list[dict]:
+def _results(
+    grid: Sequence[dict], scores: Sequence[Sequence[float]], times: Sequence[Sequence[float]], larger: bool = True
+) -> list[dict]:
     """Mean and spread per point; the best mean has rank 1, equal means share a rank."""
     means = [sum(s) / len(s) for s in scores]
     return [
@@ -160,77 +164,190 @@ def _results(grid: Sequence[dict], scores: Sequence[Sequence[float]], times: Seq
             "mean_score": means[i],
             "std_score": _spread(scores[i]),
             "std_fit_time": _spread(times[i]),
-            "rank": 1 + sum(m > means[i] for m in means),
+            "rank": 1 + sum((m > means[i]) if larger else (m < means[i]) for m in means),
         }
         for i in range(len(grid))
     ]
 
 
-class _Timed(Estimator):
-    """Notes how long each fit of the wrapped estimator took."""
+def evaluate_all(predictions: DataFrame, models: int, scorer: Evaluator) -> list[float]:
+    """The figure of each model from (model, label, score, prediction).
 
-    def __init__(self, inner: Estimator):
-        super().__init__()
-        self.inner = inner
-        self.taken: dict[frozenset, list[float]] = {}
+    Figures that follow from counts take one job for all models; others take one for each.
+    """
+    if isinstance(scorer, MulticlassClassificationEvaluator) and scorer.getMetricName() in COUNTED:
+        counts = predictions.groupBy("model", "label", "prediction").agg(F.count(F.lit(1)).alias("n")).collect()
+        cells: list[dict] = [{} for _ in range(models)]
+        for r in counts:
+            cells[r["model"]][r["label"], r["prediction"]] = r["n"]
+        return [COUNTED[scorer.getMetricName()](c) for c in cells]
+    shown = predictions.withColumn(scorer.getRawPredictionCol(), F.col("score")) if hasattr(scorer, "getRawPredictionCol") else predictions
+    return [scorer.evaluate(shown.filter(F.col("model") == k)) for k in range(models)]
 
-    @staticmethod
-    def point(params) -> frozenset:
-        return frozenset((p.name, v) for p, v in params.items())
 
-    def fit(self, dataset, params=None):
-        start = time.perf_counter()
-        model = self.inner.fit(dataset, params)
-        self.taken.setdefault(self.point(params or {}), []).append(time.perf_counter() - start)
-        return model
+def _f1(cells: Mapping[tuple, int], of: float = 1.0) -> float:
+    right = cells.get((of, of), 0)
+    said = sum(n for (_, p), n in cells.items() if p == of)
+    real = sum(n for (y, _), n in cells.items() if y == of)
+    return 2.0 * right / (said + real) if said + real else 0.0
+
+
+def _weighted_f1(cells: Mapping[tuple, int]) -> float:
+    total = sum(cells.values())
+    real = {c: sum(n for (y, _), n in cells.items() if y == c) for c in {y for y, _ in cells}}
+    return sum(_f1(cells, c) * n for c, n in real.items()) / total if total else 0.0
+
+
+def _accuracy(cells: Mapping[tuple, int]) -> float:
+    total = sum(cells.values())
+    return sum(n for (y, p), n in cells.items() if y == p) / total if total else 0.0
+
+
+#: Metrics of MulticlassClassificationEvaluator that the counts of (label, prediction) give.
+COUNTED = {"fMeasureByLabel": _f1, "f1": _weighted_f1, "accuracy": _accuracy}
+
+
+class Logistic:
+    """All points of a grid of logistic regressions, fitted side by side."""
+
+    name = "logistic_regression"
+
+    def __init__(self, grid: Mapping[str, Sequence] = LOGISTIC_GRID):
+        self.points = points(grid)
+
+    def estimator(self, point: dict, rows: int) -> Estimator:
+        return logistic(rows, **point)
+
+    def scores(self, fit_part: DataFrame, held: DataFrame, scorer: Evaluator) -> tuple[list[float], list[float]]:
+        """The figure of each point on ``held``, and the seconds its fit took."""
+        both = fit_part.withColumn("__fold", F.lit(0)).unionByName(held.withColumn("__fold", F.lit(1)))
+        found, times = logistic_scores(both, self.points, [1], scorer, "__fold")
+        return [f[0] for f in found], [t[0] for t in times]
+
+
+def logistic_scores(
+    df: DataFrame, grid: Sequence[dict], folds: Sequence[int], scorer: Evaluator, fold_column: str
+) -> tuple[list[list[float]], list[list[float]]]:
+    """Figures and seconds of each point, fold by fold; every model is fitted without its fold, all in the same passes."""
+    data, features, sizes = logistic_grid.packed(df, fold_column)
+    try:
+        total = sum(sizes.values())
+        problems, rows = [], []
+        for p in grid:
+            for f in folds:
+                rows.append(max(1, total - sizes.get(f, 0)))
+                one = logistic(rows[-1], **p)
+                problems.append(
+                    logistic_grid.Problem(f, one.getRegParam(), one.getElasticNetParam(), one.getMaxIter(), one.getTol())
+                )
+        fitted = logistic_grid.fit_all(data, problems, rows, features)
+        held = logistic_grid.held_out(data, problems, fitted).persist(StorageLevel.MEMORY_AND_DISK)
+        found = evaluate_all(held, len(problems), scorer)
+        held.unpersist()
+    finally:
+        data.unpersist()
+    k = len(folds)
+    cut = lambda values: [values[i * k : (i + 1) * k] for i in range(len(grid))]
+    return cut(found), cut(fitted.seconds)
+
+
+class _Ensemble:
+    """Points that differ in the number of trees share a fit: the first trees of a model are a model of their own."""
+
+    size = "n_estimators"
+
+    def __init__(self, grid: Mapping[str, Sequence]):
+        self.points = points(grid)
+
+    def estimator(self, point: dict, rows: int) -> Estimator:
+        return self.make(**point)
+
+    def scores(self, fit_part: DataFrame, held: DataFrame, scorer: Evaluator, parallelism: int = 4):
+        rest = lambda p: tuple((k, v) for k, v in p.items() if k != self.size)
+        jobs = list(dict.fromkeys(map(rest, self.points)))
+
+        def one(job: tuple) -> dict[int, tuple[float, float]]:
+            mine = [i for i, p in enumerate(self.points) if rest(p) == job]
+            sizes = [self.points[i][self.size] for i in mine]
+            start = time.perf_counter()
+            model = self.make(**{self.size: max(sizes)}, **dict(job)).fit(fit_part)
+            taken = time.perf_counter() - start
+            found = evaluate_all(prefix_scores(model, held, sizes), len(sizes), scorer)
+            return {i: (f, taken) for i, f in zip(mine, found)}
+
+        fit_part.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            with ThreadPoolExecutor(parallelism) as pool:
+                done = list(pool.map(inheritable_thread_target(fit_part.sparkSession)(one), jobs))
+        finally:
+            fit_part.unpersist()
+        by_point = {i: v for part in done for i, v in part.items()}
+        return [by_point[i][0] for i in range(len(self.points))], [by_point[i][1] for i in range(len(self.points))]
+
+
+class Forest(_Ensemble):
+    name = "random_forest"
+    make = staticmethod(random_forest)
+
+    def __init__(self, grid: Mapping[str, Sequence] = FOREST_GRID):
+        super().__init__(grid)
+
 
-    def _fit(self, dataset):
-        return self.inner.fit(dataset)
+class Boosting(_Ensemble):
+    name = "gradient_boosting"
+    make = staticmethod(gradient_boosting)
 
+    def __init__(self, grid: Mapping[str, Sequence] = BOOSTING_GRID):
+        super().__init__(grid)
 
-def cross_validate(
+
+def search_families(
     train: DataFrame,
-    estimator: Estimator,
-    grid: Sequence[dict],
-    spark_params: Callable[[dict], dict],
-    scorer: Evaluator,
+    families: Sequence,
     folds: int,
+    scorer: Evaluator | None = None,
+    preparation: Pipeline | None = None,
+    balance: Callable[[DataFrame], DataFrame] | None = None,
     fold_column: str = "fold",
-    parallelism: int = 4,
-    refit: Callable[[dict], Estimator] | None = None,
-) -> Search:
-    """Score every point on every fold, then refit the best on all of ``train``.
+) -> dict[str, Search]:
+    """Grid searches of several kinds of models on the same folds; ``{name: Search}``.
 
-    ``spark_params`` maps a point to Spark parameters of ``estimator``.
+    Fold by fold: ``preparation`` is fitted once on the other folds, ``balance`` makes their classes even (the rows of
+    the fold itself stay as they are), both parts are written once, and all points of all families are fitted on them.
+    Each family's best point is then fitted on all of ``train``; with a preparation, its model is the pipeline of both.
     """
-    timed = _Timed(estimator)
-    validator = CrossValidator(
-        estimator=timed,
-        estimatorParamMaps=[spark_params(p) for p in grid],
-        evaluator=scorer,
-        numFolds=folds,
-        foldCol=fold_column,
-        parallelism=parallelism,
-    )
-    fitted = validator.fit(train)
-    larger = scorer.isLargerBetter()
-    order = (lambda v: v) if larger else (lambda v: -v)
-    means = [float(m) for m in fitted.avgMetrics]
-    spreads = [float(m) for m in fitted.stdMetrics]
-    table = [
-        {
-            "point": i,
-            "params": p,
-            "mean_score": means[i],
-            "std_score": spreads[i],
-            "std_fit_time": _spread(timed.taken.get(_Timed.point(spark_params(p)), [])[:folds]),
-            "rank": 1 + sum(order(m) > order(means[i]) for m in means),
-        }
-        for i, p in enumerate(grid)
-    ]
-    best = max(range(len(grid)), key=lambda i: (order(means[i]), -i))
-    model = refit(grid[best]).fit(train) if refit else fitted.bestModel
-    return Search(grid[best], means[best], model, table)
+    scorer = scorer or auc_scorer()
+    scores = {f.name: [[] for _ in f.points] for f in families}
+    times = {f.name: [[] for _ in f.points] for f in families}
+
+    def prepared(fit_part: DataFrame, held: DataFrame | None):
+        fitted = preparation.fit(fit_part) if preparation else None
+        wide = fitted.transform(fit_part) if fitted else fit_part
+        wide = (balance(wide) if balance else wide).select("label", "features")
+        shown = None if held is None else (fitted.transform(held) if fitted else held).select("label", "features")
+        return fitted, wide, shown
+
+    for fold in range(folds):
+        _, fit_part, held = prepared(train.filter(F.col(fold_column) != fold), train.filter(F.col(fold_column) == fold))
+        fit_part, held = stage(fit_part, "fold-fit"), stage(held, "fold-held")
+        for family in families:
+            found, taken = family.scores(fit_part, held, scorer)
+            for i, (s, t) in enumerate(zip(found, taken)):
+                scores[family.name][i].append(s)
+                times[family.name][i].append(t)
+    fitted, whole, _ = prepared(train.drop(fold_column), None)
+    whole = whole.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = whole.count()
+    out = {}
+    for family in families:
+        table = _results(family.points, scores[family.name], times[family.name], scorer.isLargerBetter())
+        best = min(table, key=lambda r: (r["rank"], r["point"]))
+        model = family.estimator(best["params"], rows).fit(whole)
+        if fitted:
+            model = PipelineModel(stages=[*fitted.stages, model])
+        out[family.name] = Search(best["params"], best["mean_score"], model, table)
+    whole.unpersist()
+    return out
 
 
 def search_logistic(
@@ -238,29 +355,22 @@ def search_logistic(
     grid: Mapping[str, Sequence] = LOGISTIC_GRID,
     folds: int = 5,
     scorer: Evaluator | None = None,
-    parallelism: int = 4,
     preparation: Pipeline | None = None,
     fold_column: str = "fold",
 ) -> Search:
-    """Grid search of logistic regression; a ``preparation`` is refitted in every fold."""
-    rows = train.count()
-    in_fold = max(1, rows - rows // folds)
-    base = logistic(in_fold)
-    stages = preparation.getStages() if preparation else []
-
-    def spark_params(p: dict) -> dict:
-        one = logistic(in_fold, **p)
-        names = ("regParam", "elasticNetParam", "maxIter", "tol")
-        return {base.getParam(n): one.getOrDefault(one.getParam(n)) for n in names}
-
-    def refit(p: dict) -> Estimator:
-        one = logistic(rows, **p)
-        return Pipeline(stages=[*stages, one]) if stages else one
-
-    estimator = Pipeline(stages=[*stages, base]) if stages else base
-    return cross_validate(
-        train, estimator, points(grid), spark_params, scorer or f1_scorer(), folds, fold_column, parallelism, refit
-    )
+    """Grid search of logistic regression, all points and folds in the same passes.
+
+    A ``preparation`` is fitted once in every fold, and the points of a fold share their passes.
+    """
+    scorer = scorer or f1_scorer()
+    if preparation:
+        family = Logistic(grid)
+        return search_families(train, [family], folds, scorer, preparation, fold_column=fold_column)[family.name]
+    found, times = logistic_scores(train, points(grid), range(folds), scorer, fold_column)
+    table = _results(points(grid), found, times, scorer.isLargerBetter())
+    best = min(table, key=lambda r: (r["rank"], r["point"]))
+    model = logistic(train.count(), **best["params"]).fit(train)
+    return Search(best["params"], best["mean_score"], model, table)
 
 
 def search_forest(
@@ -268,13 +378,10 @@ def search_forest(
     grid: Mapping[str, Sequence] = FOREST_GRID,
     folds: int = 3,
     scorer: Evaluator | None = None,
-    parallelism: int = 4,
     preparation: Pipeline | None = None,
     fold_column: str = "fold",
 ) -> Search:
-    base = random_forest()
-    names = {"n_estimators": "numTrees", "max_depth": "maxDepth"}
-    return _search_named(train, base, names, grid, folds, scorer, parallelism, preparation, fold_column)
+    return search_families(train, [Forest(grid)], folds, scorer, preparation, fold_column=fold_column)[Forest.name]
 
 
 def search_boosting(
@@ -282,24 +389,10 @@ def search_boosting(
     grid: Mapping[str, Sequence] = BOOSTING_GRID,
     folds: int = 3,
     scorer: Evaluator | None = None,
-    parallelism: int = 4,
     preparation: Pipeline | None = None,
     fold_column: str = "fold",
 ) -> Search:
-    base = gradient_boosting()
-    names = {"n_estimators": "maxIter", "learning_rate": "stepSize", "max_depth": "maxDepth"}
-    return _search_named(train, base, names, grid, folds, scorer, parallelism, preparation, fold_column)
-
-
-def _search_named(train, base, names, grid, folds, scorer, parallelism, preparation, fold_column) -> Search:
-    estimator = Pipeline(stages=[*preparation.getStages(), base]) if preparation else base
-
-    def spark_params(p: dict) -> dict:
-        return {base.getParam(names[k]): v for k, v in p.items()}
-
-    return cross_validate(
-        train, estimator, points(grid), spark_params, scorer or auc_scorer(), folds, fold_column, parallelism
-    )
+    return search_families(train, [Boosting(grid)], folds, scorer, preparation, fold_column=fold_column)[Boosting.name]
 
 
 def tree_points(grid: Mapping[str, Sequence]) -> list[dict]:
@@ -388,31 +481,15 @@ def random_search_logistic(
     high: float = 10.0,
     validation_share: float = 0.2,
     seed: int = SEED,
-    parallelism: int = 4,
 ) -> Search:
     """Log-uniform draws of C scored by accuracy on a validation part of ``train``."""
     from arrears.operators.sampling import split_random
 
-    grid = random_points(trials, low, high, seed)
+    grid = [p | {"max_iter": 1000} for p in random_points(trials, low, high, seed)]
     parts = split_random(train, key, validation_share, seed=f"{seed}:validation", out="__held")
-    fit_part = parts.filter(~F.col("__held")).persist(StorageLevel.MEMORY_AND_DISK)
-    held = parts.filter("__held").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = fit_part.count()
-        scorer = accuracy_scorer()
-
-        def one(p: dict) -> tuple[float, float]:
-            start = time.perf_counter()
-            model = logistic(rows, p["C"], max_iter=1000).fit(fit_part)
-            taken = time.perf_counter() - start
-            return scorer.evaluate(model.transform(held)), taken
-
-        with ThreadPoolExecutor(parallelism) as pool:
-            done = list(pool.map(inheritable_thread_target(train.sparkSession)(one), grid))
-    finally:
-        fit_part.unpersist()
-        held.unpersist()
-    table = _results(grid, [[s] for s, _ in done], [[t] for _, t in done])
+    parts = parts.withColumn("__held", F.col("__held").cast("int"))
+    scores, times = logistic_scores(parts, grid, [1], accuracy_scorer(), "__held")
+    table = _results([{"C": p["C"]} for p in grid], scores, times)
     best = max(table, key=lambda r: (r["mean_score"], -r["point"]))
     model = logistic(train.count(), best["params"]["C"], max_iter=1000).fit(train)
     return Search(best["params"], best["mean_score"], model, table)

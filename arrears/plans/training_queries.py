@@ -119,8 +119,7 @@ def rf_scores(spark, folder):
 
 
 def gbt_scores(spark, folder):
-    """20 rounds; the default of the function is 100."""
-    return _fit_and_score(spark, folder, train.gradient_boosting(20, 0.1, 3))
+    return _fit_and_score(spark, folder, train.gradient_boosting(100, 0.1, 3))
 
 
 @query("train_lr", TEST_SQL)
@@ -200,14 +199,18 @@ def random_search_lr(spark, folder):
     return ranked(train.random_search_logistic(df, [KEY], trials=20), spark)
 
 
-FOREST_POINTS = {"n_estimators": [10, 20], "max_depth": [5]}
+@query("grid_results", _grid_sql(train.points(train.FOREST_GRID)))
+def grid_results(spark, folder):
+    """Result table of a forest search: trees and depths, three folds, ROC AUC, from one forest per depth and fold."""
+    df, _, _ = _folded(spark, folder, 3)
+    return ranked(train.search_forest(df, train.FOREST_GRID, 3), spark)
 
 
-@query("grid_results", _grid_sql(train.points(FOREST_POINTS)))
-def grid_results(spark, folder):
-    """Result table of a forest search. Two small forests: the default grid takes many times as long."""
+@query("grid_boosting", _grid_sql(train.points(train.BOOSTING_GRID)))
+def grid_boosting(spark, folder):
+    """Rounds, learning rates and depths, three folds, ROC AUC; models that differ in rounds only share a fit."""
     df, _, _ = _folded(spark, folder, 3)
-    return ranked(train.search_forest(df, FOREST_POINTS, 3), spark)
+    return ranked(train.search_boosting(df, train.BOOSTING_GRID, 3), spark)
 
 
 def champion_scores(spark, folder):

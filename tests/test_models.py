@@ -6,10 +6,10 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
-from arrears.operators import evaluate, neighbours, prepare, runs, smote, train, tree
+from arrears.operators import evaluate, logistic_grid, neighbours, prepare, runs, smote, train, tree
 from arrears.operators.sampling import stratified_folds
 
 
@@ -174,34 +174,156 @@ def test_preparation_edges(spark):
         prepare.feature_preparation([], ["t"], encoding="other")
 
 
+# --- searches that share work ------------------------------------------------
+
+
+@pytest.mark.parametrize("kind", ["forest", "boosting"])
+def test_first_trees_are_a_model_of_their_own(spark, kind):
+    """Scores of prefixes against the trees of the model, each asked by itself."""
+    df = separable(spark, 300).select("label", "features")
+    make = train.random_forest if kind == "forest" else train.gradient_boosting
+    model = make(n_estimators=6, max_depth=3).fit(df)
+    got = {}
+    for r in tree.prefix_scores(model, df.select("label", "features"), [2, 6]).collect():
+        got.setdefault(r.model, []).append((r.label, round(r.score, 9), r.prediction))
+    rows = df.collect()
+    for k, n in ((0, 2), (1, 6)):
+        want = []
+        for r in rows:
+            if kind == "forest":
+                p = sum(t.predictProbability(r.features)[1] for t in model.trees[:n]) / n
+            else:
+                p = 1 / (1 + np.exp(-2 * sum(w * t.predict(r.features) for w, t in zip(model.treeWeights[:n], model.trees[:n]))))
+            want.append((r.label, round(float(p), 9), float(p > 0.5)))
+        assert sorted(got[k]) == sorted(want)
+    whole = sorted((r.label, r.prediction) for r in model.transform(df).collect())
+    assert sorted((y, p) for y, _, p in got[1]) == whole
+    with pytest.raises(ValueError):
+        tree.prefix_scores(model, df, [7])
+
+
+def test_logistic_models_side_by_side_equal_single_fits(spark):
+    """Sparse and dense vectors, L1 and L2, with and without a fold left out."""
+    draw = np.random.default_rng(4)
+    rows = []
+    for i in range(400):
+        x = np.round(draw.normal(size=4), 3) * [1, 1, 1, draw.random() < 0.5]
+        y = float(x @ [2, -1, 0, 0.5] + draw.normal() > 0.3)
+        rows.append((i % 3, y, Vectors.sparse(4, [(k, v) for k, v in enumerate(x) if v]) if i % 2 else Vectors.dense(x)))
+    df = spark.createDataFrame(rows, ["fold", "label", "features"]).repartition(3)
+    problems = [
+        logistic_grid.Problem(f, reg, l1, 500, 1e-8) for f in (None, 0, 2) for reg, l1 in ((0.01, 0.0), (0.02, 1.0), (0.1, 0.5))
+    ]
+    data, features, sizes = logistic_grid.packed(df, "fold")
+    assert (features, sum(sizes.values())) == (4, 400)
+    many = [400 - sizes.get(p.fold, 0) for p in problems]
+    fitted = logistic_grid.fit_all(data, problems, many, features)
+    for k, p in enumerate(problems):
+        part = df if p.fold is None else df.filter(F.col("fold") != p.fold)
+        one = train.logistic(1, tol=1e-12, max_iter=500).copy()
+        one = one.setRegParam(p.reg).setElasticNetParam(p.l1_share).fit(part)
+        assert fitted.coefficients[k] == pytest.approx(one.coefficients.toArray(), abs=1e-4)
+        assert fitted.intercepts[k] == pytest.approx(one.intercept, abs=1e-4)
+    held = logistic_grid.held_out(data, problems, fitted)
+    assert dict(held.groupBy("model").count().collect()) == {k: sizes[p.fold] for k, p in enumerate(problems) if p.fold is not None}
+    for scorer in (train.f1_scorer(), train.weighted_f1_scorer(), train.accuracy_scorer()):
+        mine = held.filter("model = 4")
+        assert train.evaluate_all(mine.withColumn("model", F.lit(0)), 1, scorer) == [pytest.approx(scorer.evaluate(mine))]
+    with pytest.raises(Exception, match="labels must be 0 or 1"):
+        logistic_grid.packed(df.withColumn("label", F.lit(2.0)), "fold")
+
+
+def test_families_share_the_preparation_of_a_fold(spark):
+    """Three kinds of models, one fit of the preparation a fold and one for the end; balancing leaves the fold alone."""
+    draw = random.Random(6)
+    rows = [(i, draw.random(), draw.choice("abc")) for i in range(300)]
+    rows = [(i, float(x + (c == "a") > 0.9), x, c) for i, x, c in rows]
+    df = spark.createDataFrame(rows, "id bigint, label double, x double, c string")
+    folded = stratified_folds(df, "label", ["id"], 2)
+    fits, evened = [], []
+
+    class Counted(Pipeline):
+        def _fit(self, dataset):
+            fits.append(1)
+            return super()._fit(dataset)
+
+    def even(part):
+        evened.append(part.count())
+        return part
+
+    steps = Counted(stages=prepare.feature_preparation(["x"], ["c"], impute=True).getStages())
+    families = [
+        train.Logistic({"C": [0.1, 10]}),
+        train.Forest({"n_estimators": [3, 6], "max_depth": [2]}),
+        train.Boosting({"n_estimators": [2, 4], "learning_rate": [0.1], "max_depth": [2]}),
+    ]
+    found = train.search_families(folded, families, 2, preparation=steps, balance=even)
+    assert len(fits) == 3 and evened[2] == 300 and sum(evened[:2]) == 300
+    for family in families:
+        search = found[family.name]
+        assert [r["params"] for r in search.table] == family.points and search.best_params in family.points
+        assert 0.7 < search.best_score <= 1.0
+        assert search.model.transform(df).filter("prediction = label").count() > 230
+    sizes = {p["n_estimators"]: p["mean_score"] for p in [r["params"] | r for r in found["gradient_boosting"].table]}
+    assert set(sizes) == {2, 4}
+
+
 # --- neighbours and synthetic rows ------------------------------------------
 
 
 def brute(points, k):
+    """Squared distance of the numbers, and one for each slot that only one of both has."""
     out = {}
-    for i, x in points.items():
-        near = sorted((sum((a - b) ** 2 for a, b in zip(x, y)), j) for j, y in points.items() if j != i)
+    for i, (x, own) in points.items():
+        near = sorted(
+            (sum((a - b) ** 2 for a, b in zip(x, y)) + len(own ^ other), j) for j, (y, other) in points.items() if j != i
+        )
         out[i] = [(j, d) for d, j in near[:k]]
     return out
 
 
-@pytest.mark.parametrize("dims, pivots, block", [(1, 3, 10), (2, 10, 7), (2, 1, 1000), (4, 25, 5), (8, 12, 50)])
-def test_neighbours_match_brute_force(spark, dims, pivots, block):
-    draw = random.Random(dims * 100 + pivots)
-    points = {i: tuple(float(draw.randint(0, 30)) for _ in range(dims)) for i in range(150)}
-    points = {i: x for i, x in points.items() if x not in [points[j] for j in points if j < i]}
-    vectors = spark.createDataFrame([(i, list(x), 1) for i, x in points.items()], "vid bigint, x array<double>, times bigint")
+@pytest.mark.parametrize(
+    "dims, categories, band, gaps",
+    [(1, (4, 3), 8, False), (2, (), 7, False), (3, (3, 5, 2), 256, True), (0, (5, 5, 4), 4, False)],
+)
+def test_neighbours_match_brute_force(spark, dims, categories, band, gaps):
+    """Few numbers and categories, some of them unset: patterns with one row, and with many bands."""
+    draw = random.Random(dims * 100 + band)
+    points = {}
+    for _ in range(150):
+        x = tuple(float(draw.randint(0, 30)) for _ in range(dims))
+        starts = [dims + sum(categories[:i]) for i in range(len(categories))]
+        own = [s + max(0, draw.randrange(-2, c)) for s, c in zip(starts, categories) if not gaps or draw.random() > 0.2]
+        points[x, tuple(own)] = None
+    points = {i: (x, set(own)) for i, (x, own) in enumerate(points)}
+    rows = [(i, list(x), sorted(own), 1) for i, (x, own) in points.items()]
+    vectors = spark.createDataFrame(rows, "vid bigint, x array<double>, slots array<int>, times bigint")
     got = {}
-    for r in neighbours.nearest(vectors, vectors, 4, block=block, pivots=pivots).orderBy("vid", "place").collect():
+    for r in neighbours.nearest(vectors, 4, F.col("vid") % 2 == 0, band=band).orderBy("vid", "place").collect():
         got.setdefault(r["vid"], []).append((r["nn"], r["d2"]))
-    assert got == brute(points, 4)
+        assert (tuple(r["nn_x"]), set(r["nn_slots"])) == points[r["nn"]]
+    assert got == {i: near for i, near in brute(points, 4).items() if i % 2 == 0}
+
+
+def test_neighbours_look_at_a_bounded_number_of_rows(spark):
+    """Ten times the rows, hardly more candidates a question: what is compared follows the bands, not the table."""
+    compared = []
+    for n in (400, 4000):
+        rows = [(i, [((i * 7919) % n) * 1.0], [1 + i % 2], 1) for i in range(n)]
+        vectors = spark.createDataFrame(rows, "vid bigint, x array<double>, slots array<int>, times bigint")
+        index = neighbours._Bands(vectors.withColumn("asks", F.lit(True)), 16)
+        asks = index.bands.select("band", F.col("lo").alias("ask_lo"), F.col("hi").alias("ask_hi"), F.lit(64.0).alias("reach"), "slots")
+        visits = asks.select("band", "slots").join(index.runs, "slots").withColumn("cost", F.lit(0.0))
+        assert index.top >= 1
+        compared.append(index.descend(visits, asks, False).count() * 16 / (n / 16))
+    assert compared[1] <= 1.5 * compared[0]
 
 
 def test_neighbours_with_text_keys_and_few_vectors(spark):
     vectors = spark.createDataFrame(
         [("a", [0.0], 1), ("b", [1.0], 1), ("c", [3.0], 1)], "vid string, x array<double>, times bigint"
     )
-    got = neighbours.nearest(vectors, vectors, 5).orderBy("vid", "place").collect()
+    got = neighbours.nearest(vectors, 5).orderBy("vid", "place").collect()
     assert [(r["vid"], r["nn"]) for r in got] == [("a", "b"), ("a", "c"), ("b", "a"), ("b", "c"), ("c", "b"), ("c", "a")]
 
 
@@ -221,6 +343,24 @@ def test_smote_evens_the_classes(spark):
         assert (x, y) == (1.0, 2.0) or 0.0 <= x <= 7.0 and 2.0 <= y <= 9.0
 
 
+def test_smote_of_encoded_rows_is_sparse_and_lies_between_rows(spark):
+    draw = random.Random(3)
+    rows = [(i, float(i % 4 == 0), draw.random() * 9, draw.choice("abc"), draw.choice("xy")) for i in range(200)]
+    df = spark.createDataFrame(rows, "id bigint, label double, n double, p string, q string")
+    wide = prepare.fit_preparation(df, ["n"], ["p", "q"]).transform(df).select("id", "label", "features")
+    out = smote.smote(wide, "id").collect()
+    kept = {r["id"]: r for r in out if r["id"] is not None}
+    assert kept == {r["id"]: r for r in wide.withColumn("draw", F.lit(None).cast("bigint")).collect()}
+    few = [r["features"].toArray() for r in kept.values() if r["label"] == 1.0]
+    new = [r["features"] for r in out if r["id"] is None]
+    assert len(new) == 100 and all(type(v).__name__ == "SparseVector" for v in new)
+    for v in new:
+        x = v.toArray()
+        assert x[1:4].sum() == pytest.approx(1.0) and x[4:].sum() == pytest.approx(1.0)  # shares of two categories
+        pairs = (abs(((x - a) * (b - a)).sum() - ((x - a) ** 2).sum() ** 0.5 * ((b - a) ** 2).sum() ** 0.5) for a in few for b in few)
+        assert min(pairs) < 1e-9  # on a line between two rows
+
+
 @pytest.mark.parametrize(
     "sizes",
     [{1.0: 50, 0.0: 52}, {1.0: 5, 0.0: 50}, {1.0: 20}, {0.0: 9, 1.0: 20, 2.0: 40}],
