@@ -28,7 +28,7 @@ def ingest(spark, args) -> None:
 def train(spark, args) -> None:
     outcome = workflow.run(
         spark.read.parquet(args.table), args.key, args.target, exclude=args.exclude, balancing=args.balancing,
-        folds=args.folds, output=args.output,
+        folds=args.folds, output=args.output, impute=args.impute, encoding=args.encoding,
     )
     print(f"champion {outcome.champion} {outcome.params}; fold scores {outcome.fold_scores}; run {outcome.run_id}")
     print(f"rows left out {outcome.left_out}; columns not used {outcome.unused}")
@@ -36,7 +36,7 @@ def train(spark, args) -> None:
 
 def score(spark, args) -> None:
     """New rows through the saved preparation and champion."""
-    fitted = PipelineModel(stages=[PipelineModel.load(f"{args.model}/preparation"), workflow.load_champion(args.model)])
+    fitted = PipelineModel(stages=[PipelineModel.load(f"{args.model}/preparation"), workflow.load_champion(spark, args.model)])
     scored = positive_probability(fitted.transform(spark.read.parquet(args.table)))
     scored.select(args.key, "prediction", F.col("score")).write.mode("overwrite").parquet(args.output)
 
@@ -58,6 +58,8 @@ def parser() -> argparse.ArgumentParser:
     two.add_argument("--exclude", nargs="*", default=[])
     two.add_argument("--balancing", choices=workflow.BALANCING, default="smote")
     two.add_argument("--folds", type=int, default=5)
+    two.add_argument("--impute", action="store_true", help="fill missing values instead of leaving rows out")
+    two.add_argument("--encoding", choices=("one_hot", "ordinal", "categorise"), default="one_hot")
     two.set_defaults(work=train)
     three = commands.add_parser("score")
     three.add_argument("model", help="the output folder of train")

@@ -215,8 +215,8 @@ class Logistic:
     def __init__(self, grid: Mapping[str, Sequence] = LOGISTIC_GRID):
         self.points = points(grid)
 
-    def estimator(self, point: dict, rows: int) -> Estimator:
-        return logistic(rows, **point)
+    def fit(self, df: DataFrame, point: dict) -> Model:
+        return logistic(df.count(), **point).fit(df)
 
     def scores(self, fit_part: DataFrame, held: DataFrame, scorer: Evaluator) -> tuple[list[float], list[float]]:
         """The figure of each point on ``held``, and the seconds its fit took."""
@@ -259,8 +259,8 @@ class _Ensemble:
     def __init__(self, grid: Mapping[str, Sequence]):
         self.points = points(grid)
 
-    def estimator(self, point: dict, rows: int) -> Estimator:
-        return self.make(**point)
+    def fit(self, df: DataFrame, point: dict) -> Model:
+        return self.make(**point).fit(df)
 
     def scores(self, fit_part: DataFrame, held: DataFrame, scorer: Evaluator, parallelism: int = 4):
         rest = lambda p: tuple((k, v) for k, v in p.items() if k != self.size)
@@ -337,12 +337,11 @@ def search_families(
                 times[family.name][i].append(t)
     fitted, whole, _ = prepared(train.drop(fold_column), None)
     whole = whole.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = whole.count()
     out = {}
     for family in families:
         table = _results(family.points, scores[family.name], times[family.name], scorer.isLargerBetter())
         best = min(table, key=lambda r: (r["rank"], r["point"]))
-        model = family.estimator(best["params"], rows).fit(whole)
+        model = family.fit(whole, best["params"])
         if fitted:
             model = PipelineModel(stages=[*fitted.stages, model])
         out[family.name] = Search(best["params"], best["mean_score"], model, table)
@@ -401,71 +400,90 @@ def tree_points(grid: Mapping[str, Sequence]) -> list[dict]:
     return [p for i, p in enumerate(named) if p not in named[:i]]
 
 
-def search_tree(
-    train: DataFrame,
-    grid: Mapping[str, Sequence] = TREE_GRID,
-    folds: int = 5,
-    parallelism: int = 4,
-    fold_column: str = "fold",
-    seed: int = SEED,
-) -> Search:
-    """Grid search of a decision tree by F1 of class 1.
+class Tree:
+    """All points of a grid of decision trees, from one tree for each leaf size.
 
     A shallower tree is the top of a deeper one, and a minimum split size only
-    cuts subtrees off. So one deep tree per fold and leaf size answers for every
-    depth and split size: validation rows are counted once by leaf and label,
+    cuts subtrees off. So one deep tree for each leaf size answers for every
+    depth and split size: held-out rows are counted once by leaf and label,
     and each point re-labels those leaves.
     """
-    grid_points = tree_points(grid)
-    depths = sorted({p["max_depth"] for p in grid_points})
-    leaf_sizes = sorted({p["min_samples_leaf"] for p in grid_points})
 
-    def one(job: tuple[int, int]) -> tuple[tuple[int, int], dict, float]:
-        fold, leaf_size = job
+    name = "decision_tree"
+
+    def __init__(self, grid: Mapping[str, Sequence] = TREE_GRID, seed: int = SEED):
+        self.points, self.seed = tree_points(grid), seed
+        self.deepest = max(p["max_depth"] for p in self.points)
+        self.leaf_sizes = sorted({p["min_samples_leaf"] for p in self.points})
+
+    def fit(self, df: DataFrame, point: dict) -> Model:
+        model = decision_tree(point["max_depth"], point["min_samples_leaf"], self.seed, leafCol="leaf").fit(df)
+        return collapse(model, point["min_samples_split"])
+
+    def of_leaf_size(self, size: int, fit_part: DataFrame, held: DataFrame, scorer: Evaluator) -> tuple[dict[int, float], float]:
+        """The figures of the points with that leaf size, by place in the grid, and the seconds of the fit."""
+        if not (isinstance(scorer, MulticlassClassificationEvaluator) and scorer.getMetricName() in COUNTED):
+            raise ValueError(f"trees are compared by one of {sorted(COUNTED)}")
         start = time.perf_counter()
-        model = decision_tree(depths[-1], leaf_size, seed, leafCol="leaf").fit(train.filter(F.col(fold_column) != fold))
+        model = decision_tree(self.deepest, size, self.seed, leafCol="leaf").fit(fit_part)
         taken = time.perf_counter() - start
         counted = (
-            model.transform(train.filter(F.col(fold_column) == fold))
+            model.transform(held)
             .groupBy("leaf")
             .agg(F.count_if(F.col("label") == 1.0).alias("pos"), F.count_if(F.col("label") == 0.0).alias("neg"))
             .collect()  # at most one row per leaf of a tree the driver holds anyway
         )
-        counts = {int(r["leaf"]): (r["pos"], r["neg"]) for r in counted}
         nodes = read_nodes(model)
         scores = {}
-        for p in grid_points:
-            if p["min_samples_leaf"] == leaf_size:
+        for i, p in enumerate(self.points):
+            if p["min_samples_leaf"] == size:
                 said = floored_leaves(nodes, p["max_depth"], p["min_samples_split"])
-                scores[_key(p)] = _leaf_f1(said, counts)
-        return job, scores, taken
+                cells: dict[tuple, int] = {}
+                for leaf, pos, neg in counted:
+                    for y, n in ((1.0, pos), (0.0, neg)):
+                        if n:
+                            cells[y, said[int(leaf)]] = cells.get((y, said[int(leaf)]), 0) + n
+                scores[i] = COUNTED[scorer.getMetricName()](cells)
+        return scores, taken
+
+    def scores(self, fit_part: DataFrame, held: DataFrame, scorer: Evaluator) -> tuple[list[float], list[float]]:
+        done = {s: self.of_leaf_size(s, fit_part, held, scorer) for s in self.leaf_sizes}
+        sizes = [p["min_samples_leaf"] for p in self.points]
+        return [done[s][0][i] for i, s in enumerate(sizes)], [done[s][1] for s in sizes]
+
+
+def search_tree(
+    train: DataFrame,
+    grid: Mapping[str, Sequence] = TREE_GRID,
+    folds: int = 5,
+    parallelism: int = 4,
+    fold_column: str = "fold",
+    seed: int = SEED,
+) -> Search:
+    """Grid search of a decision tree by F1 of class 1; folds and leaf sizes side by side."""
+    family = Tree(grid, seed)
+    scorer = f1_scorer()
+
+    def one(job: tuple[int, int]):
+        fold, size = job
+        return family.of_leaf_size(
+            size, train.filter(F.col(fold_column) != fold), train.filter(F.col(fold_column) == fold), scorer
+        )
 
     train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        jobs = [(f, s) for f in range(folds) for s in leaf_sizes]
+        jobs = [(f, s) for f in range(folds) for s in family.leaf_sizes]
         with ThreadPoolExecutor(parallelism) as pool:
-            done = list(pool.map(inheritable_thread_target(train.sparkSession)(one), jobs))
-        by_job = {job: (scores, taken) for job, scores, taken in done}
-        scores = [[by_job[f, p["min_samples_leaf"]][0][_key(p)] for f in range(folds)] for p in grid_points]
-        times = [[by_job[f, p["min_samples_leaf"]][1] for f in range(folds)] for p in grid_points]
-        table = _results(grid_points, scores, times)
+            done = dict(zip(jobs, pool.map(inheritable_thread_target(train.sparkSession)(one), jobs)))
+        sizes = [p["min_samples_leaf"] for p in family.points]
+        scores = [[done[f, s][0][i] for f in range(folds)] for i, s in enumerate(sizes)]
+        times = [[done[f, s][1] for f in range(folds)] for s in sizes]
+        table = _results(family.points, scores, times)
         best = max(table, key=lambda r: (r["mean_score"], -r["point"]))
-        chosen = best["params"]
-        model = decision_tree(chosen["max_depth"], chosen["min_samples_leaf"], seed, leafCol="leaf").fit(train)
+        model = family.fit(train, best["params"])
     finally:
         train.unpersist()
-    return Search(chosen, best["mean_score"], collapse(model, chosen["min_samples_split"]), table)
-
-
-def _key(point: dict) -> tuple:
-    return tuple(sorted(point.items(), key=lambda kv: kv[0]))
-
-
-def _leaf_f1(said: Sequence[float], counts: Mapping[int, tuple[int, int]]) -> float:
-    tp = sum(pos for leaf, (pos, _) in counts.items() if said[leaf] == 1.0)
-    fp = sum(neg for leaf, (_, neg) in counts.items() if said[leaf] == 1.0)
-    real = sum(pos for pos, _ in counts.values())
-    return 2.0 * tp / (tp + fp + real) if tp + fp + real else 0.0
+    return Search(best["params"], best["mean_score"], model, table)
 
 
 def random_points(trials: int, low: float = 1e-4, high: float = 10.0, seed: int = SEED) -> list[dict]:

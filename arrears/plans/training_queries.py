@@ -206,19 +206,33 @@ def grid_results(spark, folder):
     return ranked(train.search_forest(df, train.FOREST_GRID, 3), spark)
 
 
-@query("grid_boosting", _grid_sql(train.points(train.BOOSTING_GRID)))
-def grid_boosting(spark, folder):
-    """Rounds, learning rates and depths, three folds, ROC AUC; models that differ in rounds only share a fit."""
-    df, _, _ = _folded(spark, folder, 3)
-    return ranked(train.search_boosting(df, train.BOOSTING_GRID, 3), spark)
+PIPELINE = [train.Logistic(train.LOGISTIC_AUC_GRID), train.Forest(train.FOREST_GRID)]
+
+
+def _family_sql(families) -> str:
+    rows = ", ".join(
+        f"('{f.name}', {i}, '{str(p).replace(chr(39), 2 * chr(39))}', true)" for f in families for i, p in enumerate(f.points)
+    )
+    return f"SELECT * FROM (VALUES {rows}) v(name, point, params, rank_agrees)"
+
+
+@query("grid_pipeline", _family_sql(PIPELINE))
+def grid_pipeline(spark, folder):
+    """Several kinds of models by ROC AUC; imputing, scaling and encoding are fitted once in each of three folds."""
+    df = split_model_table(spark, folder).filter(~F.col("is_test"))
+    folded = stage(sampling.stratified_folds(df, "label", [KEY], 3), "folds", [KEY])
+    steps = prepare.feature_preparation(NUMERIC, CATEGORICAL, impute=True)
+    found = train.search_families(folded, PIPELINE, 3, train.auc_scorer(), steps)
+    parts = [ranked(search, spark).select(F.lit(name).alias("name"), "point", "params", "rank_agrees") for name, search in found.items()]
+    return parts[0].unionByName(parts[1])
 
 
 def champion_scores(spark, folder):
-    """Logistic regression against a tree, by F1 of class 1 on held-out rows: (name, score)."""
+    """Logistic regression against a tree, whole grids, by F1 of class 1 on held-out rows: (name, score)."""
     df, test, _ = _folded(spark, folder, 3)
     found = [
-        ("logistic_regression", train.search_logistic(df, {"C": [1, 100]}, 3)),
-        ("decision_tree", train.search_tree(df, {"max_depth": [10], "min_samples_split": [2, 20], "min_samples_leaf": [5]}, 3)),
+        ("logistic_regression", train.search_logistic(df, train.LOGISTIC_GRID, 3)),
+        ("decision_tree", train.search_tree(df, train.TREE_GRID, 3)),
     ]
     scores = None
     for place, (name, search) in enumerate(found):

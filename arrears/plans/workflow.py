@@ -1,21 +1,26 @@
 """From a labelled table to a registered, saved champion.
 
 ``run`` is what a user starts: feature hook, label, clean rows, stratified
-split, preparation fitted on the train part, balancing of the train part,
-searches of a logistic regression and a decision tree, choice of the champion
-on the folds, figures of the test part, saved model and registry entries.
+split and folds, searches of several kinds of models with preparation and
+balancing inside every fold, choice of the champion on the folds, figures of
+the test part, saved model and registry entries.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassificationModel, LogisticRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.ml.classification import (
+    DecisionTreeClassificationModel,
+    GBTClassificationModel,
+    LogisticRegressionModel,
+    RandomForestClassificationModel,
+)
+from pyspark.ml.evaluation import Evaluator
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrears.functions.labels import encode_label
@@ -44,30 +49,25 @@ class Outcome:
         return self.model.transform(self.preparation.transform(df))
 
 
-def load_champion(folder: str) -> Model:
-    """The model that ``run`` saved below its output folder, whatever its kind."""
+KINDS = (LogisticRegressionModel, DecisionTreeClassificationModel, RandomForestClassificationModel, GBTClassificationModel)
+
+
+def load_champion(spark: SparkSession, folder: str) -> Model:
+    """The model that ``run`` saved below its output folder, of the kind its metadata names."""
     path = f"{folder}/model"
-    for kind in (LogisticRegressionModel, DecisionTreeClassificationModel):
-        try:
+    named = json.loads(spark.read.text(f"{path}/metadata").first()[0])["class"].rsplit(".", 1)[-1]
+    for kind in KINDS:
+        if kind.__name__ == named:
             return kind.load(path)
-        except (IllegalArgumentException, Py4JJavaError) as other:
-            if "class name" not in str(other).lower() and "expected class" not in str(other).lower():
-                raise
-    raise ValueError(f"{path} holds no known model")
+    raise ValueError(f"{path} holds a {named}, which is no known model")
 
 
 def _balanced(df: DataFrame, how: str, key: str) -> DataFrame:
     if how == "none":
-        return df
-    if how == "smote":
-        # new rows get a key of their own, so that folds can be drawn for them
-        grown = smote.smote(df, key)
-        text_key = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("new:"), F.col("draw").cast("string")))
-        return grown.select(text_key.alias(key), "label", "features")
-    even = balance_random(df.select(key, "label", "features"), "label", [key], how)
-    if "copy" in even.columns:
-        even = even.withColumn(key, F.concat_ws("#", F.col(key).cast("string"), F.col("copy").cast("string")))
-    return even.select(key, "label", "features")
+        return df.select("label", "features")
+    narrow = df.select(key, "label", "features")
+    even = smote.smote(narrow, key) if how == "smote" else balance_random(narrow, "label", [key], how)
+    return even.select("label", "features")
 
 
 def run(
@@ -83,11 +83,20 @@ def run(
     folds: int = 5,
     logistic_grid: Mapping[str, Sequence] = train.LOGISTIC_GRID,
     tree_grid: Mapping[str, Sequence] = train.TREE_GRID,
+    families: Sequence | None = None,
+    scorer: Evaluator | None = None,
+    impute: bool = False,
+    encoding: str = "one_hot",
     unknown: str = "null",
     output: str | None = None,
     experiment: str = "default",
 ) -> Outcome:
-    """Train, compare and register; columns not named are taken by type."""
+    """Train, compare and register; columns not named are taken by type.
+
+    ``families`` are the searches to run (``train.Logistic``, ``Tree``, ``Forest``, ``Boosting``), by default the first
+    two with the given grids; ``scorer`` compares them on the folds, by default F1 of class 1. With ``impute`` missing
+    numbers and texts are filled from the training rows; without it, rows that miss any are left out.
+    """
     if balancing not in BALANCING:
         raise ValueError(f"balancing must be one of {BALANCING}")
     require_columns(df, key, target)
@@ -98,23 +107,23 @@ def run(
     shaped = apply_features(df, hook)
     label = encode_label(target, unknown) if dict(shaped.dtypes)[target] == "string" else F.col(target).cast("double")
     labelled = shaped.select(key, *numeric, *text, label.alias("label"))
-    complete = drop_incomplete(labelled)
+    complete = labelled.filter(F.col("label").isNotNull()) if impute else drop_incomplete(labelled)
     counts = labelled.agg(
         F.count_if(F.col("label").isNull()).alias("rows_unknown_label"), F.count(F.lit(1)).alias("rows")
     ).first()
     table = stage(sampling.split_stratified(complete, "label", [key], test_share), "split", [key])
 
-    fit_part, test = table.filter(~F.col("is_test")), table.filter("is_test")
-    preparation = prepare.fit_preparation(fit_part, numeric, text)
-    wide = preparation.transform(fit_part).select(key, "label", "features")
-    folded = stage(sampling.stratified_folds(_balanced(wide, balancing, key), "label", [key], folds), "folds", [key])
-
-    searches = {
-        "logistic_regression": train.search_logistic(folded, logistic_grid, folds),
-        "decision_tree": train.search_tree(folded, tree_grid, folds),
-    }
+    test = table.filter("is_test")
+    folded = stage(sampling.stratified_folds(table.filter(~F.col("is_test")), "label", [key], folds), "folds", [key])
+    steps = prepare.feature_preparation(numeric, text, impute=impute, encoding=encoding)
+    families = [train.Logistic(logistic_grid), train.Tree(tree_grid)] if families is None else list(families)
+    searches = train.search_families(
+        folded, families, folds, scorer or train.f1_scorer(), steps, lambda part: _balanced(part, balancing, key)
+    )
     name = max(searches, key=lambda n: searches[n].best_score)  # the first one wins a tie
-    best = searches[name]
+    whole = searches[name]
+    preparation = PipelineModel(stages=whole.model.stages[:-1])
+    best = train.Search(whole.best_params, whole.best_score, whole.model.stages[-1], whole.table)
     scored = best.model.transform(preparation.transform(test))
     left_out = {
         "rows_unknown_label": counts["rows_unknown_label"],

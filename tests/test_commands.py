@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arrears import __main__ as commands
-from arrears.operators import prepare
+from arrears.operators import prepare, train
 from arrears.plans import workflow
 from arrears.plans.model_table import model_table
 
@@ -47,6 +47,21 @@ def test_train_then_score(spark, folder, tmp_path, monkeypatch, grids):
     assert rows.join(want, "numero_inscricao").filter("prediction = p").count() == 1500
 
 
+def test_run_fills_and_balances_inside_folds(spark, folder, tmp_path):
+    """Missing values stay in the run when they are filled; each fold's rows are scored as they are."""
+    holes = F.when(F.col("numero_inscricao") % 5 > 0, F.col("idade_divida_dias"))
+    table = model_table(spark, folder).withColumn("idade_divida_dias", holes).filter("numero_inscricao % 3 = 0")
+    outcome = workflow.run(
+        table, "numero_inscricao", "target", balancing="undersample", folds=2, impute=True, encoding="ordinal",
+        families=[train.Forest({"n_estimators": [2, 4], "max_depth": [3]}), train.Logistic({"C": [1.0]})],
+        scorer=train.auc_scorer(), output=str(tmp_path / "out"),
+    )
+    assert outcome.left_out == {"rows_unknown_label": 0, "rows_incomplete": 0}
+    assert set(outcome.fold_scores) == {"random_forest", "logistic_regression"} and min(outcome.fold_scores.values()) > 0.6
+    loaded = workflow.load_champion(spark, str(tmp_path / "out"))
+    assert type(loaded) is type(outcome.model) and outcome.scored.count() > 100
+
+
 def test_many_categories(spark):
     rows = spark.range(120_000).select(F.col("id"), F.concat(F.lit("c"), F.col("id")).alias("c"))
     codes = prepare.category_codes(rows, "c")
