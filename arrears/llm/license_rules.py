@@ -241,8 +241,10 @@ def places(words: list[bytes]) -> list[tuple[int, str]]:
     out = []
     for phrase, label in BASE:
         at = joined.find(b" " + phrase + b" ")
+        number, counted = 0, 0  # blanks before the last place
         while at >= 0:
-            out.append((joined.count(b" ", 0, at), label))
+            number, counted = number + joined.count(b" ", counted, at), at
+            out.append((number, label))
             at = joined.find(b" " + phrase + b" ", at + 1)
     return out
 
