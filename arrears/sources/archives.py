@@ -94,6 +94,7 @@ BAD_CONTENT = (
     (pd.errors.EmptyDataError, "empty"),
     (pd.errors.ParserError, "parse"),
 )
+ENCRYPTED = 1  # flag of a zip member
 BAD = tuple(kind for kind, _ in BAD_CONTENT)
 
 
@@ -104,6 +105,8 @@ def _reason(problem: Exception) -> str:
 def survey_members(spark: SparkSession, folder: str, suffix: str = ".csv") -> DataFrame:
     """(archive, member, bytes, problem): every matching member of every ``*.zip``, and archives that are none.
 
+    A member that needs a password is a row with a problem.
+
     Archives are listed by Spark without reading them; only their directories are opened, in tasks. An archive that
     cannot be read fails the job; one that is no archive is a row with a problem and no member.
     """
@@ -117,7 +120,9 @@ def survey_members(spark: SparkSession, folder: str, suffix: str = ".csv") -> Da
                 try:
                     with _open_archive(path, options) as archive:
                         rows += [
-                            (path, m.filename, m.file_size, None) for m in archive.infolist() if m.filename.endswith(suffix)
+                            (path, m.filename, m.file_size, "encrypted" if m.flag_bits & ENCRYPTED else None)
+                            for m in archive.infolist()
+                            if m.filename.endswith(suffix)
                         ]
                 except BAD as problem:
                     rows.append((path, None, None, _reason(problem)))

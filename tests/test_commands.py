@@ -16,10 +16,17 @@ def test_ingest(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "in" / "2023T1_a_FGTS.zip", "w") as z:
         z.writestr("a.csv", "CPF_CNPJ;TIPO_PESSOA\n1;J\n2;F\n")
         z.writestr("b.csv", "")
+    with zipfile.ZipFile(tmp_path / "in" / "2023T2_b_FGTS.zip", "w") as z:
+        z.writestr("locked.csv", "CPF_CNPJ;TIPO_PESSOA\n3;J\n")
+    locked = (tmp_path / "in" / "2023T2_b_FGTS.zip").read_bytes()
+    for mark, at in ((b"PK\x03\x04", 6), (b"PK\x01\x02", 8)):  # the flags in the local and the central header
+        place = locked.index(mark) + at
+        locked = locked[:place] + bytes([locked[place] | 1]) + locked[place + 1 :]
+    (tmp_path / "in" / "2023T2_b_FGTS.zip").write_bytes(locked)
     out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
     commands.ingest(spark, commands.parser().parse_args(["ingest", str(tmp_path / "in"), out, bad]))
     assert [(r["CNPJ"], r["ORIGEM"]) for r in spark.read.parquet(out).collect()] == [("1".zfill(14), "FGTS")]
-    assert [r["member"] for r in spark.read.parquet(bad).collect()] == ["b.csv"]
+    assert sorted((r["member"], r["problem"]) for r in spark.read.parquet(bad).collect()) == [("b.csv", "empty"), ("locked.csv", "encrypted")]
 
 
 @pytest.mark.parametrize("grids", [({"C": [1.0]}, {}), ({}, {"max_depth": [5], "min_samples_split": [20], "min_samples_leaf": [5]})])
