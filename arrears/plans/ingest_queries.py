@@ -8,7 +8,7 @@ from arrears.plans.landing_fixture import LANDED_SQL, LAYOUTS, landed
 from arrears.plans.registry import query, table
 from arrears.session import fresh_path
 from arrears.sources import archives, pages
-from arrears.streaming.landing import land_new_files
+from arrears.streaming.landing import land_new_archives, land_new_files, landed_rows
 
 COLUMNS = sorted({c for names, _ in LAYOUTS.values() for c in names})
 
@@ -154,3 +154,13 @@ def land_once(spark, folder):
     return spark.read.schema(schema).parquet(target).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first_id"), F.max("event_id").alias("last_id")
     )
+
+
+@query("land_archives", HARMONISED_SQL)
+def land_archives(spark, folder):
+    """Two runs over the landed archives; the second finds nothing new."""
+    source = landed(spark, folder, damaged=True)
+    target, problems, checkpoint = (fresh_path(spark, f"landed_{n}") for n in ("debts", "problems", "archives_state"))
+    for _ in range(2):
+        land_new_archives(spark, source, target, problems, checkpoint)
+    return landed_rows(spark, target)

@@ -110,8 +110,13 @@ def survey_members(spark: SparkSession, folder: str, suffix: str = ".csv") -> Da
     Archives are listed by Spark without reading them; only their directories are opened, in tasks. An archive that
     cannot be read fails the job; one that is no archive is a row with a problem and no member.
     """
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path")
-    options = store_options(spark)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
+    return survey_archives(listed.select("path"), suffix)
+
+
+def survey_archives(archives: DataFrame, suffix: str = ".csv") -> DataFrame:
+    """As ``survey_members``, of the archives at the given ``path``."""
+    options = store_options(archives.sparkSession)
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -226,13 +231,17 @@ def ingest(spark: SparkSession, folder: str, target: str, chunk_rows: int = CHUN
 
     Problems are those of archives (no member) and of members.
     """
-    survey = stage(survey_members(spark, folder), "archive-survey")
-    good = survey.filter(F.col("problem").isNull())
-    rows, problems = load_members(good, chunk_rows=chunk_rows)
-    table = harmonise(rows)
+    table, bad = tables_of(survey_members(spark, folder), chunk_rows)
     write_parquet(table, target, ["ANO", "TRIMESTRE"])
+    return spark.read.schema(table.schema).parquet(target).select(*table.columns), bad
+
+
+def tables_of(survey: DataFrame, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """The harmonised rows of surveyed members, and all problems (archive, member, rows_read, problem)."""
+    survey = stage(survey, "archive-survey")
+    rows, problems = load_members(survey.filter(F.col("problem").isNull()), chunk_rows=chunk_rows)
     bad = survey.filter(F.col("problem").isNotNull()).select("archive", "member", F.lit(0).cast("long").alias("rows_read"), "problem")
-    return spark.read.schema(table.schema).parquet(target).select(*table.columns), bad.unionByName(problems)
+    return harmonise(rows), bad.unionByName(problems)
 
 
 def member_columns(members: DataFrame, sep: str = ";") -> DataFrame:

@@ -190,3 +190,33 @@ def test_decoding_is_decided_on_the_whole_member():
         z.writestr("cut", b"abc\xc3")
     with zipfile.ZipFile(buffer) as z:
         assert [archives._is_utf8(z, m) for m in ("good", "bad", "cut")] == [True, False, False]
+
+
+def test_archives_land_once(spark, tmp_path):
+    """New archives only; a batch whose commit was lost is done again, without doubling its rows."""
+    from arrears.streaming.landing import land_new_archives, landed_rows
+
+    folders = [str(tmp_path / n) for n in ("in", "out", "bad", "state")]
+    (tmp_path / "in").mkdir()
+
+    def arrive(name, key):
+        with zipfile.ZipFile(tmp_path / "in" / name, "w") as z:
+            z.writestr(f"{key}.csv", f'CPF_CNPJ;TIPO_PESSOA;NOME_DEVEDOR\n{key};J;"two\nlines"\n')
+
+    def found():
+        return sorted((r.CNPJ.lstrip("0"), r.NOME_DEVEDOR, r.ANO) for r in landed_rows(spark, folders[1]).collect())
+
+    arrive("2023T1_a_FGTS.zip", 11)
+    (tmp_path / "in" / "2023T2_broken.zip").write_bytes(b"no archive" * 10)
+    land_new_archives(spark, *folders)
+    assert found() == [("11", "two\nlines", "2023")]
+    arrive("2024T1_b_FGTS.zip", 22)
+    land_new_archives(spark, *folders)
+    both = [("11", "two\nlines", "2023"), ("22", "two\nlines", "2024")]
+    assert found() == both
+    for commit in (tmp_path / "state" / "commits").glob("*1*"):
+        commit.unlink()  # as if the job had died after it wrote its second batch
+    land_new_archives(spark, *folders)
+    assert found() == both
+    problems = spark.read.parquet(folders[2]).collect()
+    assert [(r.archive.rsplit("/", 1)[-1], r.problem) for r in problems] == [("2023T2_broken.zip", "archive")]
