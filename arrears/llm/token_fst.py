@@ -204,11 +204,15 @@ class Counter:
             if now is None and token >= 0 and (before < 0 or self.may_follow(before, token)):
                 now, count = token, relative + 1
         made = array("q", [*(pack(n, b, r - count) for n, b, r in open_), pack(0, now, 0)]).tobytes()
-        at = self.number.get(made)
+        return self.enter(made), count
+
+    def enter(self, state: bytes) -> int:
+        """The number of a state that is given by its content, after the table was emptied too."""
+        at = self.number.get(state)
         if at is None:
-            at = self.number[made] = len(self.states)
-            self.states.append(made)
-        return at, count
+            at = self.number[state] = len(self.states)
+            self.states.append(state)
+        return at
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key * 0x9E3779B1) >> 7) & (self.slots - 1)
@@ -302,41 +306,73 @@ def count_texts(counter: Counter, texts: list[bytes]) -> np.ndarray:
     symbols = np.frombuffer(b"".join(texts), np.uint8).astype(np.int64)
     symbols[offset[mark]] += 256
     size = np.array([len(t) for t in texts])
+    text, total, _ = _run(counter, symbols, size)
+    run = np.concatenate([[0], np.cumsum(total)])
+    full = size > 0
+    first = np.searchsorted(text, np.flatnonzero(full), side="left")
+    past = np.searchsorted(text, np.flatnonzero(full), side="right")
+    counts[full] = run[past] - run[first]
+    return counts
+
+
+def _run(counter: Counter, symbols: np.ndarray, size: np.ndarray, state: int = 0) -> tuple[np.ndarray, np.ndarray, int]:
+    """Chunks of texts that lie one behind the other, each text entered in ``state``: the text and the tokens of each
+    chunk, and the state after the last."""
     begin = np.cumsum(size) - size
     text, at, length = _chunks(symbols, begin, size)
-    # entry states: run the bytes before the chunk; at the start of a text the first byte is marked
+    # entry states: run the bytes before the chunk
     warm = np.minimum(WARM, at - begin[text])
     entry, _ = _through(counter, np.zeros(len(at), np.int32), symbols, at - warm, warm)
+    entry[warm == 0] = state
     leave, total = _through(counter, entry, symbols, at, length)
     inner = np.concatenate([[False], text[1:] == text[:-1]])
     while True:
         off = np.flatnonzero(inner & (entry != np.concatenate([[0], leave[:-1]])))
         if not len(off):
-            break
+            return text, total, int(leave[-1])
         entry[off] = leave[off - 1]
         leave[off], total[off] = _through(counter, entry[off], symbols, at[off], length[off])
-    run = np.concatenate([[0], np.cumsum(total)])
-    full = size > 0
-    first = np.searchsorted(text, np.flatnonzero(full), side="left")
-    past = np.searchsorted(text, np.flatnonzero(full), side="right")
-    counts[full] = run[past] - run[first]
-    return counts
+
+
+def count_uncut(counter: Counter, text: bytes) -> int:
+    """Tokens of a text without places to cut, window by window: each is entered in the state that the one before left.
+
+    Whether a pre-token starts at a character is decided by a few characters around it, so a window is marked with its
+    edges; memory beside the text's code points is that of one window.
+    """
+    points = np.frombuffer(text.decode().encode("utf-32-le"), np.uint32)
+    window = max(1, PIECE // 4)
+    state, tokens = counter.states[0], 0
+    for a in range(0, len(points), window):
+        if len(counter.states) > STATES:
+            counter.clear()
+        b = min(len(points), a + window)
+        low = max(0, a - EDGE)
+        mark = starts(points[low : b + EDGE].astype(np.int64))[a - low : b - low]
+        mine = points[a:b]
+        width = 1 + (mine >= 0x80) + (mine >= 0x800) + (mine >= 0x10000)
+        symbols = np.frombuffer(mine.tobytes().decode("utf-32-le").encode(), np.uint8).astype(np.int64)
+        symbols[(np.cumsum(width) - width)[mark]] += 256
+        _, total, last = _run(counter, symbols, np.array([len(symbols)]), counter.enter(state))
+        state, tokens = counter.states[last], tokens + int(total.sum())
+    return tokens
 
 
 def pieces(text: bytes) -> list[bytes]:
-    """Cut a long text before single blanks between letters or signs, where a pre-token starts whatever stands
-    around it."""
-    out = []
-    while len(text) > PIECE:
-        cut = CUT.search(text, PIECE)
-        if not cut:
-            break
-        out.append(text[: cut.start() + 1])
-        text = text[cut.start() + 1 :]
-    return [*out, text]
+    """Cut a long text where a pre-token starts whatever stands further away: before a blank between two characters
+    that are no white space, and between a letter and a sign. What holds no such place stays whole."""
+    if len(text) <= PIECE:
+        return [text]
+    out, points, a = [], text.decode(), 0
+    while cut := CUT.search(points, a + PIECE // 4):
+        b = cut.start() + 1
+        out.append(points[a:b].encode())
+        a = b
+    return [*out, points[a:].encode()]
 
 
-CUT = regex.compile(rb"[!-~] [!-~]")
+EDGE = 8  # characters beside a window that are read to mark its own
+CUT = regex.compile(r"\S(?= \S)|\p{L}(?=[^\s\p{L}\p{N}])")
 
 
 @lru_cache(4)
@@ -360,6 +396,10 @@ def token_counts(texts: list[bytes], path: str) -> list[int]:
                 owner.append(k)
     out, a = np.array(extra, np.int64), 0
     while a < len(parts):
+        if len(parts[a]) > 2 * PIECE:
+            out[owner[a]] += count_uncut(counter, parts[a])
+            a += 1
+            continue
         b, held = a, 0
         while b < len(parts) and (b == a or held + len(parts[b]) <= PIECE):
             held += len(parts[b])
@@ -373,7 +413,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, key: str = "doc_
     """Bytes and tokens of each text, and whether it has more than ``limit`` tokens.
 
     One row for each input row, repeated rows included; other columns are left out. A null or empty text has no bytes
-    and no tokens; a null key stays null. A very long text is run in pieces, whatever its length. ``path`` names a
+    and no tokens; a null key stays null. A very long text is run in pieces, and what cannot be cut in windows that hand
+    on their state, so the arrays at work are bounded whatever its length. ``path`` names a
     byte-level vocabulary file that every executor can open.
     """
     kind = docs.schema[key].dataType.simpleString()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from collections import Counter
 
 import public_tokenizers
@@ -63,6 +64,37 @@ def test_long_texts_chunks_and_full_tables(library, monkeypatch):
     assert ours(texts[2:] + ["It's a man's world, isn't it?  "]) == [*want[2:], *library(["It's a man's world, isn't it?  "])]
 
 
+def test_long_texts_of_other_letters_are_cut(library):
+    words = " слово ещё одно длинное предложение" * 90_000  # 6 MB
+    assert all(len(p) <= 2 * fst.PIECE for p in fst.pieces(words.encode()))
+    signs = "字文章。漢字、" * 150_000  # no blanks
+    assert len(fst.pieces(signs.encode())) > 1
+    start = time.monotonic()
+    assert ours([words]) == [sum(library([words[k : k + 700_000] for k in range(0, len(words), 700_000)]))]
+    assert time.monotonic() - start < 60
+
+
+@pytest.mark.parametrize("text", ["字" * 9000 + "x", "it's" * 4000, "a" * 20_000, "𝒳é" * 5000, "\n \t" * 3000 + "x", "12" * 9000])
+def test_texts_without_places_to_cut(library, monkeypatch, text):
+    """Windows hand on their state, whatever they part, and when the table is emptied between them."""
+    counter = fst.compiled(PATH)
+    for piece, states in ((fst.PIECE, fst.STATES), (3000, fst.STATES), (100, 20)):
+        monkeypatch.setattr(fst, "PIECE", piece)
+        monkeypatch.setattr(fst, "STATES", states)
+        assert fst.count_uncut(counter, text.encode()) == library([text])[0]
+        assert ours([text]) == library([text])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["a", "s", "'", "'s", "'re", "'VE", " ", "\n", "\u3000", "1", "字", "!", "𝒳", "tion"]), max_size=60))
+def test_windows_of_random_texts(library, parts):
+    text = "".join(parts)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(fst, "PIECE", 24)
+        assert fst.count_uncut(fst.compiled(PATH), text.encode()) == library([text])[0]
+        assert ours([text]) == library([text])
+
+
 def test_token_edge_cases(make):
     docs = make((1, None, "a"), (2, "", "a"), (None, "a b", None), repeat=[(2, "", "a")])
     rows = sorted((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit) for r in fst.count_tokens(docs, PATH).collect())
