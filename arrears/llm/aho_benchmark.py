@@ -1,15 +1,21 @@
 """Benchmark decontamination with one Aho-Corasick automaton over the test items.
 
-Items and documents are normalised alike to words. Each word of the items gets a letter of its own, every other word
-is one and the same foreign letter; so a text becomes one short string whose positions are word numbers, and the
-automaton finds every window of every item in one pass over it. Word numbers lead back to offsets in the original.
+Items and documents are normalised alike to words. Each word of the items gets two letters of its own, every other word
+the same foreign ones; so a text becomes one short string whose positions are word numbers, and the automaton finds
+every window of every item in one pass over it. Word numbers lead back to offsets in the original. First and second
+letters are of different alphabets, so a window is never found between words, and both alphabets are small, since the
+automaton seeks among the children of a node one by one.
 
 The items are a test set, small beside the corpus, and go to every task. Their size is checked: beyond ``most_bytes``
-they are dealt into blocks below that size, with one pass over the documents for each block.
+they are dealt into blocks of about that size, with one pass over the documents for each block. What is dealt are runs of
+words: a long item becomes several that share a window's words less one, so each of its windows is in one of them and
+no item makes a block large.
 """
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -22,54 +28,57 @@ from arrears.llm.registry import query, table
 
 WIDTH = 13
 WORD = regex.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-FOREIGN = "\x01"
-FIRST_LETTER = 0x100
-#: Letters left after FIRST_LETTER without surrogates; a block of items has fewer bytes than this.
+FOREIGN = "\x01\x01"
+FIRST_LETTERS, SECOND_LETTERS, SECONDS = 0x100, 0xE000, 512  # code points without surrogates: 28 million words
+#: Bytes of a block on average.
 MOST_BYTES = 1 << 20
+RUN_WORDS = 4096  # words of a part of an item
 
 
 class Windows:
     """The automaton over all windows of some items."""
 
     def __init__(self, items: list[tuple[str, str]], width: int):
-        self.letter: dict[bytes, str] = {}
+        self.letters: dict[bytes, str] = {}
         self.items: list[str] = []
         found: dict[str, list[int]] = {}
         number: dict[str, int] = {}
         for item, text in items:
-            spelled = "".join(map(self._letter, plain_words(text.encode())))
-            if not spelled:
+            words = plain_words(text.encode())
+            if not words:
                 continue
+            spelled = "".join(map(self._letters, words))
             if item not in number:
                 number[item] = len(self.items)
                 self.items.append(item)
-            for at in range(max(1, len(spelled) - width + 1)):
-                found.setdefault(spelled[at : at + width], []).append(number[item])
+            for at in range(max(1, len(words) - width + 1)):
+                found.setdefault(spelled[2 * at : 2 * (at + width)], []).append(number[item])
         self.automaton = ahocorasick.Automaton()
         for window, owners in found.items():
-            self.automaton.add_word(window, (len(window), tuple(set(owners))))
+            self.automaton.add_word(window, (len(window) // 2, tuple(set(owners))))
         if found:
             self.automaton.make_automaton()
         self.any = bool(found)
 
-    def _letter(self, word: bytes) -> str:
-        got = self.letter.get(word)
+    def _letters(self, word: bytes) -> str:
+        got = self.letters.get(word)
         if got is None:
-            point = FIRST_LETTER + len(self.letter)
-            got = self.letter[word] = chr(point if point < 0xD800 else point + 0x800)
+            first, second = divmod(len(self.letters), SECONDS)
+            got = self.letters[word] = chr(FIRST_LETTERS + first) + chr(SECOND_LETTERS + second)
         return got
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Merged spans of hit words, and the items that have a window there."""
         if not self.any:
             return [], set()
-        get = self.letter.get
+        get = self.letters.get
         spelled = "".join([get(w, FOREIGN) for w in words])
         spans: list[tuple[int, int]] = []
         items: set[int] = set()
         for last, (length, owners) in self.automaton.iter(spelled):
             items.update(owners)
-            begin, end = last - length + 1, last + 1
+            end = (last + 1) // 2
+            begin = end - length
             while spans and spans[-1][1] >= begin:  # ends never fall, so only the last spans can touch
                 begin = min(begin, spans.pop()[0])
             spans.append((begin, end))
@@ -134,6 +143,24 @@ def _pass(rows: DataFrame, windows: Windows) -> DataFrame:
     return map_text(rows, schema, work, "text")
 
 
+def item_parts(items: DataFrame, width: int) -> DataFrame:
+    """(k, t): items as they are, long ones as runs of words that have each window of the item once."""
+    length = max(RUN_WORDS, 2 * width)
+    words = F.regexp_extract_all(
+        F.translate("t", ascii_uppercase, ascii_lowercase), F.lit(f"({WORD.pattern})"), F.lit(1)
+    )
+    step = length - width + 1
+
+    def runs(w):  # bound once by the outer transform, or each slice would cut the text again
+        starts = F.sequence(F.lit(0), F.size(w) - width, F.lit(step))
+        cut = F.transform(starts, lambda i: F.array_join(F.slice(w, i + 1, F.lit(length)), " "))
+        return F.when(F.size(w) > length, cut).otherwise(F.array(F.array_join(w, " ")))
+
+    long = F.octet_length("t") > 2 * length  # shorter texts have fewer words
+    parts = F.when(long, F.flatten(F.transform(F.array(words), runs))).otherwise(F.array("t"))
+    return items.select("k", F.explode(parts).alias("t"))
+
+
 def find_items(
     docs: DataFrame,
     items: DataFrame,
@@ -155,6 +182,7 @@ def find_items(
     picked = items.select(
         F.coalesce(F.col(item_key).cast("string"), F.lit("")).alias("k"), F.col(item_text).cast("string").alias("t")
     ).where(F.col("t").isNotNull())
+    picked = item_parts(picked, width)
     total = picked.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = -(-total // most_bytes) or 1
     rows = docs.select(pack(keep), F.col(text).cast("string").alias("text"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -157,6 +158,29 @@ def test_items_against_brute_force(spark, make):
     assert sorted(r.doc_id for r in left.select("doc_id").collect()) == [2, 4, 5, 7, 8]
 
 
+def test_long_items(spark, make, monkeypatch):
+    """Parts of long items have every window once, whatever the length of the item."""
+    monkeypatch.setattr(a, "RUN_WORDS", 7)
+    for n in (1, 2, 3, 7, 8, 9, 12, 13, 14, 40):
+        own = [f"W{k}" for k in range(n)]
+        picked = spark.createDataFrame([("i", "; ".join(own))], "k string, t string")
+        parts = [[w.decode() for w in a.plain_words(r.t.encode())] for r in a.item_parts(picked, 3).collect()]
+        windows = [tuple(p[k : k + 3]) for p in parts for k in range(max(1, len(p) - 2))]
+        want = [w.lower() for w in own]
+        assert sorted(windows) == sorted(tuple(want[k : k + 3]) for k in range(max(1, n - 2)))
+
+
+def test_item_of_many_words(spark, make):
+    many = " ".join(f"v{k:x}" for k in range(500_000))  # 3 MB, all distinct
+    items = spark.createDataFrame([(1, many), (2, "plain words")], "item_id long, text string")
+    texts = [" ".join(f"v{k:x}" for k in range(b, b + 20)) for b in (0, 4090, 300_000, 499_980)] + ["plain words", "v1 v3"]
+    docs = make(*[(k, t, "s") for k, t in enumerate(texts)])
+    start = time.monotonic()
+    got = {r.row.doc_id: (r.n_hit, r.item_ids) for r in a.find_items(docs, items, ["doc_id"]).collect()}
+    assert got == {0: (20, ["1"]), 1: (20, ["1"]), 2: (20, ["1"]), 3: (20, ["1"]), 4: (2, ["2"]), 5: (0, [])}
+    assert time.monotonic() - start < 120
+
+
 def test_no_items(spark, make):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [r.n_hit for r in a.find_items(make((1, "a b", "s")), none, ["doc_id"]).collect()] == [0]
