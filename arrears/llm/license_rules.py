@@ -27,7 +27,7 @@ from arrears.llm.registry import query, table
 KINDS = {"tag": (6, 0.98), "link": (5, 0.9), "notice": (4, 0.9), "name": (3, 0.7), "phrase": (2, 0.5), "hint": (1, 0.2)}
 
 #: label; keyword; name (a blank stands for any white space); link; versions as "version: label ending".
-#: A version may follow the name as "2.0", "v2", "version 2" or ", version 2".
+#: A version may follow the name as "2.0", "-2.0", "v2", "version 2" or ", version 2".
 FAMILIES = r"""
 gpl        | general public | (?:GNU )?General Public Licen[cs]e  | gnu\.org/licenses/(?:old-licenses/)?gpl | 1(?:\.0)?: -1.0; 2(?:\.0)?: -2.0; 3(?:\.0)?: -3.0
 gpl        | gpl            | \b(?:GNU )?GPL                      | opensource\.org/licenses/gpl            | 1(?:\.0)?: -1.0; 2(?:\.0)?: -2.0; 3(?:\.0)?: -3.0
@@ -148,15 +148,28 @@ hint   | copyright     | ©                | ©
 hint   | licensed      | under            | \b(?:licen[cs]ed|released|distributed|available) under\b
 """
 
-VERSION = r"(?:,? ?(?:version|v\.?)? ?)?(?:{0})(?![\d])"
+VERSION = r"(?:[,-]? ?(?:version|v\.?)? ?)?(?:{0})(?!\d|\.\d)"
 NOTICE = r"\b(?:licen[cs]ed|released|distributed|available|published|provided|covered)(?: to you)?(?: under| by)(?: the)?(?: terms of)?(?: the)? "
 
 
+def spaced(pattern: str) -> str:
+    """A blank stands for any white space, a character class with one for any run of its characters."""
+
+    def wide(m):
+        found = m.group()
+        if found.startswith("["):
+            inside = found[1:].rstrip("?").rstrip("]").replace(" ", r"\s")
+            return f"[{inside}]{'*' if found.endswith('?') else '+'}" if " " in found else found
+        return r"\s?" if found == " ?" else r"\s+"
+
+    return regex.sub(r"\[[^\]]*\]\??| \??", wide, pattern)
+
+
 class Rule:
     def __init__(self, number: int, kind: str, label: str, keyword: str, pattern: str):
         self.number, self.kind, self.label, self.keyword = number, kind, label, keyword.lower()
         self.priority, self.sure = KINDS[kind]
-        self.find = regex.compile(pattern.replace(" ?", r"\s?").replace(" ", r"\s+"), regex.IGNORECASE).finditer
+        self.find = regex.compile(spaced(pattern), regex.IGNORECASE).finditer
 
 
 @lru_cache(1)

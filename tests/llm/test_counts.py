@@ -129,6 +129,12 @@ def test_licenses_of_whole_table(small):
         ("the GNU Lesser General Public License, version 2.1", ["lgpl-2.1"]),
         ("licensed under the GNU General Public\n License v3", ["gpl-3.0"]),
         ("CC BY-NC-SA 4.0", ["cc-by-nc-sa-4.0"]),
+        ("CC\n BY-SA 4.0", ["cc-by-sa-4.0"]),
+        ("CC+BY 4.0 and BSD+3+Clause", []),
+        ("BSD 3-\nClause", ["bsd-3"]),
+        ("GPL v3.5", ["gpl"]),
+        ("GPL-3.0-or-later", ["gpl-3.0"]),
+        ("under GPLv3.", ["gpl-3.0"]),
         ("Creative Commons Attribution 3.0", ["cc-by-3.0"]),
         ("see https://creativecommons.org/licenses/by-nd/2.5/", ["cc-by-nd-2.5"]),
         ("SPDX-License-Identifier: mpl-2.0", ["mpl-2.0"]),
