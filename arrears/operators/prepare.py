@@ -2,15 +2,18 @@
 
 Fitted numbers and texts end up as literals in SQL projections, so applying a
 preparation stays inside generated code, and a fitted ``Pipeline`` saves and
-loads with Spark alone.
+loads with Spark alone. Columns of very many texts are the exception: their codes are
+a table that the preparation joins (``TableIndex``).
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -91,16 +94,22 @@ class ModeImputer(_ColumnFit):
 class Categoriser(_ColumnFit):
     """Texts not seen in the fitted frame become null."""
 
-    def _sql(self, dataset: DataFrame) -> list[str]:
-        seen = _categories(dataset, self.inputs)
-        return [
-            f"CASE WHEN {_name(c)} IN ({', '.join(_text(v) for v in seen[c])}) THEN {_name(c)} END" if seen[c] else "CAST(NULL AS STRING)"
-            for c in self.inputs
-        ]
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        indexed = [f"{c}__seen" for c in self.outputs]
+        index = CategoryIndex(self.inputs, indexed).fit(dataset)
+        known = {
+            out: f"CASE WHEN {_name(i)} < {_size(stage)} THEN CAST({_name(c)} AS STRING) END"
+            for c, out, i, stage in zip(self.inputs, self.outputs, indexed, index.stages)
+        }
+        return PipelineModel(stages=[index, _projection(known)])
 
 
 class CategoryIndex(_ColumnFit):
-    """Index 0.. in text order; unseen texts and nulls get the index after the last."""
+    """Index 0.. in text order; unseen texts and nulls get the index after the last.
+
+    A column with more than ``MOST_CATEGORIES`` texts is indexed by a table (``TableIndex``), others by a list. A list
+    names the slots of an encoder behind it, which an empty text cannot, so a column that has one takes a table too.
+    """
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         seen = _categories(dataset, self.inputs)
@@ -108,6 +117,8 @@ class CategoryIndex(_ColumnFit):
         return PipelineModel(
             stages=[
                 StringIndexerModel.from_labels(seen[c], inputCol=c, outputCol=out, handleInvalid="keep")
+                if c in seen and "" not in seen[c]
+                else TableIndex.fitted(dataset, c, out)
                 for c, out in zip(self.inputs, self.outputs)
             ]
         )
@@ -120,33 +131,107 @@ class OrdinalCoder(_ColumnFit):
         indexed = [f"{c}__index" for c in self.outputs]
         index = CategoryIndex(self.inputs, indexed).fit(dataset)
         codes = {
-            out: f"CASE WHEN {_name(i)} = {len(stage.labels)} THEN -1.0D ELSE {_name(i)} END"
+            out: f"CASE WHEN {_name(i)} = {_size(stage)} THEN -1.0D ELSE {_name(i)} END"
             for out, i, stage in zip(self.outputs, indexed, index.stages)
         }
         return PipelineModel(stages=[index, _projection(codes)])
 
 
-MOST_CATEGORIES = 100_000
+MOST_CATEGORIES = 20_000
+NULL_SPLITS = 4096
 
 
 def _categories(dataset: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct texts per column.
+    """Sorted distinct texts of the columns that have at most ``MOST_CATEGORIES``; the others are left out.
 
-    They become parts of a fitted model, so they must fit on the driver; a column
-    with more than ``MOST_CATEGORIES`` of them is refused, not cut short, and can be
-    encoded with ``category_codes`` and ``join_codes``, which hold no list.
+    The texts become parts of a fitted model, so they must fit on the driver.
     """
+    distinct = _long(dataset, columns, "string").distinct()
     most = MOST_CATEGORIES * len(columns)
-    rows = _long(dataset, columns, "string").distinct().limit(most + 1).collect()
-    seen: dict[str, list[str]] = {c: [] for c in columns}
+    rows = distinct.limit(most + 1).collect()
+    counts = Counter(r["name"] for r in rows)
+    narrow = [c for c in columns if counts[c] <= MOST_CATEGORIES]
+    if len(rows) > most:  # some texts were not fetched: count, then fetch those of narrow columns
+        sizes = {r["name"]: r["n"] for r in distinct.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+        narrow = [c for c in columns if sizes.get(c, 0) <= MOST_CATEGORIES]
+        rows = distinct.filter(F.col("name").isin(narrow)).collect() if narrow else []
+    seen: dict[str, list[str]] = {c: [] for c in narrow}
     for r in rows:
-        seen[r["name"]].append(r["value"])
-    crowded = [c for c, v in seen.items() if len(v) > MOST_CATEGORIES]
-    if crowded or len(rows) > most:
-        raise ValueError(f"too many categories to encode in {crowded or list(columns)}")
+        if r["name"] in seen:
+            seen[r["name"]].append(r["value"])
     return {c: sorted(v) for c, v in seen.items()}
 
 
+def _size(index: Model) -> int:
+    return index.size if isinstance(index, TableIndex) else len(index.labels)
+
+
+class TableIndex(Model, MLReadable, MLWritable):
+    """Index of a column with any number of texts, by a join with the table of their codes.
+
+    The table lies below ``spark.checkpoint.dir`` until the model is saved, and beside its metadata from then on; save
+    the model before ``clear_work``. Unseen texts and nulls get the index after the last. Nulls are spread over tasks;
+    texts that many rows share are left to the skew join of adaptive execution, which splits them. The column says how
+    many values it has, so an encoder behind it need not look. One-hot vectors get a slot for each text, and models on
+    them a coefficient for each slot on the driver; ordinal codes have no such cost.
+    """
+
+    def __init__(self, column: str, out: str, codes: DataFrame, size: int):
+        super().__init__()
+        self.column, self.out, self.codes, self.size = column, out, codes, size
+
+    @classmethod
+    def fitted(cls, dataset: DataFrame, column: str, out: str) -> TableIndex:
+        codes = stage(category_codes(dataset, _name(column)), "codes")
+        return cls(column, out, codes, codes.count())
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        value, code, spread, own = (f"{self.out} {x}" for x in ("value", "code", "spread", "own"))
+        codes = self.codes.select(
+            F.col("value").alias(value), F.col("code").cast("double").alias(code), F.lit(0).cast("long").alias(spread)
+        )
+        text = F.col(_name(self.column)).cast("string")
+        # where a null row goes makes no difference to its index, so a number that a retry draws anew is good enough
+        salt = F.when(text.isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(NULL_SPLITS))).otherwise(F.lit(0))
+        left = dataset.withColumns({own: text, f"{own} spread": salt.cast("long")})
+        same = (F.col(_name(own)) == F.col(_name(value))) & (F.col(_name(f"{own} spread")) == F.col(_name(spread)))
+        joined = left.join(codes, same, "left")
+        index = F.coalesce(F.col(_name(code)), F.lit(float(self.size)))
+        attribute = {"ml_attr": {"name": self.out, "type": "nominal", "num_vals": self.size + 1}}
+        indexed = joined.withColumn(self.out, index).withMetadata(self.out, attribute)
+        return indexed.drop(own, f"{own} spread", value, code, spread)
+
+    def write(self) -> _TableWriter:
+        return _TableWriter(self)
+
+    @classmethod
+    def read(cls) -> _TableReader:
+        return _TableReader()
+
+
+class _TableWriter(MLWriter):
+    def __init__(self, model: TableIndex):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        m = self.model
+        DefaultParamsWriter.saveMetadata(
+            m, path, self.sparkSession, extraMetadata={"column": m.column, "out": m.out, "size": m.size}
+        )
+        m.codes.write.parquet(f"{path}/codes")
+
+
+class _TableReader(MLReader):
+    def load(self, path: str) -> TableIndex:
+        spark = self.sparkSession
+        held = DefaultParamsReader.loadMetadata(path, spark)
+        codes = spark.read.schema("value string, code long").parquet(f"{path}/codes")
+        model = TableIndex(held["column"], held["out"], codes, held["size"])
+        model._resetUid(held["uid"])
+        return model
+
+
 def category_codes(df: DataFrame, column: str) -> DataFrame:
     """(value, code): the distinct texts of a column with codes 0.. in text order, however many there are.
 

@@ -19,6 +19,7 @@ from arrears.plans.model_table import (
     model_table,
 )
 from arrears.plans.registry import query, table
+from arrears.session import fresh_path
 
 
 def labelled(spark, folder):
@@ -246,6 +247,23 @@ def ordinal_wide(spark, folder):
     return prepare.join_codes(rows, "debtor", codes, "code", ["o_orderkey"]).select("o_orderkey", "code")
 
 
+@query(
+    "categorise_wide",
+    "SELECT o_orderkey, CASE WHEN o_custkey % 10 > 0 THEN o_custkey::VARCHAR END AS known, CASE WHEN o_custkey % 10 = 0 THEN -1.0 ELSE (dense_rank() OVER (PARTITION BY o_custkey % 10 = 0 ORDER BY o_custkey::VARCHAR) - 1) END::DOUBLE AS code FROM orders",
+)
+def categorise_wide(spark, folder):
+    """A preparation that indexes the debtors by a table, saved and loaded before it is applied."""
+    rows = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("debtor"))
+    index = prepare.TableIndex.fitted(rows.filter(F.col("debtor").cast("bigint") % 10 != 0), "debtor", "place")
+    path = fresh_path(spark, "wide_preparation")
+    prepare.PipelineModel(stages=[index]).write().save(path)
+    placed = prepare.PipelineModel.load(path).transform(rows)
+    seen = F.col("place") < index.size
+    return placed.select(
+        "o_orderkey", F.when(seen, F.col("debtor")).alias("known"), F.when(seen, F.col("place")).otherwise(-1.0).alias("code")
+    )
+
+
 @query(
     "prepared_texts",
     f"""WITH {MODEL_SQL} SELECT {", ".join(f"count(DISTINCT {c}) AS {c}" for c in CATEGORICAL)}, count(*) AS n FROM model""",

@@ -80,3 +80,46 @@ def test_many_categories(spark):
     assert got[-1] == got[-2] == -1.0 and all(got[i] >= 0 for i in got if i >= 0)
     hot = {r["id"]: r["k"] for r in prepare.join_codes(odd, "c", codes, "k", ["id"], one_hot=True).collect()}
     assert all(v.size == 120_000 and list(v.indices) == ([int(got[i])] if got[i] >= 0 else []) for i, v in hot.items())
+
+
+def test_many_categories_in_a_saved_preparation(spark, tmp_path, monkeypatch):
+    """Encoders give the same with lists and with tables, before and after saving."""
+    texts = ["b", "a", None, "d`x", " ", "a", "é", "b"]
+    rows = spark.createDataFrame([(k, t, float(k), f"n{k % 2}") for k, t in enumerate(texts)], "id long, c string, x double, few string")
+    new = rows.unionByName(spark.createDataFrame([(9, "unseen", 1.0, "n0"), (10, None, 2.0, None)], rows.schema))
+    for encoding in ("one_hot", "ordinal", "categorise"):
+        got = []
+        for most in (100, 1):
+            monkeypatch.setattr(prepare, "MOST_CATEGORIES", most)
+            model = prepare.fit_preparation(rows, ["x"], ["c", "few"], encoding=encoding)
+            path = str(tmp_path / f"{encoding}{most}")
+            model.write().save(path)
+            for m in (model,) if most == 100 else (model, prepare.PipelineModel.load(path)):
+                done = m.transform(new)
+                assert len(prepare.feature_names(done)) == done.first()["features"].size
+                got.append({r["id"]: tuple(r["features"].toArray()) for r in done.collect()})
+        assert all(g == got[0] for g in got) and len(got[0]) == 10
+    empty = rows.withColumn("few", F.lit(""))  # no name for a slot, so its index is a table
+    assert prepare.fit_preparation(empty, ["x"], ["few"]).transform(empty).first()["features"].size == 2
+
+
+def test_run_with_many_categories(spark, folder, tmp_path):
+    own = F.concat(F.lit("c"), F.col("numero_inscricao").cast("string"))
+    table = model_table(spark, folder).withColumn("own", own)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(prepare, "MOST_CATEGORIES", 500)
+        outcome = workflow.run(
+            table, "numero_inscricao", "target", balancing="none", folds=2, encoding="ordinal",
+            families=[train.Tree({"max_depth": [3], "min_samples_split": [2], "min_samples_leaf": [1]})], output=str(tmp_path / "out"),
+        )
+    loaded = prepare.PipelineModel.load(str(tmp_path / "out" / "preparation"))
+    want = {r[0]: r[1] for r in outcome.preparation.transform(table).select("numero_inscricao", "own__code").collect()}
+    got = {r[0]: r[1] for r in loaded.transform(table).select("numero_inscricao", "own__code").collect()}
+    assert got == want and max(got.values()) > 500 and min(got.values()) == -1.0
+
+
+def test_wide_index_of_150_000_texts(spark):
+    rows = spark.range(150_000).select("id", F.concat(F.lit("c"), F.col("id")).alias("c"))
+    model = prepare.OrdinalCoder(["c"], ["code"]).fit(rows)
+    coded = model.transform(rows)
+    assert coded.agg(F.min("code"), F.max("code"), F.count_distinct("code")).first() == (0.0, 149_999.0, 150_000)
