@@ -5,7 +5,9 @@ quantised on a logarithmic scale, and an n-gram of level q enters the filter q t
 own. A count is read back by probing levels 1, 2, ... until one is missing. The filter is a table of segments, each
 made out of its counted n-grams. Its size follows their number and levels, so that the rate of false levels stays
 below ``FALSE_LEVEL`` for any input. Up to ``MOST_BITS`` it is broadcast; a larger one stays a table, and the n-grams of
-each batch of texts are sent to its segments.
+each batch of texts are sent to its segments. The number of segments follows the bytes of the training texts, so that
+what meets in one task to be counted, entered or probed stays at about ``GROUP`` n-grams while the corpus grows; an
+n-gram that stands everywhere adds one entry for each ``FLUSH`` tokens.
 
 Probabilities are those of pairs, smoothed with those of single tokens. The plain base score needs exact counts:
 those of the most frequent tokens (at most ``HEAD``) are broadcast, all others are joined.
@@ -23,16 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrears.llm.common import WordHashes, blank_words, lists, map_text, mix, pack, small_batches, staged, texts_of
+from arrears.llm.common import BATCH_BYTES, WordHashes, blank_words, lists, map_text, mix, pack, small_batches, staged, texts_of
 from arrears.llm.registry import query, table
 
-SEGMENT_BITS = 12  # the filter has 4096 segments
+LEAST_SEGMENT_BITS = 6  # log2 of the smallest number of segments
+GROUP = 1 << 20  # counted n-grams that a segment receives at most on average
+BATCHES = 1 << 20  # batches of texts whose n-grams are probed together
 LEAST_BITS, MOST_BITS = 20, 28  # log2 of the bits of the smallest filter, and of the largest that is broadcast
 FALSE_LEVEL = 0.02  # share of levels that may be read though they are not in the filter
 PROBES = 3
 MOST_LEVEL = 109  # of the largest 64-bit count
 STEP = 1.5  # ratio of counts from level to level
-LEAST = {1: 1, 2: 2}  # smallest count that enters the filter: tokens, pairs (single pairs carry no statistics)
 FLUSH = 1_500_000  # tokens counted together in a task
 HEAD = 1 << 18
 MOST_TRUST, PRIOR = 0.4, 20.0  # weight of pairs, and the count of the left token at which it is half of that
@@ -44,61 +47,64 @@ def pair_hashes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(mix(left) + right)
 
 
-def segments(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - SEGMENT_BITS)).astype(np.int64)
+def segment_bits_for(size: int, texts: int) -> int:
+    """log2 of the segments that keep each at ``GROUP`` n-grams; texts of ``size`` bytes have no more tokens than this."""
+    tokens = size // 2 + 2 * texts
+    return max(LEAST_SEGMENT_BITS, math.ceil(math.log2(max(tokens, 1) / GROUP)))
 
 
-def bits_for(entries: int) -> int:
-    """log2 of the bits that keep the rate of false levels below ``FALSE_LEVEL`` with so many levels entered."""
+def segments(hashes: np.ndarray, cut: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - cut)).astype(np.int64)
+
+
+def bits_for(entries: int, cut: int = LEAST_SEGMENT_BITS) -> int:
+    """log2 of the bits that keep the rate of false levels below ``FALSE_LEVEL`` with so many levels entered.
+
+    A segment has a whole number of bytes.
+    """
     bits = -PROBES * entries / math.log1p(-(FALSE_LEVEL ** (1 / PROBES)))
-    return max(LEAST_BITS, math.ceil(math.log2(max(bits, 1))))
+    return max(LEAST_BITS, cut + 3, math.ceil(math.log2(max(bits, 1))))
 
 
-def bit_places(hashes: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
-    """Places of an n-gram's level within its segment: one for each probe."""
+def bit_places(hashes: np.ndarray, level: int, width: int) -> Iterator[np.ndarray]:
+    """Places of an n-gram's level within its segment of ``2 ** width`` bits: one for each probe."""
     h = mix(hashes + np.uint64(level * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
     a, b = h & np.uint64(0xFFFFFFFF), (h >> np.uint64(32)) | np.uint64(1)
     for k in range(PROBES):
-        yield ((a + np.uint64(k) * b) & np.uint64((1 << bits - SEGMENT_BITS) - 1)).astype(np.int64)
+        yield ((a + np.uint64(k) * b) & np.uint64((1 << width) - 1)).astype(np.int64)
 
 
-def levels(counts: np.ndarray, least: int) -> np.ndarray:
-    """1 for the smallest count, one more for each factor STEP; 0 below it."""
-    with np.errstate(divide="ignore"):
-        q = 1 + np.floor(np.log(counts / least) / math.log(STEP) + 1e-9).astype(np.int64)
-    return np.where(counts >= least, q, 0)
+def levels(counts: np.ndarray) -> np.ndarray:
+    """1 for a count of one, one more for each factor STEP."""
+    return 1 + np.floor(np.log(counts) / math.log(STEP) + 1e-9).astype(np.int64)
 
 
-def middle(level: np.ndarray, least: int) -> np.ndarray:
+def middle(level: np.ndarray) -> np.ndarray:
     """A count for each level: the middle of those that share it; 0 for level 0."""
-    low = np.ceil(least * STEP ** (level - 1.0) - 1e-9)
-    high = np.maximum(np.ceil(least * STEP**level - 1e-9) - 1, low)
+    low = np.ceil(STEP ** (level - 1.0) - 1e-9)
+    high = np.maximum(np.ceil(STEP**level - 1e-9) - 1, low)
     return np.where(level > 0, (low + high) / 2, 0.0)
 
 
-def segment_of(hashes: np.ndarray, counts: np.ndarray, least: int, bits: int) -> bytes:
-    """The part of the filter that holds these n-grams, all of one segment."""
-    return field_of(hashes, levels(counts, least), bits)
-
-
-def field_of(hashes: np.ndarray, level: np.ndarray, bits: int) -> bytes:
-    field = np.zeros(1 << bits - SEGMENT_BITS, bool)
+def field_of(hashes: np.ndarray, level: np.ndarray, width: int) -> bytes:
+    """The segment of the filter that holds these n-grams, all of one segment."""
+    field = np.zeros(1 << width, bool)
     for j in range(1, int(level.max(initial=0)) + 1):
-        for at in bit_places(hashes[level >= j], j, bits):
+        for at in bit_places(hashes[level >= j], j, width):
             field[at] = True
     return np.packbits(field, bitorder="little").tobytes()
 
 
-def probe(field: np.ndarray, hashes: np.ndarray, bits: int, highest: int = MOST_LEVEL) -> np.ndarray:
+def probe(field: np.ndarray, hashes: np.ndarray, bits: int, cut: int, highest: int = MOST_LEVEL) -> np.ndarray:
     """Level of each n-gram, at most ``highest``. The field is the whole filter, or the segment of all the n-grams."""
     level = np.zeros(len(hashes), np.int64)
     left, j = np.arange(len(hashes)), 1
-    base = segments(hashes) << (bits - SEGMENT_BITS)
+    base = segments(hashes, cut) << (bits - cut)
     if len(field) < 1 << bits - 3:
         base = np.zeros_like(base)
     while len(left) and j <= highest:
         held = np.ones(len(left), bool)
-        for at in bit_places(hashes[left], j, bits):
+        for at in bit_places(hashes[left], j, bits - cut):
             at = base[left] + at
             held &= (field[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         left = left[held]
@@ -107,21 +113,27 @@ def probe(field: np.ndarray, hashes: np.ndarray, bits: int, highest: int = MOST_
     return level
 
 
-def coarse(hashes: np.ndarray) -> np.ndarray:
-    """Pairs are counted by 44 bits of their hash, which errs far less often than the filter."""
-    return hashes & np.uint64(0xFFFFFFFFFFF00000)
+def coarse(hashes: np.ndarray, cut: int) -> np.ndarray:
+    """Pairs are counted by their segment and 32 more bits of their hash, which errs far less often than the filter."""
+    return hashes & np.uint64((1 << 64) - (1 << 32 - cut))
 
 
-def narrowed(hashes: np.ndarray, kind: int) -> np.ndarray:
+def narrowed(hashes: np.ndarray, kind: int, cut: int) -> np.ndarray:
     """Hashes as they are stored: the segment has the rest of those of pairs."""
-    return hashes if kind == ONE else (hashes >> np.uint64(20)).astype(np.uint32)
+    return hashes if kind == ONE else (hashes >> np.uint64(32 - cut)).astype(np.uint32)
 
 
-def widened(parts: list[bytes], kind: int, segment: int) -> np.ndarray:
+def widened(parts: list[bytes], kind: int, segment: int, cut: int) -> np.ndarray:
     if kind == ONE:
         return np.concatenate([np.frombuffer(x, np.uint64) for x in parts])
     narrow = np.concatenate([np.frombuffer(x, np.uint32) for x in parts]).astype(np.uint64)
-    return (np.uint64(segment) << np.uint64(64 - SEGMENT_BITS)) | (narrow << np.uint64(20))
+    return (np.uint64(segment) << np.uint64(64 - cut)) | (narrow << np.uint64(32 - cut))
+
+
+def runs(hashes: np.ndarray, cut: int) -> tuple[np.ndarray, list[slice]]:
+    """The segments that ascending hashes fall into, and where the hashes of each stand."""
+    full, begin = np.unique(segments(hashes, cut), return_index=True)
+    return full, [slice(a, b) for a, b in zip(begin, [*begin[1:], len(hashes)])]
 
 
 class Tokens:
@@ -137,26 +149,25 @@ class Tokens:
         before[first] = known[START]
         self.before, self.first = before, first
 
-    def pairs(self) -> np.ndarray:
-        return coarse(pair_hashes(self.before, self.hashes))
+    def pairs(self, cut: int) -> np.ndarray:
+        return coarse(pair_hashes(self.before, self.hashes), cut)
 
 
-def count_blocks(docs: DataFrame, text: str) -> DataFrame:
+def count_blocks(docs: DataFrame, text: str, cut: int) -> DataFrame:
     """Counts of tokens and pairs: ``kind``, ``segment``, ``hashes``, ``counts``, one row for each segment."""
     rows = docs.select(F.col(text).cast("string").alias("text"))
 
     def blocks(kind: int, parts: list[np.ndarray]):
         hashes, counts = np.unique(np.concatenate(parts), return_counts=True)
-        cuts = np.searchsorted(segments(hashes), np.arange((1 << SEGMENT_BITS) + 1))
-        full = np.flatnonzero(np.diff(cuts))
-        narrow = narrowed(hashes, kind)
+        full, places = runs(hashes, cut)
+        narrow = narrowed(hashes, kind, cut)
         counts = counts.astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.full(len(full), kind, np.int32)),
                 pa.array(full.astype(np.int32)),
-                pa.array([narrow[cuts[i] : cuts[i + 1]].tobytes() for i in full], pa.binary()),
-                pa.array([counts[cuts[i] : cuts[i + 1]].tobytes() for i in full], pa.binary()),
+                pa.array([narrow[i].tobytes() for i in places], pa.binary()),
+                pa.array([counts[i].tobytes() for i in places], pa.binary()),
             ],
             names=["kind", "segment", "hashes", "counts"],
         )
@@ -166,7 +177,7 @@ def count_blocks(docs: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             tokens = Tokens(texts_of(batch.column(0)), known)
             ones.append(tokens.hashes)
-            twos.append(tokens.pairs())
+            twos.append(tokens.pairs(cut))
             held += len(tokens.hashes)
             if held >= FLUSH:
                 yield blocks(ONE, ones)
@@ -179,32 +190,33 @@ def count_blocks(docs: DataFrame, text: str) -> DataFrame:
     return map_text(rows, "kind int, segment int, hashes binary, counts binary", work, "text")
 
 
-def merge_blocks(blocks: DataFrame) -> DataFrame:
-    """Counts of each segment summed: its n-grams with their levels (``entries``: sum, ``highest``: largest of these).
+def merge_blocks(blocks: DataFrame, cut: int) -> DataFrame:
+    """Counts of each segment summed: its n-grams with their levels (``entries``: sum, ``highest``: largest of these,
+    ``received``: counted n-grams that met).
 
     Exact counts stay for single tokens only.
     """
 
     def work(key, part):
         kind, segment = (k.as_py() for k in key)
-        hashes = widened(part.column("hashes").to_pylist(), kind, segment)
+        hashes = widened(part.column("hashes").to_pylist(), kind, segment, cut)
+        received = len(hashes)
         counts = np.concatenate([np.frombuffer(x, np.int32) for x in part.column("counts").to_pylist()])
         order = np.argsort(hashes)
         hashes, counts = hashes[order], counts[order].astype(np.int64)
         begin = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
         hashes, counts = hashes[begin], np.add.reduceat(counts, begin)
         exact = (hashes.view(np.int64), counts) if kind == ONE else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        level = levels(counts, LEAST[kind])
-        enters = level > 0
+        level = levels(counts)
         return pa.table(
             {
                 "kind": pa.array([kind], pa.int32()),
                 "segment": pa.array([segment], pa.int32()),
                 "hashes": lists(exact[0], [len(exact[0])], pa.int64()),
                 "counts": lists(exact[1], [len(exact[1])], pa.int64()),
-                "n_grams": pa.array([len(hashes)], pa.int64()),
-                "narrow": pa.array([narrowed(hashes[enters], kind).tobytes()], pa.binary()),
-                "level": pa.array([level[enters].astype(np.uint8).tobytes()], pa.binary()),
+                "received": pa.array([received], pa.int64()),
+                "narrow": pa.array([narrowed(hashes, kind, cut).tobytes()], pa.binary()),
+                "level": pa.array([level.astype(np.uint8).tobytes()], pa.binary()),
                 "entries": pa.array([level.sum()], pa.int64()),
                 "highest": pa.array([level.max()], pa.int32()),
             }
@@ -212,23 +224,23 @@ def merge_blocks(blocks: DataFrame) -> DataFrame:
 
     return blocks.groupBy("kind", "segment").applyInArrow(
         work,
-        "kind int, segment int, hashes array<long>, counts array<long>, n_grams long, narrow binary, level binary, "
+        "kind int, segment int, hashes array<long>, counts array<long>, received long, narrow binary, level binary, "
         "entries long, highest int",
     )
 
 
-def filter_table(merged: DataFrame, bits: dict[int, int]) -> DataFrame:
+def filter_table(merged: DataFrame, bits: dict[int, int], cut: int) -> DataFrame:
     """The filter: ``kind``, ``segment``, ``field``."""
 
     def work(key, part):
         kind, segment = (k.as_py() for k in key)
-        hashes = widened(part.column("narrow").to_pylist(), kind, segment)
+        hashes = widened(part.column("narrow").to_pylist(), kind, segment, cut)
         level = np.concatenate([np.frombuffer(x, np.uint8) for x in part.column("level").to_pylist()])
         return pa.table(
             {
                 "kind": pa.array([kind], pa.int32()),
                 "segment": pa.array([segment], pa.int32()),
-                "field": pa.array([field_of(hashes, level, bits[kind])], pa.binary()),
+                "field": pa.array([field_of(hashes, level, bits[kind] - cut)], pa.binary()),
             }
         )
 
@@ -236,10 +248,10 @@ def filter_table(merged: DataFrame, bits: dict[int, int]) -> DataFrame:
     return rows.groupBy("kind", "segment").applyInArrow(work, "kind int, segment int, field binary")
 
 
-def gather_field(fields: DataFrame, kind: int, bits: int) -> np.ndarray:
+def gather_field(fields: DataFrame, kind: int, bits: int, cut: int) -> np.ndarray:
     """The whole filter of a kind, which the caller has found small enough."""
     field = np.zeros(1 << bits - 3, np.uint8)
-    size = 1 << bits - SEGMENT_BITS - 3
+    size = 1 << bits - cut - 3
     for segment, part in fields.where(F.col("kind") == kind).select("segment", "field").toLocalIterator():
         field[segment * size : (segment + 1) * size] = np.frombuffer(part, np.uint8)
     return field
@@ -297,9 +309,12 @@ def tokens_of(texts: bytes, known: WordHashes) -> Tokens:
 def table_levels(batches: DataFrame, model: dict, kinds: list[int]) -> DataFrame:
     """Levels of the distinct n-grams of each batch, out of the filter's table: ``batch``, ``kind``, ``segment``, ``level``.
 
-    The levels of a segment stand in the order of its hashes.
+    The levels of a segment stand in the order of its hashes. Batches are dealt to slices, each of which asks a copy of
+    the segment, so that a task's share is bounded however many texts there are to be scored.
     """
-    bits, highest = model["bits"], model["highest"]
+    bits, highest, cut = model["bits"], model["highest"], model["cut"]
+    n = batches.count()
+    slices = max(math.ceil(n / BATCHES), math.ceil(n * (BATCH_BYTES // 2) / (GROUP << cut)), 1)
     types = [("batch", pa.int64()), ("kind", pa.int32()), ("segment", pa.int32()), ("level", pa.binary())]
     empty = pa.schema(types).empty_table()
 
@@ -309,38 +324,39 @@ def table_levels(batches: DataFrame, model: dict, kinds: list[int]) -> DataFrame
             for number, texts in zip(part.column(0).to_pylist(), part.column(1)):
                 tokens = tokens_of(texts.as_py(), known)
                 for kind in kinds:
-                    hashes = np.unique(tokens.hashes if kind == ONE else tokens.pairs())
-                    cuts = np.searchsorted(segments(hashes), np.arange((1 << SEGMENT_BITS) + 1))
-                    full, narrow = np.flatnonzero(np.diff(cuts)), narrowed(hashes, kind)
+                    hashes = np.unique(tokens.hashes if kind == ONE else tokens.pairs(cut))
+                    (full, places), narrow = runs(hashes, cut), narrowed(hashes, kind, cut)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(full), number, np.int64)),
                             pa.array(np.full(len(full), kind, np.int32)),
                             pa.array(full.astype(np.int32)),
-                            pa.array([narrow[cuts[i] : cuts[i + 1]].tobytes() for i in full], pa.binary()),
+                            pa.array([narrow[i].tobytes() for i in places], pa.binary()),
                         ],
                         names=["batch", "kind", "segment", "hashes"],
                     )
 
     def answer(key, asked, part):
-        kind, segment = (k.as_py() for k in key)
+        kind, segment, _ = (k.as_py() for k in key)
         if not asked.num_rows:
             return empty
         parts = asked.column("hashes").to_pylist()
-        hashes = widened(parts, kind, segment)
+        hashes = widened(parts, kind, segment, cut)
         level = np.zeros(len(hashes), np.uint8)
         if part.num_rows:
             field = np.frombuffer(part.column("field")[0].as_py(), np.uint8)
-            level = probe(field, hashes, bits[kind], highest[kind]).astype(np.uint8)
+            level = probe(field, hashes, bits[kind], cut, highest[kind]).astype(np.uint8)
         ends = np.cumsum([len(x) // (8 if kind == ONE else 4) for x in parts])[:-1]
         found = pa.array([x.tobytes() for x in np.split(level, ends)], pa.binary())
         return asked.set_column(3, "level", found).select(["batch", "kind", "segment", "level"])
 
     asked = batches.select("batch", "texts").mapInArrow(ask, "batch long, kind int, segment int, hashes binary")
+    asked = asked.withColumn("slice", F.pmod(F.xxhash64("batch"), F.lit(slices)).cast("int"))
     fields = model["fields"].where(F.col("kind").isin(kinds))
+    fields = fields.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     return (
-        asked.groupBy("kind", "segment")
-        .cogroup(fields.groupBy("kind", "segment"))
+        asked.groupBy("kind", "segment", "slice")
+        .cogroup(fields.groupBy("kind", "segment", "slice"))
         .applyInArrow(answer, "batch long, kind int, segment int, level binary")
     )
 
@@ -365,9 +381,9 @@ def score_batch(row: pa.Array, tokens: Tokens, m: dict, level_of) -> pa.RecordBa
     times = np.diff(np.concatenate([begin, [len(order)]]))
     each = np.bincount(tokens.owner[order[begin]], minlength=n)
     # the model
-    one = middle(level_of(ONE, distinct), LEAST[ONE])
+    one = middle(level_of(ONE, distinct))
     single = (one + 0.1) / m["mass"]
-    pairs = middle(level_of(TWO, tokens.pairs()), LEAST[TWO])
+    pairs = middle(level_of(TWO, tokens.pairs(m["cut"])))
     seen = np.concatenate([[0.0], one[back][:-1]])
     seen[tokens.first] = m["texts"]
     trust = MOST_TRUST * seen / (seen + PRIOR)
@@ -396,7 +412,7 @@ def score_rows(docs: DataFrame, keep: list[str], text: str, model: dict) -> Data
 
     def level(kind: int, hashes: np.ndarray) -> np.ndarray:
         m = sent.value
-        return probe(m["sent"][kind], hashes, m["bits"][kind], m["highest"][kind])
+        return probe(m["sent"][kind], hashes, m["bits"][kind], m["cut"], m["highest"][kind])
 
     def work(batches):
         known = WordHashes()
@@ -441,11 +457,13 @@ def train(
 
     The filter's size (log2 of the bits for tokens and for pairs) follows the counts unless it is given.
     """
-    merged = staged(merge_blocks(count_blocks(docs, text)), "n-gram-counts")
+    size, texts = docs.agg(F.sum(F.octet_length(F.col(text).cast("string"))), F.count(F.lit(1))).first()
+    cut = segment_bits_for(size or 0, texts)
+    merged = staged(merge_blocks(count_blocks(docs, text, cut), cut), "n-gram-counts")
     sums = {k: x for k, *x in merged.groupBy("kind").agg(F.sum("entries"), F.max("highest")).collect()}
     entries, highest = ({k: sums.get(k, (0, 0))[i] for k in (ONE, TWO)} for i in (0, 1))
-    bits = {ONE: one_bits or bits_for(entries[ONE]), TWO: two_bits or bits_for(entries[TWO])}
-    fields = staged(filter_table(merged, bits), "n-gram-filter")
+    bits = {ONE: one_bits or bits_for(entries[ONE], cut), TWO: two_bits or bits_for(entries[TWO], cut)}
+    fields = staged(filter_table(merged, bits, cut), "n-gram-filter")
     counts = (
         merged.where(F.col("kind") == ONE)
         .select(F.explode(F.arrays_zip("hashes", "counts")).alias("x"))
@@ -455,14 +473,16 @@ def train(
     total = total or 0
     model = {
         "fields": fields,
-        "sent": {k: gather_field(fields, k, bits[k]) for k in (ONE, TWO) if bits[k] <= most_bits},
+        "sent": {k: gather_field(fields, k, bits[k], cut) for k in (ONE, TWO) if bits[k] <= most_bits},
         "bits": bits,
+        "cut": cut,
+        "largest": merged.agg(F.max("received")).first()[0] or 0,
         "highest": highest,
         "entries": entries,
         "head": frequent(counts, head),
         "tokens": total,
         "mass": total + 0.1 * (distinct + 1),
-        "texts": docs.count(),
+        "texts": texts,
     }
     return model, counts
 

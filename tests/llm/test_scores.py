@@ -50,16 +50,17 @@ def test_filter_gives_counts_back():
     rng = np.random.default_rng(3)
     hashes = rng.integers(0, 2**64, 20_000, dtype=np.uint64)
     counts = np.minimum(rng.zipf(1.6, len(hashes)), 10**6)
-    bits, field = 20, np.zeros(1 << 17, np.uint8)
-    size = 1 << bits - lm.SEGMENT_BITS - 3
-    for s in range(1 << lm.SEGMENT_BITS):
-        mine = lm.segments(hashes) == s
-        field[s * size : (s + 1) * size] = np.frombuffer(lm.segment_of(hashes[mine], counts[mine], 1, bits), np.uint8)
-    want, got = lm.levels(counts, 1), lm.probe(field, hashes, bits)
+    bits, cut, field = 20, 12, np.zeros(1 << 17, np.uint8)
+    size = 1 << bits - cut - 3
+    for k in range(1 << cut):
+        mine = lm.segments(hashes, cut) == k
+        part = lm.field_of(hashes[mine], lm.levels(counts[mine]), bits - cut)
+        field[k * size : (k + 1) * size] = np.frombuffer(part, np.uint8)
+    want, got = lm.levels(counts), lm.probe(field, hashes, bits, cut)
     assert (got >= want).all() and (got > want).mean() < 0.1
     strange = rng.integers(0, 2**64, 20_000, dtype=np.uint64)
-    assert (lm.probe(field, strange, bits) > 0).mean() < 0.05
-    exact = lm.middle(lm.levels(np.arange(1, 1000), 1), 1)
+    assert (lm.probe(field, strange, bits, cut) > 0).mean() < 0.05
+    exact = lm.middle(lm.levels(np.arange(1, 1000)))
     assert (np.abs(exact - np.arange(1, 1000)) <= 0.25 * np.arange(1, 1000) + 0.01).all()
 
 
@@ -70,13 +71,64 @@ def test_filter_grows_with_its_entries_and_probing_ends():
         assert rate <= lm.FALSE_LEVEL and (bits == lm.LEAST_BITS or rate > lm.FALSE_LEVEL / 8)
     rng = np.random.default_rng(4)
     hashes = rng.integers(0, 2**64, 200_000, dtype=np.uint64)
-    bits = lm.bits_for(len(hashes))
-    own = hashes[lm.segments(hashes) == 7]
-    part = np.frombuffer(lm.segment_of(own, np.ones(len(own), int), 1, bits), np.uint8)
-    assert (lm.probe(part, own, bits, 1) == 1).all()  # a segment by itself
+    bits, cut = lm.bits_for(len(hashes)), 12
+    own = hashes[lm.segments(hashes, cut) == 7]
+    part = np.frombuffer(lm.field_of(own, np.ones(len(own), int), bits - cut), np.uint8)
+    assert (lm.probe(part, own, bits, cut, 1) == 1).all()  # a segment by itself
     full = np.full(1 << 17, 255, np.uint8)
-    assert (lm.probe(full, hashes[:10], 20, 5) == 5).all()
-    assert (lm.probe(full, hashes[:10], 20) == lm.MOST_LEVEL).all()
+    assert (lm.probe(full, hashes[:10], 20, cut, 5) == 5).all()
+    assert (lm.probe(full, hashes[:10], 20, cut) == lm.MOST_LEVEL).all()
+
+
+def test_stored_pairs_keep_their_segment():
+    hashes = np.random.default_rng(5).integers(0, 2**64, 5_000, dtype=np.uint64)
+    for cut in (6, 12, 20, 26):
+        pairs = np.unique(lm.coarse(hashes, cut))
+        full, places = lm.runs(pairs, cut)
+        narrow = lm.narrowed(pairs, lm.TWO, cut)
+        back = [lm.widened([narrow[i].tobytes()], lm.TWO, int(k), cut) for k, i in zip(full, places)]
+        assert (np.concatenate(back) == pairs).all()
+
+
+def test_segments_follow_the_input():
+    """What meets in a task stays below a stated size while the input grows."""
+    for size in (10**6, 10**9, 10**12, 10**14):
+        assert size / 2 / 2 ** lm.segment_bits_for(size, 0) <= lm.GROUP
+        assert lm.segment_bits_for(size, 0) <= 30
+
+
+def test_largest_group_is_bounded_while_input_grows_tenfold(spark, small, monkeypatch):
+    monkeypatch.setattr(lm, "GROUP", 2_000)
+    docs = small.select("text")
+    ten = docs.crossJoin(spark.range(10)).selectExpr("concat_ws(' ', text, id, 'w' || id) AS text")  # a fixture, no operator
+    one, _ = lm.train(docs)
+    more, _ = lm.train(ten)
+    assert more["cut"] > one["cut"]
+    assert one["largest"] <= 2 * lm.GROUP and more["largest"] <= 2 * lm.GROUP
+
+
+def test_scores_against_exact_counts(small):
+    """The model with exact counts of tokens and pairs: quantised ones stay near it, on held-out documents too."""
+    _, scored = trained(small.select("doc_id", "text"))
+    rows, train, pairs, texts = scored.collect(), Counter(), Counter(), 0
+    for r in rows:
+        if not r.row.held_out:
+            own = tokens(r.row.text)
+            train.update(own)
+            pairs.update(zip([b" ", *own], own))
+            texts += 1
+    mass = sum(train.values()) + 0.1 * (len(train) + 1)
+    errors = []
+    for r in rows:
+        exact = 0.0
+        own = tokens(r.row.text)
+        for left, right in zip([b" ", *own], own):
+            seen = texts if left == b" " else train[left]
+            trust = lm.MOST_TRUST * seen / (seen + lm.PRIOR)
+            p = trust * min(pairs[left, right] / max(seen, 1), 1) + (1 - trust) * (train[right] + 0.1) / mass
+            exact += math.log10(min(p, 1))
+        errors.append(abs(exact - r.score) / len(own))
+    assert sum(errors) / len(errors) < 0.03 and max(errors) < 0.3
 
 
 def test_filter_as_table_gives_the_same_scores(small, make):
