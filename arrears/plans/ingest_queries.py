@@ -44,6 +44,16 @@ def ingest_delimited(spark, folder):
     return raw.withColumn("archive", F.substring_index("archive", "/", -1))
 
 
+@query(
+    "ingest_large",
+    RAW_SQL + f"SELECT {', '.join(archives.DEBT_COLUMNS)}, archive, member FROM raw",
+)
+def ingest_large(spark, folder):
+    """The same rows where each member is inflated by one task and parsed, block by block, in many."""
+    raw, _ = archives.load_large_members(_members(spark, folder), block_bytes=1 << 14)
+    return raw.withColumn("archive", F.substring_index("archive", "/", -1))
+
+
 HARMONISED_SQL = (RAW_SQL
     + f"""SELECT {', '.join(archives.DEBT_COLUMNS)},
             CASE WHEN length(regexp_replace(CPF_CNPJ, '[-./]', '', 'g')) < 14 THEN lpad(regexp_replace(CPF_CNPJ, '[-./]', '', 'g'), 14, '0')

@@ -1,8 +1,10 @@
 """Delimited text inside zip archives.
 
-A zip member cannot be split, so the unit of work is one member: tasks get
+A zip member cannot be inflated in parts, so the unit of work is one member: tasks get
 paths only, open the archive where it lies and stream the member in chunks.
 What they return is an ordinary DataFrame to be written as Parquet at once.
+Large members are only inflated by one task, which cuts them at ends of records;
+the blocks are dealt to many tasks to be parsed.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import codecs
 import contextlib
 import io
+import re
 import zipfile
 import zlib
 from collections.abc import Iterator, Mapping, Sequence
@@ -40,6 +43,8 @@ DEBT_COLUMNS = (
 LINEAGE = ("FILE_NAME", "ANO", "TRIMESTRE", "ORIGEM")
 CHUNK_ROWS = 100_000
 WINDOW = 1 << 20
+LARGE = 256 << 20  # bytes, inflated, from which on a member is parsed by many tasks
+BLOCK = 8 << 20  # bytes of a block of such a member, but for longer records
 
 
 SHORTEST = 22  # bytes of an empty archive
@@ -210,6 +215,158 @@ def load_members(
     return rows.join(problems.select("archive", "member"), ["archive", "member"], "left_anti").select(*[f.name for f in fields]), problems
 
 
+def quoted_fields(sep: str) -> re.Pattern:
+    """Fields that begin with a quote, to its end or that of the text; quotes inside other fields mean nothing."""
+    return re.compile(rb'(?<![^\r\n%b])"[^"]*(?:""[^"]*)*"?' % re.escape(sep.encode()))
+
+
+def _is_closed(field: bytes) -> bool:
+    """Whether a match of ``quoted_fields`` ends with its closing quote."""
+    return len(field) > 1 and (len(field) - len(field.rstrip(b'"'))) % 2 == (0 if field.strip(b'"') == b"" else 1)
+
+
+def _line_end(data: bytes, begin: int, end: int, last: bool) -> int:
+    """Place behind the last (or first) line break between two places, -1 if there is none.
+
+    Carriage returns count only where no line feed is, and not as the very last byte, which may be half of a break.
+    """
+    find = data.rfind if last else data.find
+    if (at := find(b"\n", begin, end)) < 0:
+        at = find(b"\r", begin, min(end, len(data) - 1))
+    return at + 1 if at >= 0 else -1
+
+
+def record_end(data: bytes, fields: re.Pattern, last: bool = True) -> int:
+    """Place behind the last (or first) line break outside quotes of a text that begins with a record; -1 if none."""
+    if b'"' not in data:
+        return _line_end(data, 0, len(data), last)
+    gaps, begin = [], 0
+    for match in fields.finditer(data):
+        gaps.append((begin, match.start()))
+        begin = match.end()
+        if not last and (at := _line_end(data, *gaps[-1], last)) >= 0:
+            return at
+        if begin == len(data) and not _is_closed(match[0]):
+            break
+    else:
+        gaps.append((begin, len(data)))
+    for begin, end in reversed(gaps) if last else gaps:
+        if (at := _line_end(data, begin, end, last)) >= 0:
+            return at
+    return -1
+
+
+def record_blocks(raw: io.BufferedIOBase, size: int, sep: str) -> Iterator[bytes]:
+    """First the header (the first record), then blocks of whole records, of about ``size`` bytes or one record.
+
+    A buffer without an end of a record is looked at again when it has doubled, so long records take linear time.
+    """
+    fields, held, wanted, header = quoted_fields(sep), bytearray(), size, False
+    while piece := raw.read(WINDOW):
+        held += piece
+        if not header:
+            held = held.lstrip(b"\r\n")
+        if len(held) < wanted:
+            continue
+        data = bytes(held)
+        if not header and (at := record_end(data, fields, last=False)) >= 0:
+            yield data[:at]
+            data, header = data[at:], True
+        at = record_end(data, fields) if header else -1
+        if at >= 0:
+            yield data[:at]
+            data = data[at:]
+        held, wanted = bytearray(data), max(size, 2 * len(data))
+    data = bytes(held)
+    if not header:
+        at = record_end(data, fields, last=False)
+        at = at if at >= 0 else len(data)
+        yield data[:at]
+        data = data[at:]
+    if data:
+        yield data
+
+
+def load_large_members(
+    members: DataFrame, columns: Sequence[str] = DEBT_COLUMNS, sep: str = ";", block_bytes: int = BLOCK
+) -> tuple[DataFrame, DataFrame]:
+    """As ``load_members``, with the parsing of each member dealt to many tasks.
+
+    One task inflates a member, decides its encoding and cuts it behind records; it parses nothing. Blocks carry the
+    header and are read by themselves. What a row has beyond the header's fields is left out, wherever it stands.
+    ``rows_read`` counts the rows of a bad member's good blocks; none of them are kept.
+    """
+    wanted = list(columns)
+    options = store_options(members.sparkSession)
+    raw_schema = "archive string, member string, header binary, block bigint, body binary, utf8 boolean, problem string"
+    names = [x.split()[0] for x in raw_schema.split(", ")]
+
+    def inflate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def row(*values):
+            return pd.DataFrame([values], columns=names, dtype=object)
+
+        for batch in batches:
+            for path, member in zip(batch["archive"], batch["member"]):
+                decoder, utf8, problem = codecs.getincrementaldecoder("utf-8")(), True, None
+                try:
+                    with _open_archive(path, options) as archive, archive.open(member) as raw:
+                        header = None
+                        for number, body in enumerate(record_blocks(raw, block_bytes, sep)):
+                            if utf8:
+                                try:
+                                    decoder.decode(body)
+                                except UnicodeDecodeError:
+                                    utf8 = False
+                            if header is None:
+                                header = body
+                            yield row(path, member, header, number, b"" if number == 0 else body, None, None)
+                        if utf8:
+                            try:
+                                decoder.decode(b"", final=True)
+                            except UnicodeDecodeError:
+                                utf8 = False
+                except BAD as found:
+                    problem = _reason(found)
+                yield row(path, member, None, None, None, utf8, problem)
+
+    fields = [T.StructField(c, T.StringType()) for c in [*wanted, "archive", "member"]]
+    schema = T.StructType([*fields, T.StructField("rows_read", T.LongType()), T.StructField("problem", T.StringType())])
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, member, header, body, utf8 in batch[["archive", "member", "header", "body", "utf8"]].itertuples(index=False):
+                encoding = "utf-8" if utf8 else "latin1"
+                how = {"sep": sep, "dtype": str, "encoding": encoding}
+                try:
+                    width = len(pd.read_csv(io.BytesIO(header), nrows=0, **how).columns)
+                    blank = sep.join(['""'] * width).encode()  # a row that fixes the number of fields, so that none becomes an index
+                    text_ = header.rstrip(b"\r\n") + b"\n" + blank + b"\n" + body
+                    piece = pd.read_csv(io.BytesIO(text_), usecols=lambda c: _bare(c) in wanted, **how).iloc[1:]
+                    full = piece.rename(columns=_bare).reindex(columns=wanted)
+                    full = full.astype(object).where(full.notna(), None)
+                    yield full.assign(archive=path, member=member, rows_read=None, problem=None).astype(object)
+                except BAD as found:
+                    row = dict.fromkeys(wanted) | {"archive": path, "member": member, "problem": _reason(found)}
+                    yield pd.DataFrame([row], dtype=object).reindex(columns=schema.names).astype(object)
+
+    inflated = _one_task_each(members).mapInPandas(inflate, raw_schema)
+    spread = F.pmod(F.xxhash64("archive", "member", "block"), F.lit(members.sparkSession.sparkContext.defaultParallelism * 4))
+    blocks = stage(inflated.repartition(spread), "member-blocks")
+    verdicts = stage(blocks.filter("block IS NULL").select("archive", "member", "utf8", "problem"), "member-verdicts")
+    whole = verdicts.filter("problem IS NULL").select("archive", "member", "utf8")
+    bodies = blocks.filter("block IS NOT NULL").select("archive", "member", "header", "body")
+    read_ = stage(bodies.join(whole, ["archive", "member"]).mapInPandas(parse, schema), "blocks-read")
+    bad = read_.filter("problem IS NOT NULL").groupBy("archive", "member").agg(F.min("problem").alias("problem"))
+    rows = read_.filter("problem IS NULL").drop("rows_read", "problem")
+    counts = rows.join(bad, ["archive", "member"], "left_semi").groupBy("archive", "member").agg(F.count(F.lit(1)).alias("rows_read"))
+    parsed = bad.join(counts, ["archive", "member"], "left").select(
+        "archive", "member", F.coalesce("rows_read", F.lit(0)).alias("rows_read"), "problem"
+    )
+    broken = verdicts.filter("problem IS NOT NULL").select("archive", "member", F.lit(0).cast("long").alias("rows_read"), "problem")
+    kept = rows.join(bad.select("archive", "member"), ["archive", "member"], "left_anti")
+    return kept.select(*[f.name for f in fields]), stage(broken.unionByName(parsed), "member-problems")
+
+
 def read_members(
     members: DataFrame,
     columns: Sequence[str] = DEBT_COLUMNS,
@@ -226,20 +383,30 @@ def read_members(
     return rows
 
 
-def ingest(spark: SparkSession, folder: str, target: str, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
+def ingest(
+    spark: SparkSession, folder: str, target: str, chunk_rows: int = CHUNK_ROWS, large: int = LARGE
+) -> tuple[DataFrame, DataFrame]:
     """Archives to one table at ``target``, by year and quarter; returns the table read back, and the problems.
 
-    Problems are those of archives (no member) and of members.
+    Problems are those of archives (no member) and of members. Members of ``large`` bytes and more are parsed by many
+    tasks each.
     """
-    table, bad = tables_of(survey_members(spark, folder), chunk_rows)
+    table, bad = tables_of(survey_members(spark, folder), chunk_rows, large)
     write_parquet(table, target, ["ANO", "TRIMESTRE"])
     return spark.read.schema(table.schema).parquet(target).select(*table.columns), bad
 
 
-def tables_of(survey: DataFrame, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame]:
+def tables_of(survey: DataFrame, chunk_rows: int = CHUNK_ROWS, large: int = LARGE) -> tuple[DataFrame, DataFrame]:
     """The harmonised rows of surveyed members, and all problems (archive, member, rows_read, problem)."""
     survey = stage(survey, "archive-survey")
-    rows, problems = load_members(survey.filter(F.col("problem").isNull()), chunk_rows=chunk_rows)
+    good = survey.filter(F.col("problem").isNull())
+    big = good.filter(F.col("bytes") >= large)
+    if big.isEmpty():
+        rows, problems = load_members(good, chunk_rows=chunk_rows)
+    else:
+        rows, problems = load_large_members(big)
+        more, worse = load_members(good.filter(F.col("bytes") < large), chunk_rows=chunk_rows)
+        rows, problems = rows.unionByName(more), problems.unionByName(worse)
     bad = survey.filter(F.col("problem").isNotNull()).select("archive", "member", F.lit(0).cast("long").alias("rows_read"), "problem")
     return harmonise(rows), bad.unionByName(problems)
 
