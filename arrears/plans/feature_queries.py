@@ -8,6 +8,9 @@ from arrears.functions.labels import encode_label
 from arrears.operators import features
 from arrears.plans.model_table import LABELLED_SQL, REFERENCE_DAY, debts
 from arrears.plans.registry import query, table
+from arrears.session import fresh_path
+from arrears.sources import snapshots
+from arrears.sources.tables import stage
 
 
 @query(
@@ -78,6 +81,38 @@ def target_from_snapshots(spark, folder):
     return features.target_from_snapshots(first, later, "inscricao", "ajuizado").select("inscricao", "target")
 
 
+def _landed(spark, folder):
+    """The snapshots, landed quarter after quarter in a bucketed table."""
+    df = stage(_snapshots(spark, folder), "snapshots")
+    path, buckets = fresh_path(spark, "snapshots-by-debt"), snapshots.buckets_for(df.count(), 100_000)
+    name = path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+    for quarter in (1, 2, 3, 4):
+        landed = snapshots.land_snapshot(df.filter(F.col("tri") == quarter), name, path, "inscricao", "tri", buckets)
+    return landed
+
+
+@query(
+    "quarter_pair_bucketed",
+    f"""WITH {SNAPSHOTS_SQL} SELECT a.inscricao, a.valor, b.valor AS valor_4
+        FROM snapshots a LEFT JOIN snapshots b ON a.inscricao = b.inscricao AND b.tri = 4 WHERE a.tri = 1""",
+)
+def quarter_pair_bucketed(spark, folder):
+    df = _landed(spark, folder)
+    first, later = df.filter("tri = 1"), df.filter("tri = 4")
+    return features.pair_snapshots(first, later, "inscricao", ["valor"], "_4").select("inscricao", "valor", "valor_4")
+
+
+@query(
+    "target_bucketed",
+    f"""WITH {SNAPSHOTS_SQL} SELECT a.inscricao, b.ajuizado AS target
+        FROM snapshots a JOIN snapshots b ON a.inscricao = b.inscricao AND b.tri = 4 WHERE a.tri = 1 AND a.ajuizado <> 'SIM'""",
+)
+def target_bucketed(spark, folder):
+    df = _landed(spark, folder)
+    first, later = df.filter("tri = 1"), df.filter("tri = 4")
+    return features.target_from_snapshots(first, later, "inscricao", "ajuizado").select("inscricao", "target")
+
+
 @query(
     "value_bands",
     """SELECT (CASE WHEN o_totalprice >= 1000000 THEN 5 WHEN o_totalprice >= 100000 THEN 4 WHEN o_totalprice >= 10000 THEN 3
