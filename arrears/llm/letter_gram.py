@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrears.llm.common import map_text, mix, staged, texts_of
+from arrears.llm.common import WordHashes, map_text, mix, staged, texts_of
 from arrears.llm.crc_sql import crc32
 from arrears.llm.registry import query, table
 
@@ -243,10 +243,14 @@ def letter_groups(words: DataFrame) -> np.ndarray:
 
 
 def half_keys(words: DataFrame, groups: np.ndarray) -> DataFrame:
-    """Six rows for each word: ``key`` (hash of its letter counts in two groups), ``half``, ``size``, ``word``, ``n``."""
+    """Six rows for each word: ``key`` (hash of its letter counts in two groups), ``half``, ``size``, ``word``, ``n``.
+
+    A key may stand in several halves, which are different blocks.
+    """
 
     def work(batches):
-        weight = mix(np.arange(1, N_LETTERS + 1, dtype=np.uint64))
+        # no sums of ``mix``: it maps 4 * k nearly to 4 times what it maps k to
+        weight = WordHashes().of([bytes([k]) for k in range(N_LETTERS)])
         for batch in batches:
             block = Words([w.encode("latin-1") for w in batch.column(0).to_pylist()], np.empty(0))
             size = pa.array(block.size, pa.int32())
@@ -269,7 +273,7 @@ def half_keys(words: DataFrame, groups: np.ndarray) -> DataFrame:
 
 
 def dealt(keyed: DataFrame, tile: int) -> DataFrame:
-    """``block`` and ``guest`` of each word, sorted.
+    """``block`` and ``guest`` of each word in each half, sorted; words of one block and one half meet.
 
     A key with at most ``tile`` words is one block. A larger one is cut by length, and a length into tiles: a word is at
     home in its tile and a guest in the earlier tiles of its length and in all tiles of the next smaller length. The
@@ -300,7 +304,7 @@ def dealt(keyed: DataFrame, tile: int) -> DataFrame:
     )
     spread = marked.select("half", "word", "n", F.explode(F.when(F.col("hot"), places).otherwise(whole)).alias("p"))
     spread = spread.select(F.col("p.block").alias("block"), F.col("p.guest").alias("guest"), "half", "word", "n")
-    return spread.repartition("block").sortWithinPartitions("block", "guest")
+    return spread.repartition("block").sortWithinPartitions("block", "half", "guest")
 
 
 def compare(blocks: DataFrame, groups: np.ndarray) -> DataFrame:
@@ -325,9 +329,10 @@ def compare(blocks: DataFrame, groups: np.ndarray) -> DataFrame:
             guest = batch.column(1).to_numpy(zero_copy_only=False)
             halves = batch.column(2).to_numpy()
             words = Words([w.encode("latin-1") for w in batch.column(3).to_pylist()], batch.column(4).to_numpy())
-            cuts = np.flatnonzero((which[1:] != which[:-1]) | (guest[1:] != guest[:-1])) + 1
+            changed = (which[1:] != which[:-1]) | (halves[1:] != halves[:-1]) | (guest[1:] != guest[:-1])
+            cuts = np.flatnonzero(changed) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(words)]):
-                if which[a] != block:
+                if (which[a], halves[a]) != (block, half):
                     close()
                     block, home, half = which[a], None, int(halves[a])
                 part = words.part(a, b)

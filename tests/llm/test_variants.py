@@ -95,3 +95,15 @@ def test_gram_finds_every_edit():
     i, j = g.close_counts(a.counts, b.counts)
     assert {(x, 3 * x + e) for x in range(40) for e in range(3)} <= set(zip(i.tolist(), j.tolist()))
     assert g.edited(a, i, b, j).tolist() == [near(base[x], edits[y]) for x, y in zip(i, j)]
+
+
+@pytest.mark.parametrize("tile", [4096, 1])
+def test_halves_with_the_same_key(spark, tile):
+    """Blocks of different halves stay apart: each pair shows in its own half only."""
+    groups = np.zeros(g.N_LETTERS, np.int64)
+    for group, letters in enumerate(["eo", "rn", "lt", "iy"]):
+        groups[g.letters(letters.encode())] = group
+    rows = [(7, 3, "erererer"), (7, 3, "ererorer"), (7, 2, "nririin"), (7, 2, "nritiin")]
+    keyed = spark.createDataFrame([(k, h, len(w), w, 2) for k, h, w in rows], "key long, half byte, size int, word string, n long")
+    found = {(r.word, r.n_near, r.best) for r in g.compare(g.dealt(keyed, tile), groups).collect()}
+    assert found == {(a, 1, b) for x, y in ((0, 1), (2, 3)) for a, b in ((rows[x][2], rows[y][2]), (rows[y][2], rows[x][2]))}
