@@ -202,6 +202,25 @@ def test_first_trees_are_a_model_of_their_own(spark, kind):
         tree.prefix_scores(model, df, [7])
 
 
+def test_tops_of_a_forest_are_shallower_forests(spark, monkeypatch):
+    """One deep fit answers for all depths: scores as those of forests fitted to each depth."""
+    df = separable(spark, 400).select("label", "features").persist()
+    deep = train.random_forest(8, 8).fit(df)
+    got = {}
+    for r in tree.prefix_scores(deep, df, [8, 3, 8], [2, 5, 8]).collect():
+        got.setdefault(r.model, []).append((r.label, round(r.score, 9)))
+    for k, (n, depth) in enumerate([(8, 2), (3, 5), (8, 8)]):
+        trees = train.random_forest(8, depth).fit(df).trees[:n]
+        want = [(r.label, round(float(sum(t.predictProbability(r.features)[1] for t in trees) / n), 9)) for r in df.collect()]
+        assert sorted(got[k]) == sorted(want)
+    made = []
+    monkeypatch.setattr(train.Forest, "make", staticmethod(lambda **p: made.append(p) or train.random_forest(**p)))
+    train.Forest({"n_estimators": [2, 4], "max_depth": [2, 3]}).scores(df, df, train.auc_scorer())
+    assert made == [{"n_estimators": 4, "max_depth": 3}]
+    with pytest.raises(ValueError):
+        tree.prefix_scores(train.gradient_boosting(2, max_depth=2).fit(df), df, [2], [1])
+
+
 def test_logistic_models_side_by_side_equal_single_fits(spark):
     """Sparse and dense vectors, L1 and L2, with and without a fold left out."""
     draw = np.random.default_rng(4)
