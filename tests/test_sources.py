@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import io
+import time
 import zipfile
 
 import pytest
@@ -81,6 +82,24 @@ def test_problems_are_rows_and_half_read_members_vanish(spark, landing, tmp_path
     assert table.filter("ANO = '2023'").count() == 2501
 
 
+def test_small_lots_do_not_make_small_frames(spark, tmp_path):
+    """Rows are counted by lots of any size, and lots of one row do not slow the reading of good members."""
+    head, lines = "CPF_CNPJ;TIPO_PESSOA\n", [f"{i};J\n" for i in range(30_000)]
+    readable = 15_700
+    half = "".join([head, *lines[:readable], '1;"J\n', *lines])  # a quote stays open
+    put(tmp_path / "2021T1_c_FGTS.zip", {"good.csv": "".join([head, *lines]), "half.csv": half})
+    members = archives.list_members(spark, str(tmp_path))
+    seconds = {}
+    for lot in (100_000, 15_000, 7_000, 1):
+        start = time.perf_counter()
+        rows, problems = archives.load_members(members, chunk_rows=lot)
+        assert rows.count() == 30_000
+        seconds[lot] = time.perf_counter() - start
+        found = [(r["member"], r["rows_read"], r["problem"]) for r in problems.collect()]
+        assert found == [("half.csv", readable // lot * lot, "parse")]
+    assert seconds[1] < 3 * seconds[7_000] + 8
+
+
 def test_a_storage_fault_fails_the_job(spark, landing, tmp_path):
     members = archives.list_members(spark, landing)
     gone = members.withColumn("archive", F.concat("archive", F.lit(".gone")))
