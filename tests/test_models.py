@@ -9,6 +9,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
+from arrears.sources import tables
 from arrears.operators import evaluate, logistic_grid, neighbours, prepare, runs, smote, train, tree
 from arrears.operators.sampling import stratified_folds
 
@@ -202,6 +203,33 @@ def test_first_trees_are_a_model_of_their_own(spark, kind):
         tree.prefix_scores(model, df, [7])
 
 
+def test_equal_rows_are_fitted_as_one(spark, monkeypatch):
+    """The tree of rows with numbers is that of all rows, and a grid fits no row twice."""
+    df = separable(spark, 200).select("label", "features")
+    df = df.unionByName(df.filter("label = 1.0")).unionByName(df).persist()
+    weighted = train.copies(df)
+    rows, distinct = df.count(), df.distinct().count()
+    assert weighted.count() == distinct < rows and weighted.agg(F.sum("weight")).first()[0] == rows
+    for leaf_size, split in ((1, 2), (7, 30)):
+        point = {"max_depth": 6, "min_samples_leaf": leaf_size, "min_samples_split": split}
+        one = train.Tree({k: [v] for k, v in point.items()}).fit(df, point)
+        want = tree.collapse(train.decision_tree(6, leaf_size).fit(df), split)
+        pairs = zip(one.transform(df).collect(), want.transform(df).collect())
+        assert all(np.allclose(a.probability.toArray(), b.probability.toArray()) for a, b in pairs)
+    fitted, grow = [], train.Tree._grow
+    monkeypatch.setattr(train.Tree, "_grow", lambda self, part, *how: fitted.append(part.count()) or grow(self, part, *how))
+    train.Tree({"max_depth": [3], "min_samples_leaf": [1, 5], "min_samples_split": [2]}).scores(df, df, train.f1_scorer())
+    assert fitted == [distinct, distinct]
+
+
+def test_no_task_holds_too_many_rows(spark, monkeypatch):
+    df = spark.range(1000).coalesce(1)
+    assert tables.bounded(df, ["id"]).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(tables, "MOST_ROWS", 100)
+    dealt = tables.bounded(df, ["id"])
+    assert dealt.rdd.getNumPartitions() == 10 and dealt.count() == 1000
+
+
 def test_tops_of_a_forest_are_shallower_forests(spark, monkeypatch):
     """One deep fit answers for all depths: scores as those of forests fitted to each depth."""
     df = separable(spark, 400).select("label", "features").persist()
