@@ -222,6 +222,29 @@ def test_equal_rows_are_fitted_as_one(spark, monkeypatch):
     assert fitted == [distinct, distinct]
 
 
+def test_logistic_grid_counts_equal_rows(spark, monkeypatch):
+    """Weighted blocks give the models, figures and sizes of all rows, by counts and by ranks, and hold no row twice."""
+    df = separable(spark, 200).select("label", "features")
+    df = df.unionByName(df.filter("label = 1.0")).unionByName(df)
+    df = df.withColumn("fold", F.pmod(F.hash("features"), F.lit(2))).persist()
+    packed, seen = logistic_grid.packed, []
+
+    def watched(part, *how):
+        found = packed(part, *how)
+        seen.append((found[0].agg(F.sum("n")).first()[0], found[2]))
+        return found
+
+    monkeypatch.setattr(logistic_grid, "packed", watched)
+    for scorer in (train.f1_scorer(), train.auc_scorer()):
+        got, _ = train.logistic_scores(df, [{"C": 1.0}, {"C": 0.01, "penalty": "l1"}], [0, 1], scorer, "fold")
+        with monkeypatch.context() as plain:
+            plain.setattr(train, "copies", lambda part, *by: part.withColumn("weight", F.lit(1.0)))
+            want, _ = train.logistic_scores(df, [{"C": 1.0}, {"C": 0.01, "penalty": "l1"}], [0, 1], scorer, "fold")
+        assert np.allclose(got, want, atol=1e-6)
+    assert [n for n, _ in seen] == [df.distinct().count(), df.count()] * 2
+    assert all(sizes == seen[0][1] and sum(sizes.values()) == df.count() for _, sizes in seen)
+
+
 def test_no_task_holds_too_many_rows(spark, monkeypatch):
     df = spark.range(1000).coalesce(1)
     assert tables.bounded(df, ["id"]).rdd.getNumPartitions() == 1
