@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -338,6 +339,34 @@ def test_families_share_the_preparation_of_a_fold(spark):
     assert set(sizes) == {2, 4}
 
 
+def test_families_run_side_by_side_on_rows_in_order(spark):
+    """Both families of a fold are at work at once, and like rows stand together in what they are fitted on."""
+    draw = random.Random(8)
+    rows = [(i, float(i % 2), draw.random(), draw.choice("abcdef")) for i in range(400)]
+    folded = stratified_folds(spark.createDataFrame(rows, "id bigint, label double, x double, c string"), "label", ["id"], 2)
+    both, runs_of_slots = threading.Barrier(2, timeout=60), []
+
+    class Stub:
+        points = [{}]
+
+        def __init__(self, name):
+            self.name = name
+
+        def scores(self, fit_part, held, scorer):
+            both.wait()
+            for part in fit_part.rdd.map(lambda r: tuple(r["features"].indices.tolist())).glom().collect():
+                runs_of_slots.append((sum(a != b for a, b in zip(part, part[1:])), len(set(part)) - 1))
+            return [1.0], [0.0]
+
+        def fit(self, df, point):
+            return train.logistic(df.count()).fit(df)
+
+    steps = prepare.feature_preparation(["x"], ["c"], impute=True)
+    train.search_families(folded, [Stub("one"), Stub("two")], 2, preparation=steps)
+    assert any(kinds > 0 for _, kinds in runs_of_slots)
+    assert all(changes == max(kinds, 0) for changes, kinds in runs_of_slots)
+
+
 # --- neighbours and synthetic rows ------------------------------------------
 
 
