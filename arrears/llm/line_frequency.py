@@ -234,10 +234,12 @@ def clean(
     plain = rows.select("id", "mark", row[text].alias("text"), row[host].alias("host"))
     judged = judge(plain, ["id", "mark"], "id", "text", "host", **options).where("kept")
     mild = judged.groupBy("row.id", "row.mark").agg(F.min_by("dropped", F.size("dropped")).alias("dropped"))
-    rows = with_verdicts(rows, mild).select(row, row[text].alias("t"), row[host].alias("h"), "dropped")
+    rest = [c for c in docs.columns if c not in (text, chars)]  # the text crosses to the tasks' Python once, not in its row too
+    held = F.struct(*[row[c].alias(c) for c in rest]).alias("held")
+    rows = with_verdicts(rows, mild).select(held, row[text].alias("t"), row[host].alias("h"), "dropped")
     cleaned = without_lines(rows, "t", "h", "dropped")
     new = {text: F.col("t"), chars: F.length("t").cast("long")}
-    return cleaned.select(*[new.get(c, row[c]).alias(c) for c in docs.columns])
+    return cleaned.select(*[new[c].alias(c) if c in new else F.col("held")[c].alias(c) for c in docs.columns])
 
 
 WORDS = r"[^\x20\x09-\x0D]+"

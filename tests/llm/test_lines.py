@@ -105,3 +105,16 @@ def test_edge_cases(make):
     assert {r.row.doc_id: r.kept for r in got} == {1: False, 2: False, 3: True, None: True}
     assert q.clean(docs).columns == docs.columns
     assert q.judge(make().limit(0), ["doc_id"]).collect() == []
+
+
+def test_texts_are_neither_sorted_nor_handed_over_twice(make, monkeypatch):
+    """What goes to Python holds the text once, and the join before it sorts no texts."""
+    docs = make(*[(k, body(k), "a") for k in range(9)])
+    given = []
+    plain = q.without_lines
+    monkeypatch.setattr(q, "without_lines", lambda df, *names: given.append(df) or plain(df, *names))
+    assert q.clean(docs).columns == docs.columns
+    (df,) = given
+    assert "text" not in df.schema["held"].dataType.names and [f.name for f in df.schema] == ["held", "t", "h", "dropped"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan
