@@ -21,6 +21,8 @@ PLAIN = bytes(
 
 #: A batch given to an operator's function holds at most so many bytes of text, or one row.
 BATCH_BYTES = 2 << 20
+#: Rows of numbers that one file of a staged table holds, where a bound of its rows is known.
+FILE_ROWS = 1 << 17
 
 
 def plain_words(text: bytes) -> list[bytes]:
@@ -116,9 +118,15 @@ def with_verdicts(rows: DataFrame, verdicts: DataFrame) -> DataFrame:
     return rows.join(right, rows["id"].eqNullSafe(right["id "]) & (rows["mark"] == right["mark "])).drop("id ", "mark ")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write below ``spark.checkpoint.dir`` and read back: cuts the lineage, survives lost executors."""
+def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write below ``spark.checkpoint.dir`` and read back: cuts the lineage, survives lost executors.
+
+    ``rows`` bounds the rows of a table of a few numbers: it then gets a file for each ``FILE_ROWS`` of them, at least
+    one for each core, however many partitions made it. Each file costs processes and requests, whatever it holds.
+    """
     path = fresh_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

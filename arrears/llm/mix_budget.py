@@ -129,8 +129,8 @@ def mix(
         F.coalesce(F.regexp_count(F.col(text).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("n_tokens"),
     )
     read = staged(read.withColumn("owner", F.monotonically_increasing_id()), "mix-documents")
-    light = read.select("owner", "id", "a", "b", "c", "n_tokens")
-    leaves = staged(light.groupBy("a", "b", "c").agg(F.sum("n_tokens").alias("tokens")), "mix-leaves")
+    light, rows = read.select("owner", "id", "a", "b", "c", "n_tokens"), read.count()
+    leaves = staged(light.groupBy("a", "b", "c").agg(F.sum("n_tokens").alias("tokens")), "mix-leaves", rows)
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
     shared = budgets(leaves, total * share[0] // share[1], weights, epochs)
     plan = staged(
@@ -139,6 +139,7 @@ def mix(
             F.expr("given div tokens").alias("whole"), F.expr("given % tokens").alias("rest"),
         ),
         "mix-budgets",
+        rows,
     )
     digest = F.md5(F.concat_ws(":", F.lit(seed), F.col("whole") + 1, "id"))
     placed = (
@@ -147,13 +148,14 @@ def mix(
         .withColumn("digest", digest)
         .withColumn("range", F.substring("digest", 1, RANGE_DIGITS))
     )
-    placed = staged(placed, "mix-places")
+    placed = staged(placed, "mix-places", rows)
     leaf = Window.partitionBy("a", "b", "c").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = staged(
         placed.groupBy("a", "b", "c", "range")
         .agg(F.sum("n_tokens").alias("held"))
         .withColumn("start", F.coalesce(F.sum("held").over(leaf), F.lit(0))),
         "mix-ranges",
+        rows,
     )
     located = placed.join(ranges, ["a", "b", "c", "range"])
     inner = Window.partitionBy("a", "b", "c", "range").orderBy("digest", "id", "n_tokens")

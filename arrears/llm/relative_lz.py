@@ -216,7 +216,7 @@ def duplicate_spans(
     read = staged(digests(docs, key, text, window, width), "anchors").where(
         F.col("id").isNotNull() & (F.col("n_words") >= window)
     )
-    first = staged(read.groupBy("sha").agg(F.min("id").alias("first")), "first-copies")
+    first = staged(read.groupBy("sha").agg(F.min("id").alias("first")), "first-copies", read.count())
     seen = read.join(first, "sha")
     copies = seen.where(F.col("id") > F.col("first")).select("id", "mark").distinct()
     entries = (
@@ -235,6 +235,7 @@ def duplicate_spans(
         .where(F.col("block.id") != F.col("last"))
         .select("gram", "block"),
         "reference-blocks",
+        entries.count(),
     )
     blocks = (
         entries.join(index, "gram")
@@ -262,6 +263,7 @@ def duplicate_spans(
         .where(F.col("holder") < F.col("last"))
         .select("win", "holder"),
         "window-holders",
+        parsed.agg(F.sum(F.size("at"))).first()[0] or 0,
     )
     checked = (
         open_.join(holders, "win")

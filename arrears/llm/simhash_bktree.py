@@ -235,7 +235,7 @@ def components(pairs: DataFrame, name: str = "components") -> DataFrame:
     )
     labels = staged(edges.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("node"), F.least("a", "m").alias("part")
-    ), f"{name}-labels")
+    ), f"{name}-labels", rows := edges.count())
     while True:
         near = (
             edges.join(labels, edges.b == labels.node)
@@ -246,10 +246,10 @@ def components(pairs: DataFrame, name: str = "components") -> DataFrame:
         hooked = labels.join(near, "node").select(
             "node", F.col("part").alias("old"), F.least("part", "m").alias("part")
         )
-        hooked = staged(hooked, f"{name}-hooked")
+        hooked = staged(hooked, f"{name}-hooked", rows)
         of = hooked.select(F.col("node").alias("part"), F.col("part").alias("next"))
         jumped = hooked.join(of, "part").select("node", "old", F.col("next").alias("part"))
-        after = staged(jumped, f"{name}-labels")
+        after = staged(jumped, f"{name}-labels", rows)
         if not after.where("old != part").limit(1).count():
             return after.select("node", "part")
         labels = after.select("node", "part")
@@ -269,7 +269,7 @@ def near_duplicates(
         fingerprints(docs, keep, text).withColumn("owner", F.monotonically_increasing_id()), "fingerprints"
     )
     best = F.struct(F.col(f"row.{key}").isNull().alias("none"), F.col(f"row.{key}").alias("id"), "owner")
-    distinct = staged(marked.groupBy("fp").agg(F.min(best).alias("best")), "distinct-fingerprints")
+    distinct = staged(marked.groupBy("fp").agg(F.min(best).alias("best")), "distinct-fingerprints", marked.count())
     parts = components(links(distinct.select("fp"), radius))
     placed = distinct.join(parts, distinct.fp == parts.node, "left").select(
         "fp", "best", F.coalesce("part", "fp").alias("part")

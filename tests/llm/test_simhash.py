@@ -119,3 +119,28 @@ def test_hot_shards_lose_no_link(spark):
 def test_long_chain(spark):
     pairs = spark.createDataFrame([(k + 1, k) for k in range(60)], "a long, b long")
     assert {r.part for r in s.components(pairs).collect()} == {0}
+
+
+def test_small_tables_are_few_files(spark, small, monkeypatch):
+    """However many partitions make them: a file is written by processes and requests of its own."""
+    written, plain = {}, s.staged
+
+    def staged(df, name, *more):
+        out = plain(df, name, *more)
+        written[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(s, "staged", staged)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "41")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = s.near_duplicates(small, ["doc_id"]).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.row.doc_id: (r.fingerprint, r.component_id) for r in got} == brute(
+        [(r.doc_id, r.text) for r in small.select("doc_id", "text").collect()]
+    )
+    few = ("distinct-fingerprints", "components-labels", "components-hooked")
+    assert all(written[name] <= spark.sparkContext.defaultParallelism for name in few), written
