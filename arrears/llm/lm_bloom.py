@@ -4,13 +4,16 @@ Tokens and pairs of tokens of the training texts are counted (blocks of hashes a
 quantised on a logarithmic scale, and an n-gram of level q enters the filter q times, once for each level up to its
 own. A count is read back by probing levels 1, 2, ... until one is missing. The filter is a table of segments, each
 made out of its counted n-grams. Its size follows their number and levels, so that the rate of false levels stays
-below ``FALSE_LEVEL`` for any input. Up to ``MOST_BITS`` it is broadcast; a larger one stays a table, and the n-grams of
-each batch of texts are sent to its segments. The number of segments follows the bytes of the training texts, so that
+below ``FALSE_LEVEL`` for any input. Only a tiny one (``MOST_BITS``) is broadcast, since a broadcast filter passes whole
+through the driver; any other stays a table, and the n-grams of each batch of texts are sent to its segments. The number of segments follows the bytes of the training texts, so that
 what meets in one task to be counted, entered or probed stays at about ``GROUP`` n-grams while the corpus grows; an
 n-gram that stands everywhere adds one entry for each ``FLUSH`` tokens.
 
 Probabilities are those of pairs, smoothed with those of single tokens. The plain base score needs exact counts:
-those of the most frequent tokens (at most ``HEAD``) are broadcast, all others are joined.
+those of the most frequent tokens (at most ``HEAD``) are broadcast, and give their levels too; all others are answered
+with the levels by the tokens' segments, once for a batch, or joined where the whole filter is broadcast.
+
+Ascending hashes are sent and stored as differences, byte by byte of equal weight (``folded``): about a quarter less.
 """
 
 from __future__ import annotations
@@ -31,11 +34,12 @@ from arrears.llm.registry import query, table
 LEAST_SEGMENT_BITS = 6  # log2 of the smallest number of segments
 GROUP = 1 << 20  # counted n-grams that a segment receives at most on average
 BATCHES = 1 << 20  # batches of texts whose n-grams are probed together
-LEAST_BITS, MOST_BITS = 20, 28  # log2 of the bits of the smallest filter, and of the largest that is broadcast
+LEAST_BITS, MOST_BITS = 20, 22  # log2 of the bits of the smallest filter, and of the largest that is broadcast
 FALSE_LEVEL = 0.02  # share of levels that may be read though they are not in the filter
 PROBES = 3
 MOST_LEVEL = 109  # of the largest 64-bit count
 STEP = 1.5  # ratio of counts from level to level
+TEXT_LEVEL = 6  # of zstd, for texts that are written and shuffled
 FLUSH = 1_500_000  # tokens counted together in a task
 HEAD = 1 << 18
 MOST_TRUST, PRIOR = 0.4, 20.0  # weight of pairs, and the count of the left token at which it is half of that
@@ -130,6 +134,26 @@ def widened(parts: list[bytes], kind: int, segment: int, cut: int) -> np.ndarray
     return (np.uint64(segment) << np.uint64(64 - cut)) | (narrow << np.uint64(32 - cut))
 
 
+def planes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then their second ones and so on: high bytes that are zero take no room."""
+    return values.view(np.uint8).reshape(len(values), -1 if len(values) else values.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+
+
+def folded(ascending: np.ndarray) -> bytes:
+    """Stored hashes of one segment as differences."""
+    return planes(np.diff(ascending, prepend=ascending.dtype.type(0)))
+
+
+def unfolded(data: bytes, kind: int) -> np.ndarray:
+    number = np.uint64 if kind == ONE else np.uint32
+    return np.cumsum(from_planes(data, number), dtype=number)
+
+
 def runs(hashes: np.ndarray, cut: int) -> tuple[np.ndarray, list[slice]]:
     """The segments that ascending hashes fall into, and where the hashes of each stand."""
     full, begin = np.unique(segments(hashes, cut), return_index=True)
@@ -166,7 +190,7 @@ def count_blocks(docs: DataFrame, text: str, cut: int) -> DataFrame:
             [
                 pa.array(np.full(len(full), kind, np.int32)),
                 pa.array(full.astype(np.int32)),
-                pa.array([narrow[i].tobytes() for i in places], pa.binary()),
+                pa.array([folded(narrow[i]) for i in places], pa.binary()),
                 pa.array([counts[i].tobytes() for i in places], pa.binary()),
             ],
             names=["kind", "segment", "hashes", "counts"],
@@ -199,7 +223,7 @@ def merge_blocks(blocks: DataFrame, cut: int) -> DataFrame:
 
     def work(key, part):
         kind, segment = (k.as_py() for k in key)
-        hashes = widened(part.column("hashes").to_pylist(), kind, segment, cut)
+        hashes = widened([unfolded(x, kind) for x in part.column("hashes").to_pylist()], kind, segment, cut)
         received = len(hashes)
         counts = np.concatenate([np.frombuffer(x, np.int32) for x in part.column("counts").to_pylist()])
         order = np.argsort(hashes)
@@ -215,7 +239,8 @@ def merge_blocks(blocks: DataFrame, cut: int) -> DataFrame:
                 "hashes": lists(exact[0], [len(exact[0])], pa.int64()),
                 "counts": lists(exact[1], [len(exact[1])], pa.int64()),
                 "received": pa.array([received], pa.int64()),
-                "narrow": pa.array([narrowed(hashes, kind, cut).tobytes()], pa.binary()),
+                "narrow": pa.array([folded(narrowed(hashes, kind, cut))], pa.binary()),
+                "exact": pa.array([planes(exact[1])], pa.binary()),
                 "level": pa.array([level.astype(np.uint8).tobytes()], pa.binary()),
                 "entries": pa.array([level.sum()], pa.int64()),
                 "highest": pa.array([level.max()], pa.int32()),
@@ -224,28 +249,32 @@ def merge_blocks(blocks: DataFrame, cut: int) -> DataFrame:
 
     return blocks.groupBy("kind", "segment").applyInArrow(
         work,
-        "kind int, segment int, hashes array<long>, counts array<long>, received long, narrow binary, level binary, "
-        "entries long, highest int",
+        "kind int, segment int, hashes array<long>, counts array<long>, received long, narrow binary, exact binary, "
+        "level binary, entries long, highest int",
     )
 
 
 def filter_table(merged: DataFrame, bits: dict[int, int], cut: int) -> DataFrame:
-    """The filter: ``kind``, ``segment``, ``field``."""
+    """The filter: ``kind``, ``segment``, ``field``, and beside it the ``tokens`` of a segment with their ``exact`` counts."""
 
     def work(key, part):
         kind, segment = (k.as_py() for k in key)
-        hashes = widened(part.column("narrow").to_pylist(), kind, segment, cut)
+        narrow = part.column("narrow").to_pylist()
+        hashes = widened([unfolded(x, kind) for x in narrow], kind, segment, cut)
         level = np.concatenate([np.frombuffer(x, np.uint8) for x in part.column("level").to_pylist()])
         return pa.table(
             {
                 "kind": pa.array([kind], pa.int32()),
                 "segment": pa.array([segment], pa.int32()),
                 "field": pa.array([field_of(hashes, level, bits[kind] - cut)], pa.binary()),
+                "tokens": pa.array([narrow[0] if kind == ONE else b""], pa.binary()),
+                "exact": part.column("exact"),
             }
         )
 
-    rows = merged.select("kind", "segment", "narrow", "level")
-    return rows.groupBy("kind", "segment").applyInArrow(work, "kind int, segment int, field binary")
+    rows = merged.select("kind", "segment", "narrow", "level", "exact")  # one row for each segment
+    schema = "kind int, segment int, field binary, tokens binary, exact binary"
+    return rows.groupBy("kind", "segment").applyInArrow(work, schema)
 
 
 def gather_field(fields: DataFrame, kind: int, bits: int, cut: int) -> np.ndarray:
@@ -280,7 +309,8 @@ def batched(rows: DataFrame) -> DataFrame:
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts, sink = batch.select(["text"]), pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, texts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=TEXT_LEVEL))
+            with pa.ipc.new_stream(sink, texts.schema, options=options) as out:
                 out.write_batch(texts)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -306,16 +336,28 @@ def tokens_of(texts: bytes, known: WordHashes) -> Tokens:
     return Tokens(texts_of(pa.ipc.open_stream(texts).read_all().column("text").combine_chunks()), known)
 
 
-def table_levels(batches: DataFrame, model: dict, kinds: list[int]) -> DataFrame:
-    """Levels of the distinct n-grams of each batch, out of the filter's table: ``batch``, ``kind``, ``segment``, ``level``.
+def in_head(head: tuple[np.ndarray, np.ndarray], distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens are among the frequent ones, and their counts (0 for others)."""
+    hashes, counts = head
+    if not len(hashes):
+        return np.zeros(len(distinct), bool), np.zeros(len(distinct), np.int64)
+    place = np.minimum(np.searchsorted(hashes, distinct), len(hashes) - 1)
+    held = hashes[place] == distinct
+    return held, np.where(held, counts[place], 0)
+
 
-    The levels of a segment stand in the order of its hashes. Batches are dealt to slices, each of which asks a copy of
+def table_levels(batches: DataFrame, model: dict, kinds: list[int], sent) -> DataFrame:
+    """Levels and exact counts of the distinct n-grams of each batch: ``batch``, ``kind``, ``segment``, ``level``, ``exact``.
+
+    Levels come out of the filter's table for the given kinds; counts are those of tokens, of which only those that are
+    not frequent are sent. The figures of a segment stand in the order of its hashes. Batches are dealt to slices, each of which asks a copy of
     the segment, so that a task's share is bounded however many texts there are to be scored.
     """
     bits, highest, cut = model["bits"], model["highest"], model["cut"]
     n = batches.count()
     slices = max(math.ceil(n / BATCHES), math.ceil(n * (BATCH_BYTES // 2) / (GROUP << cut)), 1)
-    types = [("batch", pa.int64()), ("kind", pa.int32()), ("segment", pa.int32()), ("level", pa.binary())]
+    types = [("batch", pa.int64()), ("kind", pa.int32()), ("segment", pa.int32())]
+    types += [("level", pa.binary()), ("exact", pa.binary())]
     empty = pa.schema(types).empty_table()
 
     def ask(parts):
@@ -323,15 +365,18 @@ def table_levels(batches: DataFrame, model: dict, kinds: list[int]) -> DataFrame
         for part in parts:
             for number, texts in zip(part.column(0).to_pylist(), part.column(1)):
                 tokens = tokens_of(texts.as_py(), known)
-                for kind in kinds:
-                    hashes = np.unique(tokens.hashes if kind == ONE else tokens.pairs(cut))
+                for kind in (ONE, TWO):
+                    own = tokens.hashes if kind == ONE else tokens.pairs(cut) if kind in kinds else tokens.hashes[:0]
+                    hashes = np.unique(own)
+                    if kind == ONE:
+                        hashes = hashes[~in_head(sent.value["head"], hashes)[0]]
                     (full, places), narrow = runs(hashes, cut), narrowed(hashes, kind, cut)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(full), number, np.int64)),
                             pa.array(np.full(len(full), kind, np.int32)),
                             pa.array(full.astype(np.int32)),
-                            pa.array([narrow[i].tobytes() for i in places], pa.binary()),
+                            pa.array([folded(narrow[i]) for i in places], pa.binary()),
                         ],
                         names=["batch", "kind", "segment", "hashes"],
                     )
@@ -340,40 +385,55 @@ def table_levels(batches: DataFrame, model: dict, kinds: list[int]) -> DataFrame
         kind, segment, _ = (k.as_py() for k in key)
         if not asked.num_rows:
             return empty
-        parts = asked.column("hashes").to_pylist()
+        parts = [unfolded(x, kind) for x in asked.column("hashes").to_pylist()]
         hashes = widened(parts, kind, segment, cut)
-        level = np.zeros(len(hashes), np.uint8)
-        if part.num_rows:
+        level = np.zeros(len(hashes) if kind in kinds else 0, np.uint8)
+        exact = np.zeros(len(hashes) if kind == ONE else 0, np.int64)
+        if part.num_rows and kind == ONE:
+            tokens = unfolded(part.column("tokens")[0].as_py(), ONE), from_planes(part.column("exact")[0].as_py(), np.int64)
+            exact = in_head(tokens, hashes)[1]
+        if part.num_rows and kind in kinds:
             field = np.frombuffer(part.column("field")[0].as_py(), np.uint8)
             level = probe(field, hashes, bits[kind], cut, highest[kind]).astype(np.uint8)
-        ends = np.cumsum([len(x) // (8 if kind == ONE else 4) for x in parts])[:-1]
-        found = pa.array([x.tobytes() for x in np.split(level, ends)], pa.binary())
-        return asked.set_column(3, "level", found).select(["batch", "kind", "segment", "level"])
+        ends = np.cumsum([len(x) for x in parts])[:-1]
+        return pa.table(
+            {
+                **{x: asked.column(x) for x in ("batch", "kind", "segment")},
+                "level": pa.array([x.tobytes() for x in np.split(level, ends)] if len(level) else [b""] * len(parts), pa.binary()),
+                "exact": pa.array([planes(x) for x in np.split(exact, ends)] if len(exact) else [b""] * len(parts), pa.binary()),
+            }
+        )
 
     asked = batches.select("batch", "texts").mapInArrow(ask, "batch long, kind int, segment int, hashes binary")
     asked = asked.withColumn("slice", F.pmod(F.xxhash64("batch"), F.lit(slices)).cast("int"))
-    fields = model["fields"].where(F.col("kind").isin(kinds))
+    fields = model["fields"].where(F.col("kind").isin([ONE, *kinds]))
     fields = fields.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     return (
         asked.groupBy("kind", "segment", "slice")
         .cogroup(fields.groupBy("kind", "segment", "slice"))
-        .applyInArrow(answer, "batch long, kind int, segment int, level binary")
+        .applyInArrow(answer, "batch long, kind int, segment int, level binary, exact binary")
     )
 
 
-def score_batch(row: pa.Array, tokens: Tokens, m: dict, level_of) -> pa.RecordBatch:
-    """level_of: levels of n-grams of a kind."""
-    head, head_counts = m["head"]
+def score_batch(row: pa.Array, tokens: Tokens, m: dict, level_of, exact_of=None) -> pa.RecordBatch:
+    """level_of: levels of n-grams of a kind; exact_of: counts of tokens. Neither is asked for frequent tokens.
+
+    With ``exact_of`` all tokens with a count are in ``n_head`` and ``base_head``, and no rest is left.
+    """
     n = len(tokens.counts)
     distinct, back = np.unique(tokens.hashes, return_inverse=True)
-    place = np.minimum(np.searchsorted(head, distinct), max(0, len(head) - 1))
-    is_head = head[place] == distinct if len(head) else np.zeros(len(distinct), bool)
-    log = np.where(is_head, np.log10(head_counts[place] + 0.1) if len(head) else 0.0, 0.0)
-    in_head = is_head[back]
+    is_head, counts = in_head(m["head"], distinct)
+    single_level = levels(np.maximum(counts, 1))
+    single_level[~is_head] = level_of(ONE, distinct[~is_head])
+    if exact_of:
+        counts[~is_head] = exact_of()
+        is_head = counts > 0
+    log = np.where(is_head, np.log10(counts + 0.1), 0.0)
+    of_head = is_head[back]
     base = np.bincount(tokens.owner, log[back], n)
-    n_head = np.bincount(tokens.owner, in_head, n)
+    n_head = np.bincount(tokens.owner, of_head, n)
     # the rest: distinct tokens of each text with their number
-    rest = np.flatnonzero(~in_head)
+    rest = np.flatnonzero(~of_head) if not exact_of else np.zeros(0, np.int64)
     order = rest[np.lexsort((back[rest], tokens.owner[rest]))]
     new = np.ones(len(order), bool)
     new[1:] = (tokens.owner[order][1:] != tokens.owner[order][:-1]) | (back[order][1:] != back[order][:-1])
@@ -381,7 +441,7 @@ def score_batch(row: pa.Array, tokens: Tokens, m: dict, level_of) -> pa.RecordBa
     times = np.diff(np.concatenate([begin, [len(order)]]))
     each = np.bincount(tokens.owner[order[begin]], minlength=n)
     # the model
-    one = middle(level_of(ONE, distinct))
+    one = middle(single_level)
     single = (one + 0.1) / m["mass"]
     pairs = middle(level_of(TWO, tokens.pairs(m["cut"])))
     seen = np.concatenate([[0.0], one[back][:-1]])
@@ -420,23 +480,26 @@ def score_rows(docs: DataFrame, keep: list[str], text: str, model: dict) -> Data
             yield score_batch(batch.column(0), Tokens(texts_of(batch.column(1)), known), sent.value, level)
 
     def finish(batch, found):
-        given = {}
-        for kind in kinds:
+        given, counts = {}, np.zeros(0, np.int64)
+        for kind in (ONE, TWO):
             own = found.filter(pa.compute.equal(found.column("kind"), kind)).sort_by("segment")
-            given[kind] = np.frombuffer(b"".join(own.column("level").to_pylist()), np.uint8).astype(np.int64)
+            if kind in kinds:
+                given[kind] = np.frombuffer(b"".join(own.column("level").to_pylist()), np.uint8).astype(np.int64)
+            if kind == ONE:
+                counts = np.concatenate([counts, *(from_planes(x, np.int64) for x in own.column("exact").to_pylist())])
 
         def level_of(kind, hashes):
             return given[kind][np.unique(hashes, return_inverse=True)[1]] if kind in given else level(kind, hashes)
 
         tokens = tokens_of(batch.column("texts")[0].as_py(), WordHashes())
         row = batch.column("rows").combine_chunks().flatten()
-        return pa.Table.from_batches([score_batch(row, tokens, sent.value, level_of)])
+        return pa.Table.from_batches([score_batch(row, tokens, sent.value, level_of, lambda: counts)])
 
     kinds = [k for k in (ONE, TWO) if k not in model["sent"]]
     if not kinds:
         return map_text(rows, schema, work, "text")
     batches = staged(batched(rows), "score-batches")
-    found = table_levels(batches, model, kinds)
+    found = table_levels(batches, model, kinds, sent)
     row = T.StructField("row", batches.schema["rows"].dataType.elementType)  # columns may be null once written
     return (
         batches.groupBy("batch")
@@ -493,9 +556,10 @@ def score_texts(docs: DataFrame, model: dict, counts: DataFrame, keep: list[str]
     A null or empty text is scored as its end alone. Repeated rows are scored each. By the formula of the
     base score a model of no texts gives every token the probability one. An empty table gives an empty result.
     """
-    scored = staged(
-        score_rows(docs, keep, text, model).withColumn("owner", F.monotonically_increasing_id()), "head-scores"
-    )
+    scored = score_rows(docs, keep, text, model)
+    if set(model["sent"]) != {ONE, TWO}:  # the segments have given all counts
+        return finished(scored.withColumns({"n": F.lit(0), "log": F.lit(0.0)}), model)
+    scored = staged(scored.withColumn("owner", F.monotonically_increasing_id()), "head-scores")
     rest = scored.select("owner", F.explode(F.arrays_zip("rest", "times")).alias("x")).select(
         "owner", F.col("x.rest").alias("token"), F.col("x.times").alias("times")
     )
@@ -504,6 +568,11 @@ def score_texts(docs: DataFrame, model: dict, counts: DataFrame, keep: list[str]
         .groupBy("owner")
         .agg(F.sum("times").alias("n"), F.sum(F.col("times") * F.log10(F.col("count") + 0.1)).alias("log"))
     )
+    return finished(scored.join(found, "owner", "left"), model)
+
+
+def finished(scored: DataFrame, model: dict) -> DataFrame:
+    """Base scores out of the parts of frequent tokens and of all others (``n``, ``log``)."""
     n_known = (F.col("n_head") + F.coalesce("n", F.lit(0))).cast("long")
     base = (
         F.col("base_head")
@@ -511,7 +580,7 @@ def score_texts(docs: DataFrame, model: dict, counts: DataFrame, keep: list[str]
         + (F.col("n_tokens") - n_known) * math.log10(0.1)
         - F.col("n_tokens") * math.log10(model["mass"])
     )
-    return scored.join(found, "owner", "left").select(
+    return scored.select(
         "row",
         "n_tokens",
         n_known.alias("n_known"),

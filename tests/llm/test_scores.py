@@ -142,6 +142,30 @@ def test_filter_as_table_gives_the_same_scores(small, make):
         assert plain(again.collect()) == plain(scored.collect())
 
 
+def test_folded_hashes_come_back():
+    rng = np.random.default_rng(6)
+    for kind, number in ((lm.ONE, np.uint64), (lm.TWO, np.uint32)):
+        for n in (0, 1, 5_000):
+            own = np.unique(rng.integers(0, np.iinfo(number).max, n, dtype=number, endpoint=True))
+            assert (lm.unfolded(lm.folded(own), kind) == own).all()
+            assert (lm.from_planes(lm.planes(own), number) == own).all()
+
+
+def test_segments_answer_exact_counts(spark, small):
+    """Of tokens that are not frequent, too: no row for each of them and text is written or joined."""
+    docs = small.select("doc_id", "text")
+    _, joined = trained(docs, one_bits=20, two_bits=21, head=200)
+    want = {r.row.doc_id: (r.n_known, r.base_score, r.score) for r in joined.collect()}
+    for most in (0, 20):  # levels of tokens are asked for, or those of pairs only
+        _, scored = trained(docs, one_bits=20, two_bits=21, head=200, most_bits=most)
+        got = scored.collect()
+        assert len(got) == len(want)
+        for r in got:
+            n_known, base, score = want[r.row.doc_id]
+            assert r.n_known == n_known and math.isclose(r.base_score, base) and math.isclose(r.score, score)
+        assert "Join" not in scored._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_language_model_edge_cases(make):
     docs = make((1, None, "a"), (2, "", "a"), (3, "x Y " * 40_000, None), (None, "x y", "a"), repeat=[(2, "", "a")])
     options = {"one_bits": 20, "two_bits": 20}
