@@ -11,7 +11,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from arrears.sources import tables
-from arrears.operators import evaluate, logistic_grid, neighbours, prepare, runs, smote, train, tree
+from arrears.operators import cells, evaluate, forest, logistic_grid, neighbours, prepare, runs, smote, train, tree
 from arrears.operators.sampling import stratified_folds
 
 
@@ -273,6 +273,86 @@ def test_tops_of_a_forest_are_shallower_forests(spark, monkeypatch):
         tree.prefix_scores(train.gradient_boosting(2, max_depth=2).fit(df), df, [2], [1])
 
 
+def debts_like(spark, n=3000, seed=11):
+    """One number of many values, one of few, a text; rows repeat in their bins only."""
+    draw = random.Random(seed)
+    rows = [(i, draw.gauss(0, 1), float(draw.choice([-2, 0, 5])), draw.choice("abcd")) for i in range(n)]
+    rows = [(i, float(x + (c == "a") - (k == 5) + 0.3 * draw.gauss(0, 1) > 0.2), x, k, c) for i, x, k, c in rows]
+    df = spark.createDataFrame(rows, "id bigint, label double, x double, k double, c string")
+    wide = prepare.fit_preparation(df, ["x", "k"], ["c"]).transform(df).select("id", "label", "features")
+    return stratified_folds(wide, "label", ["id"], 3).persist()
+
+
+def test_cells_count_all_rows_in_their_bins(spark, monkeypatch):
+    df = debts_like(spark)
+    assert cells.find_cuts(df) is None  # few rows are not cut
+    monkeypatch.setattr(cells, "FEW", 0)
+    cuts = cells.find_cuts(df)
+    assert {s: len(e) for s, e in cuts.edges.items()} == {0: 31, 1: 2}  # the slots of the text are no numbers
+    got = {(tuple(r.features.toArray()), r.label): r.weight for r in cells.cells(df, cuts).collect()}
+    want = {}
+    for r in df.collect():
+        x = r.features.toArray()
+        code = tuple([np.searchsorted(cuts.edges[s], x[s]) - cuts.zero(s) for s in (0, 1)] + list(x[2:]))
+        want[code, r.label] = want.get((code, r.label), 0) + 1
+    assert got == want and len(got) < 3000 and sum(got.values()) == 3000
+    shares = np.bincount([np.searchsorted(cuts.edges[0], r.features[0]) for r in df.collect()]) / 3000
+    assert shares.max() < 1.5 / 32
+    dense = df.select(array_to_vector(F.expr("array(0.0D, 1.5D)")).alias("features"), "label")
+    both = cells.Cuts({0: np.array([-1.0]), 1: np.array([0.0, 1.0])})
+    assert [tuple(r.features.toArray()) for r in cells.coded(dense.limit(1), both).collect()] == [(0.0, 2.0)]
+
+
+def test_forest_of_cells_is_one_of_all_rows(spark, monkeypatch, tmp_path):
+    """Every tree's nodes count the drawn rows that reach them, and the forest is as good as one fitted to rows."""
+    df = debts_like(spark)
+    want = train.Forest({"n_estimators": [20, 40], "max_depth": [2, 6]})
+    by_rows, _ = want.scores(df.filter("fold > 0"), df.filter("fold = 0"), train.auc_scorer())
+    monkeypatch.setattr(cells, "FEW", 0)
+    fitted = []
+    monkeypatch.setattr(train.RandomForestClassifier, "_fit", lambda self, part, f=train.RandomForestClassifier._fit: fitted.append(part.count()) or f(self, part))
+    by_cells, _ = want.scores(df.filter("fold > 0"), df.filter("fold = 0"), train.auc_scorer())
+    assert by_cells == pytest.approx(by_rows, abs=0.02) and min(by_cells) > 0.85
+    model = want.fit(df, {"n_estimators": 30, "max_depth": 6})
+    assert fitted and max(fitted) <= 2  # no forest is fitted to the rows, only its frame to two
+    assert model.getNumTrees == 30 and {t.depth for t in model.trees} <= set(range(7)) and model.numFeatures == 6
+    monkeypatch.setattr(cells, "FEW", 10_000)
+    plain = train.random_forest(30, 6).fit(df)
+    assert accuracy(model.transform(df)) == pytest.approx(accuracy(plain.transform(df)), abs=0.02)
+    assert model.featureImportances.toArray() == pytest.approx(plain.featureImportances.toArray(), abs=0.1)
+    roots = [r.nodeData.rawCount for r in _nodes(spark, model, tmp_path / "m").filter("nodeData.id = 0").collect()]
+    assert all(abs(n - 3000) < 5 * 3000**0.5 for n in roots) and len(set(roots)) > 10  # Poisson(1) draws of every row
+    model.write().overwrite().save(str(tmp_path / "again"))
+    again = type(model).load(str(tmp_path / "again")).transform(df)
+    assert [r.prediction for r in again.collect()] == [r.prediction for r in model.transform(df).collect()]
+
+
+def test_tree_grown_on_held_cells_takes_the_best_splits(spark, monkeypatch):
+    """With all features looked at and no draws, the nodes are those of Spark's tree on the same cells."""
+    df = debts_like(spark)
+    monkeypatch.setattr(cells, "FEW", 0)
+    cuts = cells.find_cuts(df)
+    counted = cells.cells(df, cuts)
+    data = forest.held(counted, cuts, raw=False)
+    assert (data.neg + data.pos).sum() == 3000
+    monkeypatch.setattr(forest.np.random, "default_rng", lambda seed: NoDraws())
+    monkeypatch.setattr(forest.math, "sqrt", lambda n: n)
+    for chunk in (forest.HISTOGRAMS, 1):
+        monkeypatch.setattr(forest, "HISTOGRAMS", chunk)
+        got = forest.grow_tree(data, 1, 0, 5)
+        want = tree.read_nodes(train.decision_tree(5, weightCol="weight").fit(counted))
+        assert [n[3:5] for n in got] == [tuple(want[k]["impurityStats"]) for k in range(len(want))]
+        assert [(n[1], n[6], n[7]) for n in got] == [(v["prediction"], v["leftChild"], v["rightChild"]) for _, v in sorted(want.items())]
+
+
+class NoDraws:
+    def poisson(self, n):
+        return n
+
+    def random(self, shape):
+        return np.zeros(shape)
+
+
 def test_logistic_models_side_by_side_equal_single_fits(spark):
     """Sparse and dense vectors, L1 and L2, with and without a fold left out."""
     draw = np.random.default_rng(4)
