@@ -327,6 +327,28 @@ def test_forest_of_cells_is_one_of_all_rows(spark, monkeypatch, tmp_path):
     assert [r.prediction for r in again.collect()] == [r.prediction for r in model.transform(df).collect()]
 
 
+def test_trees_of_large_tables_are_fitted_to_cells(spark, monkeypatch):
+    """No fit sees more rows than there are cells, and the chosen tree splits numbers as its figures say."""
+    df = debts_like(spark)
+    grid = {"max_depth": [3], "min_samples_split": [2, 100], "min_samples_leaf": [5]}
+    by_rows = train.search_tree(df, grid, 3)
+    monkeypatch.setattr(cells, "FEW", 0)
+    cuts = cells.find_cuts(df)
+    most = cells.cells(df, cuts).count()
+    fitted, grow = [], train.Tree._grow
+    monkeypatch.setattr(train.Tree, "_grow", lambda self, part, *how: fitted.append(part.count()) or grow(self, part, *how))
+    found = train.search_tree(df, grid, 3)
+    assert len(fitted) == 4 and max(fitted) <= most < df.count()
+    assert found.best_score == pytest.approx(by_rows.best_score, abs=0.02)
+    family = train.Tree(grid)
+    point = {"max_depth": 6, "min_samples_split": 2, "min_samples_leaf": 5}
+    on_codes = family.of_cells(cells.cells(df, cuts), None, point)
+    on_rows = family.fit(df, point)
+    want = [r.prediction for r in on_codes.transform(cells.coded(df.select("label", "features"), cuts)).collect()]
+    assert [r.prediction for r in on_rows.transform(df).collect()] == want and len(set(want)) == 2
+    assert on_rows.featureImportances == on_codes.featureImportances
+
+
 def test_tree_grown_on_held_cells_takes_the_best_splits(spark, monkeypatch):
     """With all features looked at and no draws, the nodes are those of Spark's tree on the same cells."""
     df = debts_like(spark)
