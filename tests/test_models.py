@@ -349,6 +349,25 @@ def test_trees_of_large_tables_are_fitted_to_cells(spark, monkeypatch):
     assert on_rows.featureImportances == on_codes.featureImportances
 
 
+def test_logistic_grid_begins_at_the_models_of_the_cells(spark, monkeypatch):
+    """Few passes over the rows, and the models of a search that begins at zero."""
+    df = debts_like(spark).select("label", "features", "fold")
+    grid = [{"C": 1.0, "penalty": p, "tol": 1e-6} for p in ("l1", "l2")]
+    fit_all, seen = logistic_grid.fit_all, []
+    monkeypatch.setattr(logistic_grid, "fit_all", lambda data, *how: seen.append((data.agg(F.sum("n")).first()[0], fit_all(data, *how))) or seen[-1][1])
+    want, _ = train.logistic_scores(df, grid, [0, 1, 2], train.auc_scorer(), "fold")
+    monkeypatch.setattr(cells, "FEW", 0)
+    monkeypatch.setattr(train, "SHARE", 1)
+    monkeypatch.setattr(train, "MANY", 6)
+    got, _ = train.logistic_scores(df, grid, [0, 1, 2], train.auc_scorer(), "fold")
+    (rows, plain), (few, _), (again, begun) = seen
+    assert rows == again > few and begun.passes < plain.passes / 2
+    # one category more and the constant less say the same, and an L1 penalty may not care either
+    said = lambda fit: np.c_[fit.coefficients[:, :2], fit.coefficients[:, 2:] + fit.intercepts[:, None]]
+    assert said(begun) == pytest.approx(said(plain), abs=1e-3)
+    assert np.allclose(got, want, atol=1e-4)
+
+
 def test_tree_grown_on_held_cells_takes_the_best_splits(spark, monkeypatch):
     """With all features looked at and no draws, the nodes are those of Spark's tree on the same cells."""
     df = debts_like(spark)
